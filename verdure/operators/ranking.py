@@ -51,7 +51,7 @@ def exact_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
         F.count(F.lit(1)).alias("n")
     )
     upto = running_total(counts, ["v"], F.col("n"), "upto")
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    total = upto.agg(F.max("upto")).first()[0] or 0
     position = (total - 1) * q if total else 0.0
     low, share = math.floor(position), position - math.floor(position)
     first = F.col("upto") - F.col("n")  # zero-based rank of the first copy

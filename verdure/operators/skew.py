@@ -14,8 +14,9 @@ def salted_lookup(
     """Join ``rows`` to ``table``, which has at most one row per key.
 
     A hot key of ``rows`` is spread over ``salts`` reducers by the hash of the
-    whole row; the unique-key side is repeated once per salt, so no row is lost
-    and none is matched twice. ``how`` may be inner, left, left_semi, left_anti.
+    whole row (which must tell the rows of one key apart); the unique-key side is
+    repeated once per salt, so no row is lost and none is matched twice. ``how`` may
+    be inner, left, left_semi or left_anti.
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
     spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -19,6 +19,8 @@ def local_session(cpus: int | str = 8, app: str = "verdure", **extra: str) -> Sp
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # recording a Python call site per Column costs more than planning a small step
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -27,6 +29,15 @@ def local_session(cpus: int | str = 8, app: str = "verdure", **extra: str) -> Sp
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return configure(spark)
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Settings the operators rely on, applied to a session made elsewhere.
+
+    Dates and day bounds are in UTC.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
