@@ -117,11 +117,13 @@ def daily_ndvi(
     grids: DataFrame,
     pixels: DataFrame,
     results: DataFrame | None = None,
+    observation: list[str] | None = None,
 ) -> DataFrame:
     """One record per (area, day) of ``pairs`` with planted fields and a reference.
 
     ``results`` are earlier records to skip. ``pixels`` is the long table (item_id,
-    band, row, col, raw).
+    band, row, col, raw); ``observation`` names further columns that tell several
+    observations of one cell apart.
     """
     selection.require_columns(fields, "planting_date", "aoi_id")
     work = ndvi.work_set(fields, pairs)
@@ -132,7 +134,7 @@ def daily_ndvi(
     resolved = materialize(ndvi.resolved_refs(work, refs, scenes), "resolved")
     visits = ndvi.visits_of(resolved, rasters)
     runs = mask.area_mask(fields, visits, grids)
-    return ndvi.ndvi_records(resolved, ndvi.area_means(pixels, runs, visits))
+    return ndvi.ndvi_records(resolved, ndvi.area_means(pixels, runs, visits, observation))
 
 
 def run_areas(
@@ -162,10 +164,9 @@ def run_scenes(
     existing = keyed.read_refs(spark, layout.refs)
     refs = select_scenes(aois, fields, scenes, existing, as_of, max_cloud, refresh_missing)
     if refresh_missing:
-        # a looked-up-again pair replaces its old record
-        keyed.write_keyed(materialize(refs, "refs"), layout.refs, keyed.REF_LAYOUT)
+        keyed.replace_refs(refs, layout.refs)
     else:
-        keyed.write_refs(refs, layout.refs)
+        keyed.append_refs(materialize(refs, "refs"), layout.refs)
 
 
 def run_ndvi(
@@ -186,4 +187,4 @@ def run_ndvi(
     records = daily_ndvi(
         fields, refs.select("aoi_id", "date"), refs, scenes, rasters, grids, pixels, results
     )
-    keyed.write_ndvi(materialize(records, "records"), layout.series)
+    keyed.write_ndvi(records, layout.series)

@@ -1,14 +1,20 @@
-"""JSON outputs keyed by area and day, laid out as partition folders.
+"""JSON outputs keyed by area and day.
 
-A rerun of a key replaces that key and leaves all others. Explicit nulls are kept.
+Two layouts are offered. ``BY_DAY`` keeps one folder per day with the area as a column:
+it stays at a few files per day however many areas there are, and is the default.
+``REF_KEYS`` and ``NDVI_KEYS`` keep one folder per area and day, one object per key.
+Either way a rerun of a key replaces that key and leaves all others, and explicit nulls
+are kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from verdure.session import materialize
+
 REF_SCHEMA = (
     "aoi_id string, date date, status string, bbox array<double>, item_datetime timestamp_ntz, "
     "cloud_cover double, stac_url string, collection string, item_id string, "
@@ -18,36 +24,60 @@ NDVI_SCHEMA = (
     "aoi_id string, date date, status string, mean_ndvi double, cloud_cover double, "
     "item_datetime timestamp_ntz"
 )
-REF_LAYOUT = ["aoi_id", "date"]
-NDVI_LAYOUT = ["date", "aoi_id"]
+KEY = ["aoi_id", "date"]
+BY_DAY = ["date"]
+REF_KEYS = ["aoi_id", "date"]
+NDVI_KEYS = ["date", "aoi_id"]
+# microseconds survive the round trip
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+    df.write.mode(mode).options(**JSON_OPTIONS).json(path)
 
 
-def write_keyed(df: DataFrame, path: str, layout: list[str], replace: bool = True) -> None:
-    """Write one folder per key.
+def append_keyed(df: DataFrame, path: str, layout: list[str] = BY_DAY) -> None:
+    """Add rows whose keys are not there yet.
 
-    Rows are first brought together by key so that each folder gets one file.
-    ``replace`` overwrites just the keys that occur in ``df``.
+    The rebalance hint brings the rows of a folder together into files of even size,
+    also when one day holds a large share of them.
     """
-    writer = df.repartition(*layout).write.partitionBy(*layout).option("ignoreNullFields", False)
-    if replace:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.json(path)
+    even = df.hint("rebalance", *layout)
+    even.write.mode("append").partitionBy(*layout).options(**JSON_OPTIONS).json(path)
+
 
+def replace_keyed(df: DataFrame, path: str, schema: str, layout: list[str] = BY_DAY) -> None:
+    """Write rows, replacing earlier rows of the same keys and no others.
 
-def write_refs(refs: DataFrame, path: str) -> None:
+    Only folders that ``df`` touches are rewritten. With the day layout the other
+    areas of such a day are carried over.
+    """
+    spark = df.sparkSession
+    out = materialize(df, "fresh")
+    if set(layout) != set(KEY):
+        touched = out.select(*layout).distinct()
+        earlier = read_keyed(spark, path, schema).join(touched, layout, "left_semi")
+        kept = earlier.join(out.select(*KEY), KEY, "left_anti")
+        out = materialize(out.unionByName(kept), "merged")
+    writer = out.hint("rebalance", *layout).write.mode("overwrite").partitionBy(*layout)
+    writer.option("partitionOverwriteMode", "dynamic").options(**JSON_OPTIONS).json(path)
+
+
+def append_refs(refs: DataFrame, path: str, layout: list[str] = BY_DAY) -> None:
     """Append scene references; callers pass only pairs that have none yet."""
-    write_keyed(refs, path, REF_LAYOUT, replace=False)
+    append_keyed(refs, path, layout)
+
+
+def replace_refs(refs: DataFrame, path: str, layout: list[str] = BY_DAY) -> None:
+    replace_keyed(refs, path, REF_SCHEMA, layout)
 
 
-def write_ndvi(records: DataFrame, path: str) -> None:
+def write_ndvi(records: DataFrame, path: str, layout: list[str] = BY_DAY) -> None:
     """Write results; a result for the same area and day is replaced."""
-    write_keyed(records, path, NDVI_LAYOUT)
+    replace_keyed(records, path, NDVI_SCHEMA, layout)
 
 
 def read_keyed(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -57,13 +87,13 @@ def read_keyed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     then treated like a missing scene.
     """
     try:
-        read = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+        read = spark.read.schema(schema).option("mode", "PERMISSIVE").options(**JSON_OPTIONS).json(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    columns = [f.name for f in read.schema.fields]
-    return read.select(*columns)
+    names = T.StructType.fromDDL(schema).fieldNames()
+    return read.select(*names)
 
 
 def read_refs(spark: SparkSession, path: str) -> DataFrame:
@@ -75,5 +105,5 @@ def read_ndvi(spark: SparkSession, path: str) -> DataFrame:
 
 
 def written_keys(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Distinct (aoi_id, date) written below ``path``; only folder names are needed."""
-    return read_keyed(spark, path, schema).select("aoi_id", F.col("date")).distinct()
+    """Distinct (aoi_id, date) written below ``path``."""
+    return read_keyed(spark, path, schema).select(*KEY).distinct()

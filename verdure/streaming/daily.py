@@ -41,13 +41,15 @@ def stream_best_scenes(
     The state is one candidate per area and open day. Days without a scene give no
     row; their ``no_items`` references come from the batch stage.
     """
-    timed = selection.eligible_scenes(scenes, max_cloud).withWatermark("dt", lateness)
+    instants = scenes.withColumn("dt", F.col("dt").cast("timestamp"))
+    timed = selection.eligible_scenes(instants, max_cloud).withWatermark("dt", lateness)
     pairs = selection.intersecting(aois, timed)
     carried = F.struct("item_id", "collection", "dt", "cloud_cover", "assets")
     return (
         pairs.groupBy("aoi_id", F.window("dt", "1 day").alias("day"))
         .agg(F.min_by(carried, selection.scene_order()).alias("s"))
         .select("aoi_id", F.to_date("day.start").alias("date"), "s.*")
+        .withColumn("dt", F.col("dt").cast("timestamp_ntz"))
     )
 
 
@@ -62,7 +64,7 @@ def append_refs(
 
     def write(batch: DataFrame, _: int) -> None:
         boxed = batch.join(aois.select("aoi_id", "bbox"), "aoi_id")
-        keyed.write_keyed(boxed.select(*_ref_columns()), path, keyed.REF_LAYOUT)
+        keyed.replace_refs(boxed.select(*_ref_columns()), path)
 
     return _start(best, write, checkpoint)
 
@@ -85,7 +87,7 @@ def _ref_columns() -> list[Column | str]:
 
 def read_ref_stream(spark: SparkSession, path: str) -> DataFrame:
     """Reference folder as a stream."""
-    return spark.readStream.schema(keyed.REF_SCHEMA).json(path)
+    return spark.readStream.schema(keyed.REF_SCHEMA).options(**keyed.JSON_OPTIONS).json(path)
 
 
 def append_ndvi(
