@@ -232,19 +232,16 @@ def _keyed(core: DataFrame, side: float) -> DataFrame:
 
 def _compare_points(pairs: DataFrame, core: DataFrame, side: float, eps: float) -> DataFrame:
     keyed = _keyed(core, side)
-    ends = [
-        keyed.select(*(F.col(c).alias(f"{end}_{c}") for c in ("kx", "ky", "x", "y")))
-        for end in ("a", "b")
-    ]
+    cells = ["a_kx", "a_ky", "b_kx", "b_ky"]
+
+    def sites_of(end: str) -> DataFrame:
+        sites = keyed.select(*(F.col(c).alias(f"{end}_{c}") for c in ("kx", "ky", "x", "y")))
+        table = pairs.select("a", "b", *cells)
+        return salted_lookup(sites, table, [f"{end}_kx", f"{end}_ky"])
+
     near = distance(F.col("a_x"), F.col("a_y"), F.col("b_x"), F.col("b_y")) <= eps
-    return (
-        pairs.select("a", "b", "a_kx", "a_ky", "b_kx", "b_ky")
-        .join(ends[0], ["a_kx", "a_ky"])
-        .join(ends[1], ["b_kx", "b_ky"])
-        .where(near)
-        .select("a", "b")
-        .distinct()
-    )
+    both = sites_of("a").join(sites_of("b"), ["a", "b", *cells])
+    return both.where(near).select("a", "b").distinct()
 
 
 def assign_noise(labels: DataFrame) -> DataFrame:

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdure.functions import geometry, projection
-from verdure.functions.projection import let
 from verdure.operators.skew import salted_lookup
+from verdure.session import materialize
 
 STRIP = 512  # columns per join strip
 FOREVER = "9999-12-31"
@@ -43,7 +43,7 @@ def fields_on_grids(fields: DataFrame, aoi_grids: DataFrame, grids: DataFrame) -
     wanted = aoi_grids.select("aoi_id", "grid_id").distinct().join(
         grids.select("grid_id", *GRID), "grid_id"
     )
-    return salted_lookup(fields, wanted, ["aoi_id"])
+    return salted_lookup(fields, wanted, ["aoi_id"], by=["ord"])
 
 
 def field_spans(placed: DataFrame) -> DataFrame:
@@ -150,14 +150,9 @@ def grid_window(b: Column) -> Column:
 
 
 def _corners(epsg: Column) -> Column:
-    ring = F.array(
-        *(
-            projection.from_lonlat(F.col(x), F.col(y), epsg)
-            for x in ("xmin", "xmax")
-            for y in ("ymin", "ymax")
-        )
-    )
-    return geometry.bounds(F.array(F.array(ring)))
+    corners = F.expr("array(array(array(array(xmin, ymin), array(xmin, ymax), array(xmax, ymin), array(xmax, ymax))))")
+    in_grid = geometry.map_vertices(corners, lambda x, y: projection.from_lonlat(x, y, epsg))
+    return geometry.bounds(in_grid)
 
 
 def window_versions(fields: DataFrame, aoi_grids: DataFrame, grids: DataFrame) -> DataFrame:
@@ -211,7 +206,7 @@ def area_mask(fields: DataFrame, aoi_grids: DataFrame, grids: DataFrame) -> Data
     has fewer than two rows or columns, all its pixels count; later only covered ones do.
     """
     runs = dated_runs(field_spans(fields_on_grids(fields, aoi_grids, grids)))
-    versions = window_versions(fields, aoi_grids, grids)
+    versions = materialize(window_versions(fields, aoi_grids, grids), "windows")
     # windows only grow, so the days with a tiny one come first
     masked_from = versions.where("not tiny").groupBy("aoi_id", "grid_id").agg(
         F.min("from_date").alias("masked_from")

@@ -9,15 +9,20 @@ SALTS = 16
 
 
 def salted_lookup(
-    rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner", salts: int = SALTS
+    rows: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    how: str = "inner",
+    by: list[str] | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``rows`` to a smaller ``table`` of few rows per key.
 
-    A hot key of ``rows`` is spread over ``salts`` reducers by the hash of the
-    whole row (which must tell the rows of one key apart); ``table`` is repeated once
+    A hot key of ``rows`` is spread over ``salts`` reducers by the hash of the columns
+    ``by`` (all by default), which must tell the rows of one key apart; ``table`` is repeated once
     per salt, so every row meets all its matches exactly once. ``how`` may be inner,
     left, left_semi or left_anti.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*(by or rows.columns)), F.lit(salts)).cast("int"))
     spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")

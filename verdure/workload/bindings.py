@@ -96,16 +96,19 @@ def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.concat(F.lit("S2_"), F.col("event_id").cast("string")).alias("item_id"),
         (F.col("event_id") % 4).cast("string").alias("raster_id"),
-        F.lit("G").alias("grid_id"),
+        (F.col("event_id") % 4).cast("string").alias("grid_id"),
         F.lit("red").alias("red_band"),
         F.lit("nir").alias("nir_band"),
     )
 
 
-def grids(spark: SparkSession, coarse: int = 1) -> DataFrame:
-    """The one degree grid all rasters share; ``coarse`` cells per side make one."""
-    return spark.range(1).select(
-        F.lit("G").alias("grid_id"),
+def grids(spark: SparkSession, sf_dir: str, coarse: int = 1) -> DataFrame:
+    """The degree grid of every raster; ``coarse`` cells per side make one."""
+    items = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % 4).cast("string").alias("grid_id")
+    )
+    return items.distinct().select(
+        "grid_id",
         F.lit(4326).alias("epsg"),
         F.lit(GRID_X0).alias("x0"),
         F.lit(GRID_Y0).alias("y0"),

@@ -517,9 +517,10 @@ FROM v_tagged t JOIN v_boxes b ON b.ord = t.ord WHERE t.planting_date <= DATE '2
 define(
     "union_spans",
     """
-SELECT aoi_id, row, min(col) AS lo, max(col) AS hi FROM (
+SELECT aoi_id, grid_id, row, min(col) AS lo, max(col) AS hi FROM (
   SELECT aoi_id, row, col, col - row_number() OVER (PARTITION BY aoi_id, row ORDER BY col) AS island
-  FROM cells_fine WHERE planted <= DATE '2024-01-15') GROUP BY aoi_id, row, island
+  FROM cells_fine WHERE planted <= DATE '2024-01-15') r, (SELECT DISTINCT item_id AS grid_id FROM v_pixels) g
+GROUP BY aoi_id, grid_id, row, island
 """,
 )
 for _name, _tag, _size in (("pixel_mask", "fine", 1), ("pixel_mask_tiny", "coarse", 32)):

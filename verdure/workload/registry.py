@@ -431,16 +431,18 @@ def eligible_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _area_grids(s: Stage) -> DataFrame:
-    return s.aois().select("aoi_id", F.lit("G").alias("grid_id"))
+    """Every area looks at all four rasters."""
+    rasters = F.array(*(F.lit(str(i)) for i in range(4)))
+    return s.aois().select("aoi_id", F.explode(rasters).alias("grid_id"))
 
 
 @query
 def union_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Stage(spark, sf_dir)
     planted = mask.eligible_fields(s.tagged(), F.lit(b.MASK_DAY))
-    spans = mask.field_spans(mask.fields_on_grids(planted, _area_grids(s), b.grids(spark)))
-    merged = mask.merge_spans(spans, ["aoi_id", "grid_id", "row"])
-    return merged.select("aoi_id", "row", "lo", "hi")
+    grids = b.grids(spark, sf_dir)
+    spans = mask.field_spans(mask.fields_on_grids(planted, _area_grids(s), grids))
+    return mask.merge_spans(spans, ["aoi_id", "grid_id", "row"])
 
 
 def _masked_counts(spark: SparkSession, sf_dir: str, coarse: int) -> DataFrame:
@@ -448,11 +450,9 @@ def _masked_counts(spark: SparkSession, sf_dir: str, coarse: int) -> DataFrame:
     seen = b.pixels(spark, sf_dir).where("band = 'red'").withColumns(
         {"row": F.floor(F.col("row") / coarse), "col": F.floor(F.col("col") / coarse)}
     )
-    runs = mask.area_mask(s.tagged(), _area_grids(s), b.grids(spark, coarse))
-    # every area looks at all four rasters on the mask day
-    items = F.array(*(F.lit(str(i)) for i in range(4)))
+    runs = mask.area_mask(s.tagged(), _area_grids(s), b.grids(spark, sf_dir, coarse))
     visits = _area_grids(s).select(
-        "aoi_id", "grid_id", F.lit(b.MASK_DAY).alias("date"), F.explode(items).alias("item_id")
+        "aoi_id", "grid_id", F.lit(b.MASK_DAY).alias("date"), F.col("grid_id").alias("item_id")
     )
     inside = mask.masked_pixels(seen, mask.mask_on(runs, visits))
     return inside.groupBy("aoi_id", "item_id", "row", "col").agg(F.count(F.lit(1)).alias("n"))
@@ -479,7 +479,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
         s.refs(),
         b.scenes(spark, sf_dir),
         b.rasters(spark, sf_dir),
-        b.grids(spark),
+        b.grids(spark, sf_dir),
         b.pixels(spark, sf_dir),
         observation=b.OBSERVATION,
     )
@@ -587,7 +587,7 @@ def stream_ndvi(spark: SparkSession, sf_dir: str) -> DataFrame:
             refs,
             b.scenes(spark, sf_dir),
             b.rasters(spark, sf_dir),
-            b.grids(spark),
+            b.grids(spark, sf_dir),
             b.pixels(spark, sf_dir),
             observation=b.OBSERVATION,
         )
