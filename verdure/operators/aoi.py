@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdure.functions import geometry
-from verdure.operators.clustering import assign_noise, dbscan
+from verdure.operators.clustering import dbscan
 from verdure.operators.neighbors import nearest_distance
-from verdure.operators.ranking import exact_quantile, global_rank
+from verdure.operators.ranking import exact_quantile
 from verdure.operators.skew import salted_lookup
 from verdure.session import materialize
 
@@ -43,9 +43,8 @@ def cluster_fields(
 ) -> DataFrame:
     """(ord, label, cluster) with the neighbour radius taken from the data unless given."""
     if eps is None:
-        nn = materialize(nearest_distance(points), "nearest")
-        eps = estimate_eps(nn, quantile).first()[0]
-    return assign_noise(dbscan(points, eps, min_samples))
+        eps = estimate_eps(nearest_distance(points), quantile).first()[0]
+    return dbscan(points, eps, min_samples)
 
 
 def aoi_label(number: Column) -> Column:
@@ -53,15 +52,11 @@ def aoi_label(number: Column) -> Column:
     return F.format_string("AOI_%02d", number)
 
 
-def number_clusters(clusters: DataFrame) -> DataFrame:
-    """(cluster, aoi_id): one row per cluster, numbered from 1 in cluster order."""
-    ranked = global_rank(clusters.select("cluster").distinct(), ["cluster"], "number")
-    return ranked.select("cluster", aoi_label(F.col("number")).alias("aoi_id"))
-
-
 def aoi_boxes(points: DataFrame, clusters: DataFrame, padding: float = 2000.0) -> DataFrame:
-    """(aoi_id, cluster, bbox): degrees box around all vertices of a cluster plus padding."""
-    numbered = number_clusters(clusters)
+    """(aoi_id, cluster, bbox): degrees box around all vertices of a cluster plus padding.
+
+    Cluster numbers run from 0 without gaps, so areas are numbered one above them.
+    """
     spans = (
         points.join(clusters, "ord")
         .groupBy("cluster")
@@ -73,8 +68,10 @@ def aoi_boxes(points: DataFrame, clusters: DataFrame, padding: float = 2000.0) -
         )
     )
     box = F.struct("xmin", "ymin", "xmax", "ymax")
-    return spans.join(numbered, "cluster").select(
-        "aoi_id", "cluster", geometry.padded_lonlat_box(box, padding).alias("bbox")
+    return spans.select(
+        aoi_label(F.col("cluster") + 1).alias("aoi_id"),
+        "cluster",
+        geometry.padded_lonlat_box(box, padding).alias("bbox"),
     )
 
 

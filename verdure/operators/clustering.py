@@ -28,11 +28,13 @@ def core_cell_side(eps: float) -> float:
 
 
 def dbscan(points: DataFrame, eps: float, min_samples: int) -> DataFrame:
-    """(ord, label): cluster number of every point, -1 for noise.
+    """(ord, label, cluster) of every point.
 
-    A point counts towards its own ``min_samples``; ``dist <= eps`` are neighbours.
-    Clusters are numbered by their first core point in ``ord`` order and a border
-    point goes to the lowest-numbered cluster that reaches it.
+    ``label`` is the cluster number, -1 for noise. A point counts towards its own
+    ``min_samples``; ``dist <= eps`` are neighbours. Clusters are numbered by their first
+    core point in ``ord`` order and a border point goes to the lowest-numbered cluster
+    that reaches it. ``cluster`` turns noise points into clusters of their own, numbered
+    after the last one in ``ord`` order; without any cluster everything is cluster 0.
 
     Copies of a position are folded into one weighted site. All points of a cell of
     side eps/sqrt(2) are neighbours, so a cell with ``min_samples`` points is core as
@@ -58,10 +60,10 @@ def dbscan(points: DataFrame, eps: float, min_samples: int) -> DataFrame:
         "core-cells",
     )
     linked = connected_components(_core_links(core, cells, eps))
-    # the least core ord of a component numbers its cluster
     grouped = cells.select("cx", "cy", "id").join(
         linked.withColumnRenamed("node", "id"), "id", "left"
     ).withColumn("component", F.coalesce("component", "id"))
+    # the least core ord of a component is its root and gives its cluster's place
     roots = grouped.groupBy("component").agg(F.min("id").alias("root"))
     cell_roots = materialize(
         salted_lookup(grouped, roots, ["component"]).select("cx", "cy", "root"), "cell-roots"
@@ -69,12 +71,33 @@ def dbscan(points: DataFrame, eps: float, min_samples: int) -> DataFrame:
     core_sites = salted_lookup(core, cell_roots, ["cx", "cy"])
     border = _border_roots(flagged.where("not core"), core_sites, eps)
     site_roots = core_sites.select("x", "y", "root").unionByName(border)
-    numbers = global_rank(
-        cell_roots.select("root").distinct(), ["root"], "number"
-    ).select("root", (F.col("number") - 1).alias("label"))
-    labelled = salted_lookup(site_roots, numbers, ["root"]).select("x", "y", "label")
-    return salted_lookup(points.select("ord", "x", "y"), labelled, ["x", "y"], "left").select(
-        "ord", F.coalesce("label", F.lit(-1)).cast("long").alias("label")
+    rooted = salted_lookup(points.select("ord", "x", "y"), site_roots, ["x", "y"], "left")
+    return number_clusters(rooted.select("ord", "root"))
+
+
+def number_clusters(rooted: DataFrame) -> DataFrame:
+    """(ord, label, cluster) from each point's ``root``, which is null for noise.
+
+    One global numbering covers both: clusters in root order, then noise in ord order.
+    The cluster numbers have no gaps.
+    """
+    keyed = materialize(
+        rooted.select(
+            "ord",
+            F.when(F.col("root").isNull(), 1).otherwise(0).alias("noise"),
+            F.coalesce("root", "ord").alias("id"),
+        ),
+        "rooted",
+    )
+    ranked = global_rank(keyed.select("noise", "id").distinct(), ["noise", "id"], "n")
+    if keyed.where("noise = 0").isEmpty():
+        cluster = F.lit(0).cast("long")
+    else:
+        cluster = F.col("n") - 1
+    return salted_lookup(keyed, ranked, ["noise", "id"]).select(
+        "ord",
+        F.when(F.col("noise") == 1, F.lit(-1)).otherwise(F.col("n") - 1).alias("label"),
+        cluster.alias("cluster"),
     )
 
 
@@ -242,18 +265,3 @@ def _compare_points(pairs: DataFrame, core: DataFrame, side: float, eps: float)
     near = distance(F.col("a_x"), F.col("a_y"), F.col("b_x"), F.col("b_y")) <= eps
     both = sites_of("a").join(sites_of("b"), ["a", "b", *cells])
     return both.where(near).select("a", "b").distinct()
-
-
-def assign_noise(labels: DataFrame) -> DataFrame:
-    """(ord, label, cluster): noise points become clusters of their own.
-
-    They are numbered after the last cluster in ``ord`` order. When there is no
-    cluster at all, every point falls into cluster 0.
-    """
-    labels = materialize(labels, "labels")
-    top = labels.agg(F.max("label")).first()[0]
-    if top is None or top < 0:
-        return labels.withColumn("cluster", F.lit(0).cast("long"))
-    noise = global_rank(labels.where("label = -1"), ["ord"], "rank")
-    own = noise.select("ord", "label", (F.col("rank") + F.lit(top)).alias("cluster"))
-    return labels.where("label <> -1").withColumn("cluster", F.col("label")).unionByName(own)

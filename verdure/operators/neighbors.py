@@ -37,18 +37,16 @@ def _cell(coordinate: Column, level: Column) -> Column:
     return F.floor(coordinate / F.pow(F.lit(2.0), level))
 
 
-def _start_levels(sites: DataFrame) -> DataFrame:
+def _start_levels(sites: DataFrame, n: int, width: float, height: float) -> tuple[DataFrame, list[int]]:
     """Give each position the level of a grid cell with few positions in it.
 
     The first level suits evenly spread points; only cells that are too full are
     tried again on a finer grid, so a dense spot is never searched cell against cell.
+    Also returns the levels tried.
     """
-    n, x0, x1, y0, y1 = sites.agg(
-        F.count(F.lit(1)), F.min("x"), F.max("x"), F.min("y"), F.max("y")
-    ).first()
-    area = max((x1 - x0), 1e-3) * max((y1 - y0), 1e-3) if n else 1.0
-    level = max(FINEST_LEVEL, math.ceil(math.log2(math.sqrt(area / max(n, 1)))))
-    active, settled = sites.withColumn("level", F.lit(level)), []
+    area = max(width, 1e-3) * max(height, 1e-3)
+    level = max(FINEST_LEVEL, math.ceil(math.log2(math.sqrt(area / n))))
+    active, settled, levels = sites.withColumn("level", F.lit(level)), [], [level]
     while True:
         active = active.withColumn("cx", _cell(F.col("x"), F.col("level"))).withColumn(
             "cy", _cell(F.col("y"), F.col("level"))
@@ -58,10 +56,11 @@ def _start_levels(sites: DataFrame) -> DataFrame:
         ).select("cx", "cy")
         if level <= FINEST_LEVEL or full.isEmpty():
             settled.append(active.drop("cx", "cy"))
-            return reduce(DataFrame.unionByName, settled)
+            return reduce(DataFrame.unionByName, settled), levels
         full = materialize(full, "full-cells")
         settled.append(salted_lookup(active, full, ["cx", "cy"], "left_anti").drop("cx", "cy"))
         level = max(FINEST_LEVEL, level - 3)
+        levels.append(level)
         active = materialize(
             salted_lookup(active, full, ["cx", "cy"], "left_semi")
             .drop("cx", "cy")
@@ -81,35 +80,35 @@ def nearest_distance(points: DataFrame) -> DataFrame:
     sites = materialize(
         points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("copies")), "sites"
     )
-    n_sites = sites.count()
-    done = [sites.where("copies > 1").select("x", "y", F.lit(0.0).alias("nn_dist"))]
-    if n_sites == 1:
-        done.append(
-            sites.where("copies = 1").select("x", "y", F.lit(None).cast("double").alias("nn_dist"))
-        )
+    n, x0, x1, y0, y1 = sites.agg(
+        F.count(F.lit(1)), F.min("x"), F.max("x"), F.min("y"), F.max("y")
+    ).first()
+    if n < 2:
+        alone = F.when(F.col("copies") > 1, F.lit(0.0))
+        nearest = sites.select("x", "y", alone.alias("nn_dist"))
     else:
-        open_sites = materialize(
-            _start_levels(sites).where("copies = 1").drop("copies"), "open-sites"
-        )
-        while not open_sites.isEmpty():
-            searched = materialize(_search_block(open_sites, sites), "searched")
+        done = [sites.where("copies > 1").select("x", "y", F.lit(0.0).alias("nn_dist"))]
+        started, levels = _start_levels(sites, n, x1 - x0, y1 - y0)
+        probes = started.where("copies = 1")
+        while levels:
+            searched = materialize(_search_block(probes, sites, levels), "searched")
             done.append(searched.where("nn_dist <= reach").select("x", "y", "nn_dist"))
             wider = F.greatest(F.ceil(F.log2("nn_dist")).cast("int"), F.col("level") + 1)
-            open_sites = searched.where("nn_dist is null or nn_dist > reach").select(
+            probes = searched.where("nn_dist is null or nn_dist > reach").select(
                 "x",
                 "y",
                 F.when(F.col("nn_dist").isNull(), F.col("level") + 2).otherwise(wider).alias("level"),
             )
-    nearest = reduce(DataFrame.unionByName, done)
+            # one integer per rung of the level ladder still in use, at most a few dozen
+            levels = sorted(r[0] for r in probes.select("level").distinct().collect())
+        nearest = reduce(DataFrame.unionByName, done)
     return salted_lookup(points.select("ord", "x", "y"), nearest, ["x", "y"]).select(
         "ord", "nn_dist"
     )
 
 
-def _search_block(probes: DataFrame, sites: DataFrame) -> DataFrame:
+def _search_block(probes: DataFrame, sites: DataFrame, levels: list[int]) -> DataFrame:
     """Least distance from each probe to any other site in its 3x3 block of cells."""
-    # one integer per rung of the level ladder in use, at most a few dozen
-    levels = sorted(r[0] for r in probes.select("level").distinct().collect())
     side = F.pow(F.lit(2.0), F.col("level"))
     targets = (
         sites.select("x", "y", F.explode(F.array(*map(F.lit, levels))).alias("level"))
