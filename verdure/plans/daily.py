@@ -121,9 +121,9 @@ def daily_ndvi(
 ) -> DataFrame:
     """One record per (area, day) of ``pairs`` with planted fields and a reference.
 
-    ``results`` are earlier records to skip. ``pixels`` is the long table (item_id,
-    band, row, col, raw); ``observation`` names further columns that tell several
-    observations of one cell apart.
+    ``results`` are earlier records to skip. ``pixels`` is either a strip table (item_id,
+    band, row, col0, values) or the long table (item_id, band, row, col, raw), for which
+    ``observation`` names further columns that tell several observations of a cell apart.
     """
     selection.require_columns(fields, "planting_date", "aoi_id")
     work = ndvi.work_set(fields, pairs)
@@ -134,7 +134,11 @@ def daily_ndvi(
     resolved = materialize(ndvi.resolved_refs(work, refs, scenes), "resolved")
     visits = ndvi.visits_of(resolved, rasters)
     runs = mask.area_mask(fields, visits, grids)
-    return ndvi.ndvi_records(resolved, ndvi.area_means(pixels, runs, visits, observation))
+    if "values" in pixels.columns:
+        means = ndvi.area_means_of_strips(pixels, runs, visits)
+    else:
+        means = ndvi.area_means(pixels, runs, visits, observation)
+    return ndvi.ndvi_records(resolved, means)
 
 
 def run_areas(

@@ -12,7 +12,8 @@ from verdure.operators import aoi
 from verdure.operators.neighbors import nearest_distance
 from verdure.operators.selection import aoi_days, scene_refs
 from verdure.plans.daily import AreaSettings
-from verdure.session import configure, materialize
+from verdure.session import configure, materialize, scratch_path
+from verdure.sources.raster import read_strips, to_strips, write_strips
 
 AS_OF = dt.date(2024, 1, 30)
 MASK_DAY = dt.date(2024, 1, 15)
@@ -162,12 +163,15 @@ class Stage:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
 
-    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in self._written:
-            self._written[key] = materialize(build(), name)
+            self._written[key] = build()
         return self._written[key]
 
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return self._keep(name, lambda: materialize(build(), name))
+
     def points(self) -> DataFrame:
         return self._once("points", lambda: aoi.field_points(fields(self.spark, self.sf_dir)))
 
@@ -195,6 +199,17 @@ class Stage:
             lambda: aoi.tag_fields(fields(self.spark, self.sf_dir), self.clusters(), self.aois()),
         )
 
+    def strips(self) -> DataFrame:
+        """The pixels as a strip table partitioned by band."""
+
+        def write_and_read() -> DataFrame:
+            path = scratch_path(self.spark, "strips")
+            pixel_strips = to_strips(pixels(self.spark, self.sf_dir), GRID_SIZE)
+            write_strips(pixel_strips, path)
+            return read_strips(self.spark, path)
+
+        return self._keep("strips", write_and_read)
+
     def pairs(self) -> DataFrame:
         return aoi_days(self.aois(), self.tagged(), AS_OF)
 

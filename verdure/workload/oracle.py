@@ -349,8 +349,14 @@ ON f.aoi_id = d.aoi_id AND f.first <= d.date
 """,
 )
 step(
-    "v_records",
-    f"""
+    "v_ndvi_cells",
+    """
+SELECT item_id, row, col, CASE WHEN nir + red <> 0 THEN (nir - red) / (nir + red) END AS ndvi
+FROM (SELECT item_id, row, col, max(red_raw) * 0.0001::DOUBLE AS red, max(nir_raw) * 0.0001::DOUBLE AS nir
+  FROM v_pixels GROUP BY item_id, row, col)
+""",
+)
+RECORDS = f"""
 SELECT r.aoi_id, r.date, r.turn, r.status, CASE WHEN r.status = 'ok' THEN m.mean_ndvi END AS mean_ndvi,
   CASE WHEN r.status = 'ok' THEN r.cloud_cover END AS cloud_cover,
   CASE WHEN r.status = 'ok' THEN r.item_datetime END AS item_datetime
@@ -361,8 +367,9 @@ LEFT JOIN (SELECT f.aoi_id, f.date, avg(n.ndvi) AS mean_ndvi FROM v_refs f
     JOIN mask_fine k ON k.aoi_id = f.aoi_id AND k.date = f.date
     JOIN v_ndvi n ON n.item_id = CAST(f.event_id % 4 AS VARCHAR) AND n.row = k.row AND n.col = k.col
   WHERE f.status = 'ok' GROUP BY f.aoi_id, f.date) m ON m.aoi_id = r.aoi_id AND m.date = r.date
-""",
-)
+"""
+step("v_records", RECORDS)
+step("v_strip_records", RECORDS.replace("JOIN v_ndvi n", "JOIN v_ndvi_cells n"))
 
 # --- statements --------------------------------------------------------------------
 
@@ -542,6 +549,7 @@ FROM v_work w LEFT JOIN (SELECT * FROM v_refs WHERE turn % 5 <> 0) f ON f.aoi_id
 """,
 )
 define("ndvi_by_aoi_day", f"SELECT {RECORD} FROM v_records")
+define("ndvi_from_strips", f"SELECT {RECORD} FROM v_strip_records")
 define("ndvi_sink_roundtrip", f"SELECT {RECORD} FROM v_records")
 define(
     "stage_manifest",

@@ -377,11 +377,7 @@ def incremental_ndvi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pixel_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "strips")
-    raster_files.write_strips(
-        raster_files.to_strips(b.pixels(spark, sf_dir), b.GRID_SIZE), path
-    )
-    strips = raster_files.read_strips(spark, path)
+    strips = Stage(spark, sf_dir).strips()
     found = raster_files.scan_pixels(strips, ["red"], rows=(10, 90), cols=(20, 100))
     return found.where("raw is not null").select("item_id", "band", "row", "col", "raw")
 
@@ -471,7 +467,7 @@ def pixel_mask_tiny(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- daily index -------------------------------------------------------------------
 
 
-def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _records(spark: SparkSession, sf_dir: str, pixels: DataFrame | None = None) -> DataFrame:
     s = Stage(spark, sf_dir)
     return daily.daily_ndvi(
         s.tagged(),
@@ -480,7 +476,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
         b.scenes(spark, sf_dir),
         b.rasters(spark, sf_dir),
         b.grids(spark, sf_dir),
-        b.pixels(spark, sf_dir),
+        b.pixels(spark, sf_dir) if pixels is None else pixels,
         observation=b.OBSERVATION,
     )
 
@@ -510,6 +506,13 @@ def ndvi_by_aoi_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(spark, sf_dir).select(*_record_columns())
 
 
+@query
+def ndvi_from_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stage from a dense strip table; a cell keeps its largest observation."""
+    strips = Stage(spark, sf_dir).strips()
+    return _records(spark, sf_dir, strips).select(*_record_columns())
+
+
 @query
 def ndvi_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "series")
