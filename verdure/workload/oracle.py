@@ -6,11 +6,27 @@ once in ``STEPS`` and pulled into a statement as common table expressions.
 
 from __future__ import annotations
 
+import math
 import re
 
-# GRS80 and EPSG:3035 constants in decimal form.
-E2, QP, RQ, D = "0.00669438002290079", "1.99553108748094", "6371007.1808835175", "1.00042539452801"
-ECC, B0 = "0.08181919104281579", "0.905397516815878"
+
+def _ellipsoid_constants() -> tuple[str, ...]:
+    """GRS80 and EPSG:3035 constants, each as the shortest text of its double."""
+    f = 1 / 298.257222101
+    e2 = f * (2 - f)
+    e = math.sqrt(e2)
+    sin0 = math.sin(math.radians(52))
+
+    def q(s: float) -> float:
+        return (1 - e2) * (s / (1 - e2 * s * s) + math.atanh(e * s) / e)
+
+    qp = q(1.0)
+    b0, rq = math.asin(q(sin0) / qp), 6378137 * math.sqrt(qp / 2)
+    d = 6378137 * math.cos(math.radians(52)) / math.sqrt(1 - e2 * sin0 * sin0) / (rq * math.cos(b0))
+    return tuple(map(repr, (e2, qp, rq, d, e, b0)))
+
+
+E2, QP, RQ, D, ECC, B0 = _ellipsoid_constants()
 
 STEPS: dict[str, str] = {}
 SQL: dict[str, str] = {}
@@ -420,7 +436,7 @@ FROM v_vertices v JOIN v_metres m ON m.ord = v.ord AND m.k = v.k
 define("project_laea", "SELECT ord, k, round(px, 3) AS x, round(py, 3) AS y FROM v_metres")
 define(
     "unproject_laea",
-    f"SELECT ord, k, round({_lon}, 9) AS lon, round({_lat}, 9) AS lat "
+    f"SELECT ord, k, round({_lon}, 8) AS lon, round({_lat}, 8) AS lat "
     "FROM (SELECT ord, k, round(px, 3) AS x, round(py, 3) AS y FROM v_metres)",
 )
 define("centroids", "SELECT ord, x, y FROM v_centroids")

@@ -130,7 +130,7 @@ def project_laea(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unproject_laea(spark: SparkSession, sf_dir: str) -> DataFrame:
     metres = project_laea(spark, sf_dir)
     return metres.withColumn("p", projection.laea_inverse(F.col("x"), F.col("y"))).select(
-        "ord", "k", F.round(F.col("p")[0], 9).alias("lon"), F.round(F.col("p")[1], 9).alias("lat")
+        "ord", "k", F.round(F.col("p")[0], 8).alias("lon"), F.round(F.col("p")[1], 8).alias("lat")
     )
 
 
