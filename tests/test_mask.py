@@ -153,6 +153,30 @@ def test_area_mean_skips_bad_pixels(spark):
     assert [r["mean_ndvi"] for r in ndvi.area_means(empty, runs, visits(spark, D(2024, 1, 1))).collect()] == [None]
 
 
+def test_strips_and_long_pixels_give_the_same_mean(spark):
+    gen = np.random.default_rng(11)
+    fields = spark.createDataFrame(
+        [(i, "A", D(2024, 1, 1 + i % 2), g) for i, g in enumerate(random_geoms(6, 4))], FIELD
+    )
+    runs = mask.area_mask(fields, areas_on(spark, "A"), grid(spark))
+    rows = [
+        ("i", b, r, c, float(v))
+        for b in ("r", "n", "unused")
+        for r in range(40)
+        for c, v in enumerate(gen.integers(-1, 9, 40))
+        if v >= 0 and (r + c) % 7
+    ]
+    pixels = spark.createDataFrame(rows, "item_id string, band string, row long, col long, raw double")
+    days = visits(spark, D(2024, 1, 1), D(2024, 1, 2))
+    wanted = ndvi.visited_bands(pixels, days)
+    assert {r["band"] for r in wanted.select("band").distinct().collect()} == {"r", "n"}
+    long = dict(ndvi.area_means(wanted, runs, days).select("date", "mean_ndvi").collect())
+    for width in (8, 40, mask.STRIP):
+        strips = raster_files.to_strips(pixels, width)
+        got = dict(ndvi.area_means_of_strips(strips, runs, days).select("date", "mean_ndvi").collect())
+        assert got.keys() == long.keys() and all(abs(got[d] - long[d]) < 1e-12 for d in got)
+
+
 def test_strips_hold_and_slice_pixels(spark, tmp_path):
     gen = np.random.default_rng(5)
     cells = {(int(r), int(c)): float(v) for r, c, v in zip(gen.integers(0, 9, 80), gen.integers(0, 70, 80), gen.random(80))}

@@ -65,6 +65,17 @@ def eligible_scenes(scenes: DataFrame, max_cloud: float = MAX_CLOUD) -> DataFram
     )
 
 
+def scenes_of_days(scenes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Scenes between the first and the last day of ``pairs``.
+
+    The two days are scalar subqueries and reach the scan as bounds on ``dt``, so a run
+    for one new day does not read the whole catalog.
+    """
+    first = pairs.select(F.min("date").cast("timestamp_ntz")).scalar()
+    after = pairs.select(F.date_add(F.max("date"), 1).cast("timestamp_ntz")).scalar()
+    return scenes.where((F.col("dt") >= first) & (F.col("dt") < after))
+
+
 def _cells(xmin: Column, ymin: Column, xmax: Column, ymax: Column, size: float) -> Column:
     def steps(lo: Column, hi: Column) -> Column:
         return F.sequence(F.floor(lo / size), F.floor(hi / size))

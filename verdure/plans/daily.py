@@ -105,6 +105,7 @@ def select_scenes(
     if existing is not None:
         kept = incremental.refreshable(existing) if refresh_missing else existing
         pairs = incremental.missing_pairs(pairs, kept, match_bbox)
+        scenes = selection.scenes_of_days(scenes, pairs)
     return selection.scene_refs(pairs, aois, scenes, max_cloud, catalog_url)
 
 
@@ -132,8 +133,9 @@ def daily_ndvi(
     else:
         work = work.join(refs.select("aoi_id", "date"), ["aoi_id", "date"], "left_semi")
     resolved = materialize(ndvi.resolved_refs(work, refs, scenes), "resolved")
-    visits = ndvi.visits_of(resolved, rasters)
+    visits = materialize(ndvi.visits_of(resolved, rasters), "visits")
     runs = mask.area_mask(fields, visits, grids)
+    pixels = ndvi.visited_bands(pixels, visits)
     if "values" in pixels.columns:
         means = ndvi.area_means_of_strips(pixels, runs, visits)
     else:
