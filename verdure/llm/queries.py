@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdure.llm import token_files
+from verdure.llm import automaton, token_files
 from verdure.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,12 @@ BYTE_BPE, BYTE_VOCABULARY, BYTE_END = "byte_bpe_50k.json", 50_257, 0
 WORD_BPE, WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 49_408, 1
 
 
+@query
+def op3_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode and decode all documents with the compiled automaton."""
+    return automaton.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE))
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents as token files, read them back and describe every document."""
