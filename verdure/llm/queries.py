@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdure.llm import automaton, token_files
+from verdure.llm import automaton, language, token_files
 from verdure.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,13 @@ BYTE_BPE, BYTE_VOCABULARY, BYTE_END = "byte_bpe_50k.json", 50_257, 0
 WORD_BPE, WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 49_408, 1
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned outside the held-out fold."""
+    found = language.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
+
+
 @query
 def op3_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode all documents with the compiled automaton."""
