@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdure.llm import automaton, language, token_files
+from verdure.llm import automaton, language, packing, token_files
 from verdure.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = token_files.write_token_files(docs, "byte", tokenizer_path(BYTE_BPE), BYTE_END, BYTE_VOCABULARY)
     return token_files.digests(token_files.read_token_files(manifest))
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents into sequences with every source's share in each window."""
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.pack(docs, "word", tokenizer_path(WORD_BPE), WORD_END, with_ids=False)
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
