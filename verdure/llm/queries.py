@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdure.llm import automaton, language, packing, secrets, token_files
+from verdure.llm import automaton, jaccard, language, packing, secrets, token_files
 from verdure.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+@query
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under the similarity of their word shingles."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents as token files, read them back and describe every document."""
