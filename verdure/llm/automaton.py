@@ -29,8 +29,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdure.llm.chunks import Memory, groups, little_endian, per_worker
+from verdure.llm.chunks import Coder, byte_symbols, groups, little_endian
 from verdure.llm.common import batch_of, sha256_hex
+from verdure.llm.memory import Memory, per_worker
+from verdure.llm.plain import PlainCoder
 
 #: Resolved pairs kept in a worker's transition table before it starts anew.
 ARCS_KEPT = 2_000_000
@@ -38,14 +40,6 @@ ARCS_KEPT = 2_000_000
 BASE = -1  # made by no gadget
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    symbol = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-    return [symbol[b] for b in range(256)]
-
-
 class Automaton:
     """The compiled merges; ``end`` marks the last symbol of a word and may be empty."""
 
@@ -170,7 +164,9 @@ class WordTokenizer:
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         labels = {i: t for i, t in enumerate(self.automaton.label)} | {i: t for t, i in self.special.items()}
         self.labels = [labels[i].encode() for i in range(max(labels) + 1)]
-        self.memory = Memory(lambda keys: [little_endian(self._chunk(k)) for k in keys])
+        self.chunks = Memory(lambda keys: [little_endian(self._chunk(k)) for k in keys])
+        plain = PlainCoder(False, True, lambda words: [little_endian(self.automaton.encode(w)) for w in words])
+        self.encode = Coder(plain, self._general)
 
     def _chunk(self, chunk: str) -> list[int]:
         ids: list[int] = []
@@ -184,9 +180,9 @@ class WordTokenizer:
                 ids += self.automaton.encode(word.encode())
         return ids
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts, little-endian unsigned 32-bit; chunks between spaces are encoded once."""
-        return [b"".join(ids) for ids in self.memory.values([t.split(" ") for t in texts])]
+    def _general(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts of any kind; chunks between spaces are encoded once."""
+        return [b"".join(ids) for ids in self.chunks.values([t.split(" ") for t in texts])]
 
     def decode(self, ids: bytes) -> bytes:
         """The labels of the ids, joined by spaces, in UTF-8."""

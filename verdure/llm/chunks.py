@@ -1,60 +1,25 @@
-"""Token ids of whole texts, put together from remembered space-separated chunks.
+"""Token ids of whole texts by the tokenizers library, each different piece encoded once.
 
-A text is cut before single spaces where both tokenizer families start a new pre-token, every different chunk
-is encoded once by the tokenizers library and the texts are joined from the remembered ids. The memory has two
-generations of at most ``CHUNKS_KEPT`` chunks, so it stays bounded while frequent chunks survive.
+Plain Latin texts are split into pre-tokens by array operations and the library's merge model encodes the different
+ones. Any other text is cut before single spaces, where both tokenizer families start a new pre-token, and the
+library's whole chain encodes the different chunks. Answers are kept in bounded memories of the worker.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 
-#: Chunks per generation in a worker; longer ones than ``LONGEST_KEPT`` characters are encoded each time.
-CHUNKS_KEPT = 400_000
-LONGEST_KEPT = 100
+from verdure.llm.memory import Memory, per_worker
+from verdure.llm.plain import PlainCoder
+
 #: Characters of text encoded together.
 GROUP_CHARS = 4_000_000
 
-_workers: dict[tuple, object] = {}
-
-
-def per_worker(key: tuple, build: Callable[[], object]) -> object:
-    """An object made once in a Python worker."""
-    if key not in _workers:
-        _workers[key] = build()
-    return _workers[key]
-
-
-class Memory:
-    """Values of string keys, remembered in two generations; ``encode`` maps a list of keys to their values."""
-
-    def __init__(self, encode: Callable[[list[str]], list], kept: int = CHUNKS_KEPT):
-        self.encode, self.kept = encode, kept
-        self.young: dict[str, object] = {}
-        self.old: dict[str, object] = {}
-
-    def values(self, lists: list[list[str]]) -> list[list]:
-        """The values of each list of keys."""
-        if len(self.young) > self.kept:
-            self.old, self.young = self.young, {}
-        get = self.young.get
-        found = [list(map(get, keys)) for keys in lists]
-        short = [i for i, values in enumerate(found) if None in values]
-        missing = {k for i in short for k, v in zip(lists[i], found[i], strict=True) if v is None}
-        if missing:
-            new = {k: self.old[k] for k in missing if k in self.old}
-            asked = [k for k in missing if k not in new]
-            new.update(zip(asked, self.encode(asked), strict=True))
-            self.young.update((k, v) for k, v in new.items() if len(k) <= LONGEST_KEPT)
-            for i in short:
-                found[i] = [new[k] if v is None else v for k, v in zip(lists[i], found[i], strict=True)]
-        return found
-
 
 def load_tokenizer(path: str):
     """The library's tokenizer without truncation and padding, one thread in every worker."""
@@ -67,60 +32,84 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
-def little_endian(ids) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+def little_endian(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
 
+def byte_symbols() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    plain = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)}
+    rest = {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - plain))}
+    return [rest.get(b, chr(b)) for b in range(256)]
 
-def _library(path: str, before: str = "") -> Callable[[list[str]], list[bytes]]:
-    tokenizer = load_tokenizer(path)
 
-    def encode(keys: list[str]) -> list[bytes]:
-        done = []
-        for at in range(0, len(keys), 20_000):
-            texts = [before + k for k in keys[at : at + 20_000]]
+def _chain(tokenizer, before: str = "") -> Callable[[list[str]], list[bytes]]:
+    """The library's whole chain for chunks; ``before`` is put in front of each."""
+
+    def encode(chunks: list[str]) -> list[bytes]:
+        done: list[bytes] = []
+        for at in range(0, len(chunks), 20_000):
+            texts = [before + c for c in chunks[at : at + 20_000]]
             done += [little_endian(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return done
 
     return encode
 
 
-class WordCoder:
-    """Ids under a tokenizer that drops white space: chunks are what lies between spaces."""
-
-    def __init__(self, path: str):
-        self.memory = Memory(_library(path))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(ids) for ids in self.memory.values([t.split(" ") for t in texts])]
-
-
-#: A space before a visible ASCII character always starts a pre-token.
-_BREAK = re.compile(r"(?= [!-~])")
+def _merges(tokenizer) -> Callable[[list[bytes]], list[bytes]]:
+    """The library's merge model alone, for pre-tokens."""
+    symbols = dict(enumerate(byte_symbols()))
+    merge = tokenizer.model.tokenize
+    return lambda tokens: [little_endian([t.id for t in merge(w.decode("latin-1").translate(symbols))]) for w in tokens]
 
 
-class ByteCoder:
-    """Ids under a byte-level tokenizer, whose pre-tokens carry the space before them.
+class GeneralCoder:
+    """Ids of texts of any kind.
 
-    Where each chunk starts with a visible character the cut at every space is safe; other texts are cut only
-    before a space that a visible ASCII character follows.
+    Under a word vocabulary a chunk is what lies between spaces. Under a byte-level one it takes the space before it:
+    where each chunk starts with a visible character the cut at every space is safe, other texts are cut only before a
+    space that a visible ASCII character follows.
     """
 
-    def __init__(self, path: str):
-        self.plain = Memory(_library(path))
-        self.spaced = Memory(_library(path, " "))
+    _BREAK = re.compile(r"(?= [!-~])")
+
+    def __init__(self, tokenizer, spaced: bool):
+        self.spaced = spaced
+        self.heads = Memory(_chain(tokenizer))
+        self.tails = Memory(_chain(tokenizer, " "))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
+        if not self.spaced:
+            return [b"".join(ids) for ids in self.heads.values(cut)]
         odd = [any(not c or c[0].isspace() for c in chunks[1:]) for chunks in cut]
-        heads = self.plain.values([_BREAK.split(t) if o else c[:1] for t, c, o in zip(texts, cut, odd, strict=True)])
-        tails = self.spaced.values([[] if o else c[1:] for c, o in zip(cut, odd, strict=True)])
+        heads = self.heads.values([self._BREAK.split(t) if o else c[:1] for t, c, o in zip(texts, cut, odd, strict=True)])
+        tails = self.tails.values([[] if o else c[1:] for c, o in zip(cut, odd, strict=True)])
         return [b"".join(h) + b"".join(t) for h, t in zip(heads, tails, strict=True)]
 
 
-def coder(kind: str, path: str) -> Callable[[list[str]], list[bytes]]:
-    """The worker's coder; ``kind`` is ``word`` or ``byte``. Ids come as little-endian unsigned 32-bit."""
-    make = {"word": WordCoder, "byte": ByteCoder}[kind]
-    return per_worker((kind, path), lambda: make(path))
+class Coder:
+    """Ids of whole texts, little-endian unsigned 32-bit."""
+
+    def __init__(self, plain: PlainCoder, general: Callable[[list[str]], list[bytes]]):
+        self.plain, self.general = plain, general
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        done = self.plain(texts)
+        rest = [i for i, ids in enumerate(done) if ids is None]
+        for i, ids in zip(rest, self.general([texts[i] for i in rest]), strict=True):
+            done[i] = ids
+        return done
+
+
+def coder(kind: str, path: str) -> Coder:
+    """The worker's coder of a tokenizer file; ``kind`` is ``word`` or ``byte``."""
+
+    def make() -> Coder:
+        tokenizer, spaced = load_tokenizer(path), kind == "byte"
+        return Coder(PlainCoder(spaced, not spaced, _merges(tokenizer)), GeneralCoder(tokenizer, spaced))
+
+    return per_worker((kind, path), make)
 
 
 def groups(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:

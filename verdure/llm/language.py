@@ -26,8 +26,9 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdure.llm.chunks import groups, per_worker
+from verdure.llm.chunks import groups
 from verdure.llm.common import batch_of
+from verdure.llm.memory import per_worker
 
 ORDER = 3
 ALPHABET = 63
