@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdure.llm import automaton, jaccard, language, packing, secrets, token_files
+from verdure.llm import automaton, jaccard, language, neardup, packing, secrets, token_files
 from verdure.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,12 @@ def op3_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return automaton.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE))
 
 
+@query
+def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with a cosine of 0.95 or more."""
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents, found once per content and joined back to every document."""
