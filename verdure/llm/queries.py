@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdure.llm import automaton, jaccard, language, neardup, packing, secrets, token_files
+from verdure.llm import automaton, jaccard, language, neardup, packing, secrets, token_files, topk
 from verdure.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,12 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector with all others."""
+    return topk.top_products(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents as token files, read them back and describe every document."""
