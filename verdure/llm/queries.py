@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdure.llm import automaton, jaccard, language, neardup, packing, secrets, token_files, topk
+from verdure.llm import automaton, jaccard, language, licenses, neardup, packing, secrets, token_files, topk
 from verdure.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,12 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named or granted in all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents as token files, read them back and describe every document."""
