@@ -350,3 +350,22 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     alone = rows.where("n = 0").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "cls"]
     return worded.select(*columns).unionByName(alone.select(*columns))
+
+
+def one_per_component(docs: DataFrame) -> DataFrame:
+    """``docs`` with the document of the smallest doc_id of each component; columns stay.
+
+    Of rows that repeat an id, or have none, one of each component stays as well: they are numbered in the order of
+    their ids, rows without one last.
+    """
+    ids = docs.agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
+    if ids["rows"] == ids["ids"]:
+        found = jaccard_components(docs).where("doc_id <> component_id").select("doc_id")
+        return docs.join(materialize(found, "shingle-removed"), "doc_id", "left_anti").select(*docs.columns)
+    marked = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    order = marked.select("_row", "doc_id").orderBy(F.col("doc_id").asc_nulls_last(), "_row")
+    numbers = materialize(order.select("_row", F.monotonically_increasing_id().alias("_number")), "numbers")
+    named = marked.join(numbers, "_row")
+    found = jaccard_components(named.select(F.col("_number").alias("doc_id"), "text")).where("doc_id <> component_id")
+    removed = materialize(found.select(F.col("doc_id").alias("_number")), "shingle-removed")
+    return named.join(removed, "_number", "left_anti").select(*docs.columns)

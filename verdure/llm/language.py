@@ -228,3 +228,28 @@ def identify(docs: DataFrame) -> DataFrame:
     """Learn from the labelled documents outside the held-out fold and predict all documents."""
     learn = docs.where(~held_out() & F.col("doc_id").isNotNull()).select("lang", "text")
     return predict(docs, fit(learn)).withColumn("held_out", held_out())
+
+
+#: A document whose best language has a smaller share than this is rejected.
+LEAST_SCORE = 0.5
+
+
+def keep_identified(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """``docs`` (doc_id, text, lang and any others) without those whose language cannot be told; columns stay."""
+    learn = docs.where(~held_out() & F.col("doc_id").isNotNull()).select("lang", "text")
+    model = fit(learn)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("boolean")
+    def kept(text: pa.Array) -> pa.Array:
+        learned = sent.value
+        texts = [t.as_py() for t in text]
+        out = np.zeros(len(texts), bool)
+        told = [i for i, t in enumerate(texts) if has_letter(t)] if learned.languages else []
+        if told:
+            trees = per_worker(("ppm", learned.key), lambda: Trees(learned))
+            bits = trees.bits([folded(texts[i]) for i in told])
+            out[told] = 1 / np.exp2(bits.min(axis=1)[:, None] - bits).sum(axis=1) >= least
+        return pa.array(out)
+
+    return docs.where(kept(F.col("text").cast("string")))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdure.llm import automaton, jaccard, language, licenses, neardup, packing, secrets, token_files, topk
+from verdure.llm import automaton, jaccard, language, licenses, neardup, packing, quality, secrets, token_files, topk
 from verdure.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by two views that taught each other."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode all documents with the compiled automaton."""
