@@ -45,3 +45,16 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """The rows of all batches, one after the other."""
     for batch in batches:
         yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """A column name that is not among ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(columns: list[str]) -> list[str]:
+    """Column names as references, whatever signs they hold."""
+    return ["`" + c.replace("`", "``") + "`" for c in columns]

@@ -160,6 +160,7 @@ def pack(
     tokenizer: str,
     end_id: int,
     weights: dict[str, float] | None = None,
+    window: int = WINDOW,
     segment_windows: int = SEGMENT_WINDOWS,
     with_ids: bool = True,
 ) -> DataFrame:
@@ -167,7 +168,7 @@ def pack(
 
     ``docs`` has doc_id, source and text; null text is empty (its end id is packed), null source is a queue of its
     own, repeated rows are packed each, other columns are not read, an empty table gives no rows. ``weights`` maps
-    queue names (``=source`` or ``none``) to targets. Each token lies in exactly one piece.
+    queue names (``=source`` or ``none``) to targets; ``window`` is the number of sequences in which they are met. Each token lies in exactly one piece.
     """
     spark = docs.sparkSession
     tokens = materialize(tokenize(docs, kind, tokenizer, end_id), "packing-tokens")
@@ -175,7 +176,7 @@ def pack(
     earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = materialize(sums.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "packing-sums")
     totals = {r["queue"]: r["n"] for r in before.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
-    schedule = Schedule.of(totals, weights, segment_windows * WINDOW * LENGTH)
+    schedule = Schedule.of(totals, weights, segment_windows * window * LENGTH)
     placed = tokens.join(before.select("queue", "part", "before"), ["queue", "part"])
     placed = placed.select("doc_id", "queue", (F.col("before") + F.col("within")).alias("at"), "n", "ids")
     sent = spark.sparkContext.broadcast(schedule)
@@ -217,12 +218,12 @@ def pack(
         segment, rows = None, []
         for row in rows_of(batches):
             if row[0] != segment and rows:
-                yield from _fill_segment(plan, segment, rows, segment_windows, with_ids)
+                yield from _fill_segment(plan, segment, rows, window, segment_windows, with_ids)
                 rows = []
             segment = row[0]
             rows.append(row)
         if rows:
-            yield from _fill_segment(plan, segment, rows, segment_windows, with_ids)
+            yield from _fill_segment(plan, segment, rows, window, segment_windows, with_ids)
 
     return ordered.mapInArrow(fill, _ddl(_PIECES))
 
@@ -263,7 +264,9 @@ def sequence_ends(tokens: int) -> list[int]:
     return ends
 
 
-def _fill_segment(plan: Schedule, segment: int, rows: list[tuple], segment_windows: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _fill_segment(
+    plan: Schedule, segment: int, rows: list[tuple], window: int, segment_windows: int, with_ids: bool
+) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor()
     size = len(plan.queues)
     queues: list[list[tuple]] = [[] for _ in range(size)]
@@ -274,13 +277,13 @@ def _fill_segment(plan: Schedule, segment: int, rows: list[tuple], segment_windo
     edge = np.asarray([segment])
     account = np.asarray([float((plan.fluid(q, edge) - plan.first(q, edge))[0]) for q in range(size)])
     ends = sequence_ends(int(counts.sum()))
-    stride = 2 * segment_windows * WINDOW + 64 + size
+    stride = 2 * segment_windows * window + 64 + size
     if len(ends) > stride:
         raise ValueError("a segment has more sequences than its numbers allow")
     place, used, data = [0] * size, [0] * size, [None] * size
     at, sequence, out = 0, 0, []
-    for window, take in enumerate(windows_of(counts, account, WINDOW * LENGTH)):
-        turn = (segment * segment_windows + window) % size
+    for number, take in enumerate(windows_of(counts, account, window * LENGTH)):
+        turn = (segment * segment_windows + number) % size
         for q in [*range(turn, size), *range(turn)]:
             due = int(take[q])
             while due:
@@ -292,7 +295,7 @@ def _fill_segment(plan: Schedule, segment: int, rows: list[tuple], segment_windo
                 ids = data[q][used[q] : used[q] + length].tobytes()
                 out.append(
                     (doc, start + used[q], length, zlib.crc32(ids), total, segment * stride + sequence, at - begin)
-                    + (plan.queues[q], segment * 2 * segment_windows + window, ids if with_ids else None)
+                    + (plan.queues[q], segment * (2 * segment_windows + size + 1) + number, ids if with_ids else None)
                 )
                 at, due, used[q] = at + length, due - length, used[q] + length
                 if at == ends[sequence]:

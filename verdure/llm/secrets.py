@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from verdure.llm.common import new_folder
+from verdure.llm.common import fresh, new_folder, quoted
 from verdure.session import materialize
 
 
@@ -88,7 +88,7 @@ def suspicious(rules: tuple[Rule, ...] = RULES, text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string").rlike("|".join(f"(?:{r.pattern})" for r in rules)), F.lit(False))
 
 
-def _version_table(spark: SparkSession, rules: tuple[Rule, ...]) -> Column:
+def _version_table(rules: tuple[Rule, ...]) -> Column:
     return F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
 
 
@@ -133,7 +133,6 @@ def record(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) ->
 
     ``text`` is kept for suspicious rows only.
     """
-    spark = docs.sparkSession
     staged = materialize(
         docs.select(
             F.col("doc_id").cast("long"),
@@ -143,7 +142,7 @@ def record(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) ->
         "secret-paths",
     )
     seen = ledger.seen()
-    current = F.explode(_version_table(spark, rules)).alias("rule")
+    current = F.explode(_version_table(rules)).alias("rule")
     blobs = staged.groupBy("blob").agg(F.first("text").alias("text"))
     wanted = blobs.select("blob", "text", current).select("blob", "text", "rule.*")
     unseen = materialize(wanted.join(seen, ["blob", "kind", "version"], "left_anti"), "secret-blobs")
@@ -211,20 +210,22 @@ def redact(docs: DataFrame, mark: str = "[secret]", ledger: Ledger | None = None
     ledger = ledger or Ledger(docs.sparkSession, new_folder(docs.sparkSession, "secret-ledger"))
     staged = record(docs, ledger, rules)
     texts = staged.where("text is not null").groupBy("blob").agg(F.first("text").alias("old"))
+    name, new = fresh(docs.columns, "blob"), fresh(docs.columns, "redacted")
     clean = materialize(
-        texts.join(spans_by_blob(ledger, rules), "blob").select("blob", redacted_text(F.col("old"), F.col("spans"), mark).alias("_new")),
+        texts.join(spans_by_blob(ledger, rules), "blob").select(
+            F.col("blob").alias(name), redacted_text(F.col("old"), F.col("spans"), mark).alias(new)
+        ),
         "secret-redacted",
     )
     kept = docs.where(~suspicious(rules))
-    named = docs.where(suspicious(rules)).withColumn("_blob", blob_of())
-    changed = named.join(clean.withColumnRenamed("blob", "_blob"), "_blob", "left")
-    text = F.coalesce("_new", F.col("text").cast("string"))
+    changed = docs.where(suspicious(rules)).withColumn(name, blob_of()).join(clean, name, "left")
     columns = []
-    for c in docs.columns:
+    for c, reference in zip(docs.columns, quoted(docs.columns), strict=True):
         if c == "text":
-            columns.append(text.alias(c))
+            columns.append(F.coalesce(new, F.col("text").cast("string")).alias(c))
         elif c == "n_chars":
-            columns.append(F.when(F.col("_new").isNotNull(), F.char_length("_new")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
+            counted = F.when(F.col(new).isNotNull(), F.char_length(new)).otherwise(F.col(c))
+            columns.append(counted.cast(docs.schema[c].dataType).alias(c))
         else:
-            columns.append(F.col(c))
+            columns.append(F.col(reference))
     return kept.unionByName(changed.select(*columns))
