@@ -105,7 +105,7 @@ RULES: list[tuple[str, list[str]]] = [
 
 _PATTERNS = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
 _END = re.compile(r"(?<=[.!?])\s+|(?<=:)[ \t]*\n|\n[ \t]*(?:#+|//+|\*+|--|;+|>)?[ \t]*(?=\n)")
-_SIGNS = re.compile(r"(?m)^[ \t]*(?:#+|//+|/?\*+/?|--|;+|>)[ \t]?")
+_SIGNS = re.compile(r"(?m)^[ \t]*(?:(?:#+|//+|/?\*+/?|--|;+|>)[ \t]*)+")
 _QUOTES = re.compile("[\"'`“”‘’]")
 _TRIGGER = re.compile(TRIGGER)
 LONGEST_SENTENCE = 2_000
@@ -131,7 +131,8 @@ def identify(sentence: str) -> tuple[str, str] | None:
     plain = normalised(sentence)
     for name, pattern in _PATTERNS:
         found = pattern.fullmatch(plain)
-        if found:
+        # a tag ends with its line
+        if found and not (name == "spdx" and "\n" in sentence.strip()):
             version = (found.groupdict().get("v") or "").strip()
             # identifiers keep their case
             at = sentence.lower().find(version) if name == "spdx" else -1
@@ -140,7 +141,7 @@ def identify(sentence: str) -> tuple[str, str] | None:
 
 
 def sentences(text: str) -> Iterator[Sentence]:
-    """Known sentences with their places; where a sentence over several lines is not known, its lines are tried."""
+    """Known sentences with their places; where a sentence over several lines is not known, its later lines and each line are tried."""
     at = 0
     for end in [*((m.start(), m.end()) for m in _END.finditer(text)), (len(text), len(text))]:
         part = text[at : end[0]]
@@ -148,15 +149,24 @@ def sentences(text: str) -> Iterator[Sentence]:
         if known:
             yield Sentence(*known, at, end[0])
         elif "\n" in part:
-            place = at
-            for line in part.split("\n"):
-                known = identify(line)
-                if known:
-                    yield Sentence(*known, place, place + len(line))
-                place += len(line) + 1
+            yield from _from_lines(part, at)
         at = end[1]
 
 
+def _from_lines(part: str, at: int) -> Iterator[Sentence]:
+    """Known sentences in a part whose first lines belong to something else, or that has one per line."""
+    end, lines = at + len(part), part.split("\n")
+    for i, line in enumerate(lines):
+        rest = identify(part[at - end :]) if i and end - at <= LONGEST_SENTENCE else None
+        if rest:
+            yield Sentence(*rest, at, end)
+            return
+        known = identify(line)
+        if known:
+            yield Sentence(*known, at, at + len(line))
+        at += len(line) + 1
+
+
 def _version(name: str, version: str) -> str:
     if name == "cc-attribution":
         return version.replace("noncommercial", "NC").replace("sharealike", "SA").replace("noderivatives", "ND").replace(" ", "-")
