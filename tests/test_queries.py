@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_oracles import compare, connect
+from verdure.workload.oracle import SQL
+from verdure.workload.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
@@ -17,10 +19,11 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, name):
     ok, note = compare(spark, con, SF_DIR, name)
     assert ok, note
