@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from verdure.functions import geometry, projection
@@ -89,6 +90,15 @@ def test_copied_fields_count_each_pixel_once(spark):
     assert len(cells_of(runs)) == 64
 
 
+def test_columns_never_become_rows(spark):
+    wide = [[ring((0, 0), (10, 0), (10, 10), (0, 10))]]
+    fields = spark.createDataFrame([(i, "A", D(2024, 1, 1 + i), wide) for i in range(3)], FIELD)
+    spans = mask.field_spans(mask.fields_on_grids(fields, areas_on(spark, "A"), grid(spark)))
+    runs = mask.dated_runs(spans)
+    assert runs.count() == 40 and {r["from_date"] for r in runs.collect()} == {D(2024, 1, 1)}
+    assert "sequence(lo" not in runs._jdf.queryExecution().toString()
+
+
 def test_runs_are_cut_at_strips(spark):
     wide = [[ring((0, 9), (300, 9), (300, 10), (0, 10))]]
     fields = spark.createDataFrame([(0, "A", D(2024, 1, 1), wide)], FIELD)
@@ -105,6 +115,8 @@ def test_tiny_window_keeps_every_pixel_until_it_grows(spark):
     runs = mask.area_mask(fields, areas_on(spark, "A"), grid(spark))
     early = runs.where("from_date <= '2024-01-05' and until_date > '2024-01-05'")
     assert cells_of(early) == {(r, 4) for r in range(16, 20)}
+    strict = mask.area_mask(fields, areas_on(spark, "A"), grid(spark), whole_if_tiny=False)
+    assert cells_of(strict.where("from_date <= '2024-01-05'")) == brute_cells([sliver], grid(spark).first().asDict())
     late = runs.where("from_date <= '2024-01-10' and until_date > '2024-01-10'")
     assert cells_of(late) == brute_cells([sliver, block], grid(spark).first().asDict())
 
@@ -171,10 +183,54 @@ def test_strips_and_long_pixels_give_the_same_mean(spark):
     wanted = ndvi.visited_bands(pixels, days)
     assert {r["band"] for r in wanted.select("band").distinct().collect()} == {"r", "n"}
     long = dict(ndvi.area_means(wanted, runs, days).select("date", "mean_ndvi").collect())
-    for width in (8, 40, mask.STRIP):
-        strips = raster_files.to_strips(pixels, width)
+    for width, shift in ((8, 0), (40, 0), (mask.STRIP, 0), (13, 5), (1024, -3)):
+        strips = raster_files.to_strips(pixels, width, shift=shift)
         got = dict(ndvi.area_means_of_strips(strips, runs, days).select("date", "mean_ndvi").collect())
         assert got.keys() == long.keys() and all(abs(got[d] - long[d]) < 1e-12 for d in got)
+    # bands cut in different ways
+    apart = raster_files.to_strips(pixels.where("band = 'r'"), 13).unionByName(raster_files.to_strips(pixels.where("band = 'n'"), 9, shift=2))
+    got = dict(ndvi.area_means_of_strips(apart, runs, days).select("date", "mean_ndvi").collect())
+    assert all(abs(got[d] - long[d]) < 1e-12 for d in long)
+
+
+@pytest.mark.parametrize("width, shift", [(300, 0), (512, 0), (1024, 0), (2048, 0), (700, 100)])
+def test_strips_across_the_borders_of_join_strips(spark, width, shift):
+    block = [[ring((0, 9), (300, 9), (300, 10), (0, 10))]]
+    fields = spark.createDataFrame([(0, "A", D(2024, 1, 1), block)], FIELD)
+    runs = mask.area_mask(fields, areas_on(spark, "A"), grid(spark, width=1200))
+    cells = spark.range(1200).selectExpr("'i' as item_id", "id as col", "explode(array(0L, 1L)) as row")
+    pixels = cells.selectExpr("item_id", "row", "col", "stack(2, 'r', 1d, 'n', if(col < 600, 3d, 1d)) as (band, raw)")
+    strips = raster_files.to_strips(pixels, width, shift=shift)
+    got = ndvi.area_means_of_strips(strips, runs, visits(spark, D(2024, 1, 1))).first()
+    assert abs(got["mean_ndvi"] - 0.25) < 1e-12
+
+
+def test_every_observation_counts_and_doubles_fail(spark):
+    block = [[ring((0, 9), (1, 9), (1, 10), (0, 10))]]
+    fields = spark.createDataFrame([(0, "A", D(2024, 1, 1), block)], FIELD)
+    runs = mask.area_mask(fields, areas_on(spark, "A"), grid(spark))
+    values = [(0, 0, 1, 1.0, 3.0), (0, 0, 2, 1.0, 1.0), (0, 0, 3, 3.0, 1.0), (1, 1, 1, 1.0, 3.0)]
+    rows = [("i", b, r, c, o, v) for r, c, o, red, nir in values for b, v in (("r", red), ("n", nir))]
+    pixels = spark.createDataFrame(rows, "item_id string, band string, row long, col long, obs int, raw double")
+    strips = raster_files.to_strips(pixels, observation=["obs"])
+    got = ndvi.area_means_of_strips(strips, runs, visits(spark, D(2024, 1, 1))).first()
+    assert abs(got["mean_ndvi"] - (0.5 + 0 - 0.5 + 0.5) / 4) < 1e-12
+    with pytest.raises(Exception, match="(?i)duplicate"):
+        raster_files.to_strips(pixels).collect()
+    doubled = strips.unionByName(strips)
+    with pytest.raises(Exception, match="(?i)duplicate"):
+        ndvi.area_means_of_strips(doubled, runs, visits(spark, D(2024, 1, 1))).collect()
+
+
+def test_a_run_opens_only_the_folders_it_visits(spark, tmp_path):
+    pixels = spark.range(40).selectExpr("concat('i', id % 20) as item_id", "0L as row", "id as col", "stack(3, 'r', 1d, 'n', 2d, 'x', 3d) as (band, raw)")
+    raster_files.write_strips(raster_files.to_strips(pixels), str(tmp_path / "s"))
+    strips = raster_files.read_strips(spark, str(tmp_path / "s"))
+    day = visits(spark, D(2024, 1, 1)).withColumn("item_id", F.lit("i3"))
+    wanted = ndvi.visited_bands(strips, day)
+    assert {(r["item_id"], r["band"]) for r in wanted.collect()} == {("i3", "r"), ("i3", "n")}
+    wanted.write.format("noop").mode("overwrite").save()
+    assert "dynamicpruning" in wanted._jdf.queryExecution().toString().lower()
 
 
 def test_strips_hold_and_slice_pixels(spark, tmp_path):

@@ -67,7 +67,10 @@ def test_cloud_and_day_limits(spark):
         scene("midnight", "2024-01-02T00:00:00", 1.0),
     )
     got = {r["item_id"]: r["date"] for r in selection.eligible_scenes(df).collect()}
-    assert got == {"below": D(2024, 1, 1), "last second": D(2024, 1, 1), "midnight": D(2024, 1, 2)}
+    inside = {"below": D(2024, 1, 1), "last second": D(2024, 1, 1), "midnight": D(2024, 1, 2)}
+    assert got == {**inside, "too late": D(2024, 1, 1)}
+    sharp = selection.eligible_scenes(df, closed_second=True).collect()
+    assert {r["item_id"]: r["date"] for r in sharp} == inside
 
 
 def test_touching_boxes_meet_once_across_many_cells(spark):
@@ -97,22 +100,33 @@ def test_refs_fail_only_when_a_chosen_scene_lacks_a_band(spark):
     pairs = selection.aoi_days(aois, fields(spark, D(2024, 1, 1)), D(2024, 1, 2))
     good = scene("good", "2024-01-01T10:00:00", 1.0)
     bad = scene("bad", "2024-01-01T10:00:00", 2.0, assets=("B02",))
-    refs = selection.scene_refs(pairs, aois, scenes(spark, good, bad)).orderBy("date").collect()
+    refs = selection.scene_refs(pairs, scenes(spark, good, bad)).orderBy("date").collect()
     assert [(r["status"], r["item_id"], r["b04_asset"]) for r in refs] == [
         ("ok", "good", "B04"), ("no_items", None, None)
     ]
     with pytest.raises(Exception, match="missing asset"):
-        selection.scene_refs(pairs, aois, scenes(spark, bad)).collect()
+        selection.scene_refs(pairs, scenes(spark, bad)).collect()
 
 
-def test_candidate_cap_can_hide_the_best(spark):
+def test_all_candidates_are_ranked(spark):
     aois = areas(spark, A=[0.0, 0.0, 1.0, 1.0])
-    rows = [scene(f"s{i}", "2024-01-01T10:00:00", 20.0 - i) for i in range(5)]
-    df = scenes(spark, *rows)
-    whole = selection.top_scenes(aois, df, 2).orderBy("rank").collect()
-    capped = selection.top_scenes(aois, df, 2, max_items=3).orderBy("rank").collect()
-    assert [r["item_id"] for r in whole] == ["s4", "s3"]
-    assert [r["item_id"] for r in capped] == ["s2", "s1"]
+    df = scenes(spark, *(scene(f"s{i:02d}", "2024-01-01T10:00:00", 29.0 - i / 4) for i in range(80)))
+    best = selection.top_scenes(aois, df, 2).orderBy("rank").collect()
+    assert [r["item_id"] for r in best] == ["s79", "s78"]
+
+
+def test_choice_per_pair_reads_only_its_days(spark, tmp_path):
+    """A pending old day and a new one: scenes of the days between are not chosen from."""
+    aois = areas(spark, A=[0.0, 0.0, 1.0, 1.0], B=[0.5, 0.5, 2.0, 2.0])
+    df = scenes(spark, *(scene(f"s{d}-{k}", f"2024-01-{d:02d}T10:00:00", float(k)) for d in range(1, 21) for k in (2, 1)))
+    pairs = selection.aoi_days(aois, fields(spark, D(2024, 1, 1)), D(2024, 1, 20))
+    pending = pairs.where("date = '2024-01-20' or (aoi_id = 'A' and date = '2024-01-02')")
+    near = selection.scenes_of_days(df, pending)
+    assert {r["item_id"].split("-")[0] for r in near.collect()} == {"s2", "s20"}
+    refs = selection.scene_refs(pending, near).collect()
+    assert {(r["aoi_id"], r["date"].day, r["item_id"]) for r in refs} == {("A", 2, "s2-1"), ("A", 20, "s20-1"), ("B", 20, "s20-1")}
+    plan = selection.best_scenes(pending, near)._jdf.queryExecution().toString()
+    assert any("date" in line and "cell" in line for line in plan.split("\n") if "Join Inner" in line)
 
 
 def test_incremental_keys(spark):

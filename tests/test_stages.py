@@ -2,9 +2,11 @@ import datetime as dt
 import json
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from verdure.functions import geometry, projection
 from verdure.operators import ndvi, selection
 from verdure.plans import daily
 from verdure.sources import fields as field_files
@@ -13,14 +15,14 @@ from verdure.sources.scenes import SCENE_SCHEMA
 from verdure.streaming import daily as stream
 
 D = dt.date
-GOLDEN = {
-    "AOI_01": ("F001 F002", [5.875132, 49.766412, 6.182713, 50.111619]),
-    "AOI_02": ("F003 F011", [4.944073, 50.115448, 5.231704, 50.359532]),
-    "AOI_03": ("F004 F009 F010", [7.416890, 50.996625, 7.845912, 51.188045]),
-    "AOI_04": ("F005 F013", [7.519568, 50.099037, 7.911881, 50.311878]),
-    "AOI_05": ("F008 F012", [6.911218, 49.714696, 7.269301, 49.918185]),
-    "AOI_06": ("F006", [6.291871, 49.694617, 6.467951, 49.808840]),
-    "AOI_07": ("F007", [5.927846, 49.607002, 6.146769, 49.719219]),
+MEMBERS = {
+    "AOI_01": "F001 F002",
+    "AOI_02": "F003 F011",
+    "AOI_03": "F004 F009 F010",
+    "AOI_04": "F005 F013",
+    "AOI_05": "F008 F012",
+    "AOI_06": "F006",
+    "AOI_07": "F007",
 }
 
 
@@ -58,28 +60,45 @@ def raster_tables(spark):
     return rasters, grids, pixels
 
 
-def test_golden_areas(spark, layout):
+def in_metres(spark, path):
+    """Projected corners of every field; the projection itself is tested on published points."""
+    fields = field_files.read_feature_collection(spark, path)
+    rows = fields.select("field_id", geometry.project_metres(F.col("geom")).alias("g")).collect()
+    return {r["field_id"]: np.asarray(r["g"][0][0]) for r in rows}
+
+
+def centre(ring):
+    (x, y), (u, v) = ring[:-1].T, ring[1:].T
+    cross = x * v - u * y
+    return np.asarray([((x + u) * cross).sum(), ((y + v) * cross).sum()]) / (3 * cross.sum())
+
+
+def test_sample_areas(spark, layout, sample_fields):
     found = {r["aoi_id"]: r["bbox"] for r in field_files.read_aois(spark, layout.aois).collect()}
     tagged = field_files.read_feature_lines(spark, layout.tagged_fields, daily.TAGGED_PROPERTIES)
     members = {}
     for r in tagged.orderBy("ord").collect():
         members.setdefault(r["aoi_id"], []).append(r["field_id"])
-    assert {k: " ".join(v) for k, v in members.items()} == {k: v[0] for k, v in GOLDEN.items()}
-    for area, (_, box) in GOLDEN.items():
-        assert found[area] == pytest.approx(box, abs=1e-6)
+    assert {k: " ".join(v) for k, v in members.items()} == MEMBERS
+    rings = in_metres(spark, sample_fields)
+    for area, names in MEMBERS.items():
+        corners = np.concatenate([rings[n] for n in names.split()])
+        (x0, y0), (x1, y1) = corners.min(axis=0) - 2000, corners.max(axis=0) + 2000
+        box = spark.createDataFrame([(float(x), float(y)) for x in (x0, x1) for y in (y0, y1)], "x double, y double")
+        points = np.asarray([r["p"] for r in box.select(projection.laea_inverse(F.col("x"), F.col("y")).alias("p")).collect()])
+        assert found[area] == pytest.approx([*points.min(axis=0), *points.max(axis=0)], abs=1e-6)
 
 
-def test_golden_distances(spark, sample_fields):
+def test_sample_distances(spark, sample_fields):
     from verdure.operators import aoi, neighbors
 
     fields = field_files.read_feature_collection(spark, sample_fields)
     nn = neighbors.nearest_distance(aoi.field_points(fields)).orderBy("ord")
-    want = [
-        21037.497, 21037.497, 12437.086, 12830.719, 11684.802, 25111.558, 22024.625, 9291.544, 9640.115,
-        9640.115, 12437.086, 9291.544, 11684.802,
-    ]
-    assert [r["nn_dist"] for r in nn.collect()] == pytest.approx(want, abs=1e-3)
-    assert aoi.estimate_eps(nn).first()[0] == pytest.approx(21827.199825, abs=1e-3)
+    centres = np.asarray([centre(r) for r in in_metres(spark, sample_fields).values()])
+    apart = np.linalg.norm(centres[:, None] - centres[None], axis=2)
+    np.fill_diagonal(apart, np.inf)
+    assert [r["nn_dist"] for r in nn.collect()] == pytest.approx(apart.min(axis=1).tolist(), abs=2e-3)
+    assert aoi.estimate_eps(nn).first()[0] == pytest.approx(float(np.quantile(apart.min(axis=1), 0.9)), abs=2e-3)
 
 
 def test_features_are_valid_geojson_lines(spark, layout):
@@ -98,6 +117,67 @@ def test_dates_become_iso_text_and_extra_columns_ride_along(spark):
     assert feature["properties"] == {"field_id": "F", "planting_date": "2026-01-02T03:04:05", "crop": "wheat"}
 
 
+def feature(i, properties, x=0.0, **more):
+    square = [[[x, 0], [x + 1, 0], [x + 1, 1], [x, 0]]]
+    return {"type": "Feature", "properties": properties, "geometry": {"type": "Polygon", "coordinates": square}, **more}
+
+
+def test_all_properties_come_through(spark, tmp_path):
+    own = [{"field_id": "a", "crop": "wheat", "yield": 2.5, "tags": ["x", 1], "planting_date": "2026-01-01"}, {"field_id": "b", "owner": None}]
+    path = tmp_path / "in.geojson"
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": [feature(i, p, 10.0 * i) for i, p in enumerate(own)]}))
+    fields = field_files.read_feature_collection(spark, str(path)).withColumn("aoi_id", F.lit("AOI_01"))
+    field_files.write_feature_lines(fields.drop("crs"), str(tmp_path / "out"))
+    lines = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "out")).collect()]
+    got = {x["id"]: x["properties"] for x in lines}
+    assert got == {0: {**own[0], "aoi_id": "AOI_01"}, 1: {**own[1], "aoi_id": "AOI_01"}}
+    again = field_files.read_feature_lines(spark, str(tmp_path / "out"), daily.TAGGED_PROPERTIES)
+    assert [(r["ord"], r["field_id"], r["aoi_id"]) for r in again.orderBy("ord").collect()] == [(0, "a", "AOI_01"), (1, "b", "AOI_01")]
+
+
+def test_files_of_a_folder_are_numbered_on(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for k, n in enumerate((3, 0, 2)):
+        features = [feature(i, {"field_id": f"{k}{i}", "planting_date": "2026-01-01"}) for i in range(n)]
+        (folder / f"f{k}.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    got = field_files.read_feature_collection(spark, str(folder)).orderBy("ord").collect()
+    assert [(r["ord"], r["field_id"]) for r in got] == [(0, "00"), (1, "01"), (2, "02"), (3, "20"), (4, "21")]
+
+
+@pytest.mark.parametrize("ids", [[None] * 4, ["x", "y", "x", None], [1, 1, 2, 3], ["7", 3, "5", 9]])
+def test_lines_with_any_ids(spark, tmp_path, ids):
+    rows = [feature(i, {"field_id": f"f{i}", "planting_date": "2026-01-01"}, 0.1 * i, **({"id": x} if x is not None else {})) for i, x in enumerate(ids)]
+    (tmp_path / "lines.json").write_text("\n".join(map(json.dumps, rows)))
+    fields = field_files.read_feature_lines(spark, str(tmp_path / "lines.json"))
+    got = {r["field_id"]: r["ord"] for r in fields.collect()}
+    if ids == ["7", 3, "5", 9]:
+        assert got == {"f0": 7, "f1": 3, "f2": 5, "f3": 9}
+    else:
+        assert sorted(got.values()) == [0, 1, 2, 3]
+    assert daily.infer_areas(fields)[1].count() == 4
+
+
+def test_a_file_without_planting_dates_is_refused(spark, tmp_path):
+    (tmp_path / "lines.json").write_text(json.dumps(feature(0, {"field_id": "a", "crop": "x"})))
+    with pytest.raises(ValueError, match="planting_date"):
+        daily.run_areas(spark, str(tmp_path / "lines.json"), daily.Layout(str(tmp_path / "lake")), lines=True)
+
+
+def test_runs_leave_no_intermediate_tables(spark, sample_fields, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.iterdir())
+    made = daily.Layout(str(tmp_path / "lake"))
+    daily.run_areas(spark, sample_fields, made)
+    daily.run_scenes(spark, scenes(spark), made, as_of=D(2026, 1, 2), catalog_url="https://c")
+    rasters, grids, pixels = raster_tables(spark)
+    daily.run_ndvi(spark, scenes(spark), rasters, grids, pixels, made)
+    assert set(shared.iterdir()) == before
+    refs = keyed.read_refs(spark, made.refs)
+    assert {r["stac_url"] for r in refs.where("status = 'ok'").collect()} == {"https://c"}
+    assert refs.where("status <> 'ok' and stac_url is not null").count() == 0
+
+
 def test_area_array_file(spark, tmp_path):
     path = tmp_path / "aois.json"
     path.write_text(json.dumps([{"aoi_id": "AOI_01", "bbox": [1, 2, 3, 4]}, {"aoi_id": "AOI_02", "bbox": [0, 0, 1, 1]}], indent=2))
@@ -226,10 +306,16 @@ def test_streamed_choice_equals_batch_on_closed_days(spark, layout, tmp_path):
     best = stream.stream_best_scenes(stream.read_scene_stream(spark, source, 1), areas)
     stream.append_refs(best, areas, refs, state).awaitTermination()
     pairs = selection.aoi_days(areas, spark.sql("select date'2026-01-01' planting_date"), D(2026, 1, 6))
-    batch = selection.scene_refs(pairs, areas, feed).where("status = 'ok' and date <= '2026-01-04'")
+    whole = selection.scene_refs(pairs, feed).where("status = 'ok'")
+    batch = whole.where("date <= '2026-01-04'")
     columns = ["aoi_id", "date", "status", "bbox", "item_datetime", "cloud_cover", "item_id", "b04_asset", "b08_asset"]
     got = sorted(keyed.read_refs(spark, refs).select(*columns).collect())
     assert got == sorted(batch.select(*columns).collect()) and len(got) == 9
+    # the end of the input closes the days that were still open, once
+    for _ in range(2):
+        stream.close_refs(feed, areas, refs)
+        got = sorted(keyed.read_refs(spark, refs).select(*columns).collect())
+        assert got == sorted(whole.select(*columns).collect()) and len(got) == 12
 
 
 def test_streamed_index_equals_batch_and_survives_a_replay(spark, layout, tmp_path):

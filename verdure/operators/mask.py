@@ -117,24 +117,35 @@ def dated_runs(spans: DataFrame) -> DataFrame:
 
     ``from_date`` is the earliest planting date among the fields covering the run, so
     one table serves every day: the union of the fields eligible on a day is the runs
-    with ``from_date`` up to that day. Windows below hold at most one strip of columns.
+    with ``from_date`` up to that day. A sweep over span ends: a row's strip is cut at the
+    ends of its spans into at most as many pieces as the strip has columns, each piece takes
+    its least date and equal neighbours are joined. Columns never become rows.
     """
-    keys = ["aoi_id", "grid_id", "row"]
-    planted = spans.where(F.col("planting_date").isNotNull()).groupBy(
-        *keys, "lo", F.to_date("planting_date").alias("planted")
-    ).agg(F.max("hi").alias("hi"))
-    cells = (
-        planted.select(*keys, "planted", F.explode(F.sequence("lo", "hi")).alias("col"))
-        .groupBy(*keys, "col")
-        .agg(F.min("planted").alias("from_date"))
-        .withColumn("strip", F.floor(F.col("col") / STRIP))
+    keys = ["aoi_id", "grid_id", "row", "strip"]
+    dated = spans.where(F.col("planting_date").isNotNull())
+    parts = dated.withColumn("strip", F.explode(F.sequence(F.floor(F.col("lo") / STRIP), F.floor(F.col("hi") / STRIP))))
+    inside = parts.select(
+        *keys,
+        F.greatest("lo", F.col("strip") * STRIP).alias("lo"),
+        F.least("hi", (F.col("strip") + 1) * STRIP - 1).alias("hi"),
+        F.to_date("planting_date").alias("planted"),
     )
-    along = Window.partitionBy(*keys, "strip", "from_date").orderBy("col")
+    # copies and spans with a common start are folded first: at most one per column and date is left
+    folded = materialize(inside.groupBy(*keys, "lo", "planted").agg(F.max("hi").alias("hi")), "spans")
+    ends = folded.select(*keys, F.explode(F.array(F.col("lo"), F.col("hi") + 1)).alias("at")).distinct()
+    along = Window.partitionBy(*keys).orderBy("at")
+    pieces = ends.withColumn("next", F.lead("at").over(along)).where("next is not null")
+    covering = folded.withColumnsRenamed({"lo": "from", "hi": "to"})
+    met = pieces.join(covering, keys).where("from <= at and next - 1 <= to")
+    least = met.groupBy(*keys, "at", "next").agg(F.min("planted").alias("from_date"))
+    goes_on = (F.lag("next").over(along) == F.col("at")) & (F.lag("from_date").over(along) == F.col("from_date"))
+    marked = least.withColumn("_new", F.when(goes_on, 0).otherwise(1))
+    run = F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0))
     return (
-        cells.withColumn("_island", F.col("col") - F.row_number().over(along))
-        .groupBy(*keys, "strip", "from_date", "_island")
-        .agg(F.min("col").alias("lo"), F.max("col").alias("hi"))
-        .drop("_island")
+        marked.withColumn("_run", run)
+        .groupBy(*keys, "from_date", "_run")
+        .agg(F.min("at").alias("lo"), (F.max("next") - 1).alias("hi"))
+        .select(*keys, "lo", "hi", "from_date")
     )
 
 
@@ -199,13 +210,18 @@ def window_versions(fields: DataFrame, aoi_grids: DataFrame, grids: DataFrame) -
     return windows.withColumn("tiny", tiny)
 
 
-def area_mask(fields: DataFrame, aoi_grids: DataFrame, grids: DataFrame) -> DataFrame:
+def area_mask(
+    fields: DataFrame, aoi_grids: DataFrame, grids: DataFrame, whole_if_tiny: bool = True
+) -> DataFrame:
     """Pixel runs of each area on its grids, valid from ``from_date`` to before ``until_date``.
 
-    (aoi_id, grid_id, row, strip, lo, hi, from_date, until_date). While an area's window
-    has fewer than two rows or columns, all its pixels count; later only covered ones do.
+    (aoi_id, grid_id, row, strip, lo, hi, from_date, until_date). With ``whole_if_tiny`` all pixels of an area's
+    window count as long as it has fewer than two rows or columns, since a mask of so few pixels mostly misses
+    their centres; later, and always without it, only covered pixels do.
     """
     runs = dated_runs(field_spans(fields_on_grids(fields, aoi_grids, grids)))
+    if not whole_if_tiny:
+        return runs.withColumn("until_date", F.lit(FOREVER).cast("date"))
     versions = materialize(window_versions(fields, aoi_grids, grids), "windows")
     # windows only grow, so the days with a tiny one come first
     masked_from = versions.where("not tiny").groupBy("aoi_id", "grid_id").agg(

@@ -12,7 +12,7 @@ from verdure.functions.assets import NIR_ASSETS, RED_ASSETS, pick_asset
 MAX_CLOUD = 30.0
 MISSING_CLOUD = 999.0
 CELL_DEGREES = 1.0  # about the footprint of one scene: few cells per scene and per area
-LAST_SECOND = 86399  # a day is closed at 23:59:59; later fractions are outside
+LAST_SECOND = 86399
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -52,28 +52,32 @@ def aoi_days(aois: DataFrame, fields: DataFrame, as_of: dt.date | None = None) -
     return dated.select("aoi_id", "bbox", F.explode(days).alias("date"))
 
 
-def eligible_scenes(scenes: DataFrame, max_cloud: float = MAX_CLOUD) -> DataFrame:
-    """Scenes below the cloud limit that lie in a closed UTC day, with their ``date``.
+def eligible_scenes(
+    scenes: DataFrame, max_cloud: float = MAX_CLOUD, closed_second: bool = False
+) -> DataFrame:
+    """Scenes below the cloud limit with the UTC ``date`` they lie in.
 
-    A scene without a cloud value does not pass.
+    A scene without a cloud value does not pass. ``closed_second`` ends a day at 23:59:59 sharp, as a catalog asked
+    for closed intervals in whole seconds does; scenes of the fraction of a second after it then pass for no day.
     """
+    passed = scenes.where(F.col("cloud_cover") < max_cloud).withColumn("date", F.to_date("dt"))
+    if not closed_second:
+        return passed.where(F.col("dt").isNotNull())
     seconds = F.hour("dt") * 3600 + F.minute("dt") * 60 + F.date_part(F.lit("SECOND"), "dt")
-    return (
-        scenes.where(F.col("cloud_cover") < max_cloud)
-        .withColumn("date", F.to_date("dt"))
-        .where(seconds <= LAST_SECOND)
-    )
+    return passed.where(seconds <= LAST_SECOND)
 
 
 def scenes_of_days(scenes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Scenes between the first and the last day of ``pairs``.
+    """Scenes of the days of ``pairs``.
 
-    The two days are scalar subqueries and reach the scan as bounds on ``dt``, so a run
-    for one new day does not read the whole catalog.
+    The first and last day are scalar subqueries and reach the scan as bounds on ``dt``; the days between them that
+    no pair asks for fall to a semi join.
     """
     first = pairs.select(F.min("date").cast("timestamp_ntz")).scalar()
     after = pairs.select(F.date_add(F.max("date"), 1).cast("timestamp_ntz")).scalar()
-    return scenes.where((F.col("dt") >= first) & (F.col("dt") < after))
+    bounded = scenes.where((F.col("dt") >= first) & (F.col("dt") < after)).withColumn("_day", F.to_date("dt"))
+    days = pairs.select(F.col("date").alias("_day")).distinct()
+    return bounded.join(days, "_day", "left_semi").drop("_day")
 
 
 def _cells(xmin: Column, ymin: Column, xmax: Column, ymax: Column, size: float) -> Column:
@@ -90,15 +94,18 @@ def _cells(xmin: Column, ymin: Column, xmax: Column, ymax: Column, size: float)
     )
 
 
-def intersecting(aois: DataFrame, footprints: DataFrame, size: float = CELL_DEGREES) -> DataFrame:
+def intersecting(
+    aois: DataFrame, footprints: DataFrame, size: float = CELL_DEGREES, by: tuple[str, ...] = ()
+) -> DataFrame:
     """Rows of ``footprints`` (xmin, ymin, xmax, ymax, ...) per area whose box they touch.
 
     Both sides are spread over grid cells and joined on the cell; a pair that shares
     several cells is kept only in the cell of its common lower-left corner, so no
-    duplicate removal is needed afterwards.
+    duplicate removal is needed afterwards. ``by`` names columns of both sides that must be equal as well, such as the day.
     """
     left = aois.select(
         "aoi_id",
+        *by,
         *(F.col("bbox")[i].alias(n) for i, n in enumerate(("axmin", "aymin", "axmax", "aymax"))),
     )
     left = left.withColumn(
@@ -118,17 +125,17 @@ def intersecting(aois: DataFrame, footprints: DataFrame, size: float = CELL_DEGR
         F.floor(F.greatest("aymin", "ymin") / size).alias("j"),
     )
     return (
-        left.join(right, "cell")
+        left.join(right, [*by, "cell"])
         .where(touches & (F.col("cell") == corner))
         .drop("cell", "axmin", "aymin", "axmax", "aymax")
     )
 
 
 def scene_candidates(
-    aois: DataFrame, scenes: DataFrame, max_cloud: float = MAX_CLOUD
+    aois: DataFrame, scenes: DataFrame, max_cloud: float = MAX_CLOUD, closed_second: bool = False
 ) -> DataFrame:
     """Every (area, scene) pair that passes the cloud, day and box conditions."""
-    return intersecting(aois, eligible_scenes(scenes, max_cloud))
+    return intersecting(aois, eligible_scenes(scenes, max_cloud, closed_second))
 
 
 def scene_order() -> Column:
@@ -140,55 +147,40 @@ def scene_order() -> Column:
     )
 
 
-def best_scenes(aois: DataFrame, scenes: DataFrame, max_cloud: float = MAX_CLOUD) -> DataFrame:
+def best_scenes(
+    aois: DataFrame, scenes: DataFrame, max_cloud: float = MAX_CLOUD, closed_second: bool = False
+) -> DataFrame:
     """The least cloudy scene per (aoi_id, date); ties go to the earlier one.
 
     Scenes of one day with the same footprint are reduced to their best one before
-    the spatial join: they touch the same areas, so no other can win.
+    the spatial join: they touch the same areas, so no other can win. ``aois`` may have a ``date``: then areas
+    meet scenes of that day only, on day and cell, and no other pair is chosen for.
     """
-    passed = eligible_scenes(scenes, max_cloud)
+    passed = eligible_scenes(scenes, max_cloud, closed_second)
     carried = F.struct(*passed.columns)
     footprint = ["date", "xmin", "ymin", "xmax", "ymax"]
     leaders = passed.groupBy(*footprint).agg(F.min_by(carried, scene_order()).alias("s"))
-    paired = intersecting(aois, leaders.select("s", "xmin", "ymin", "xmax", "ymax"))
+    by = ("date",) if "date" in aois.columns else ()
+    paired = intersecting(aois, leaders.select("s", *footprint), by=by)
     order = F.struct(
         F.coalesce("s.cloud_cover", F.lit(MISSING_CLOUD)).alias("cloud"), F.col("s.dt"), F.col("s.item_id")
     )
     return (
-        paired.withColumn("date", F.col("s.date"))
-        .groupBy("aoi_id", "date")
-        .agg(F.min_by("s", order).alias("s"))
-        .select("aoi_id", "s.*")
+        paired.groupBy("aoi_id", "date").agg(F.min_by("s", order).alias("s")).select("aoi_id", "s.*")
     )
 
 
-def top_scenes(
-    aois: DataFrame,
-    scenes: DataFrame,
-    k: int,
-    max_cloud: float = MAX_CLOUD,
-    max_items: int | None = None,
-) -> DataFrame:
-    """The ``k`` best scenes per (aoi_id, date) with their ``rank``.
-
-    ``max_items`` is the reference catalog's candidate cap: only that many scenes in
-    id order enter the ranking. It is off by default because it can hide the best.
-    """
-    pairs = scene_candidates(aois, scenes, max_cloud)
-    if max_items is not None:
-        by_id = Window.partitionBy("aoi_id", "date").orderBy("item_id")
-        pairs = (
-            pairs.withColumn("_n", F.row_number().over(by_id)).where(F.col("_n") <= max_items)
-        ).drop("_n")
+def top_scenes(aois: DataFrame, scenes: DataFrame, k: int, max_cloud: float = MAX_CLOUD) -> DataFrame:
+    """The ``k`` best scenes per (aoi_id, date) with their ``rank``."""
     order = Window.partitionBy("aoi_id", "date").orderBy(
         F.coalesce("cloud_cover", F.lit(MISSING_CLOUD)), "dt", "item_id"
     )
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = scene_candidates(aois, scenes, max_cloud).withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= k)
 
 
 def scene_refs(
     pairs: DataFrame,
-    aois: DataFrame,
     scenes: DataFrame,
     max_cloud: float = MAX_CLOUD,
     catalog_url: str | None = None,
@@ -198,7 +190,7 @@ def scene_refs(
     The bands are looked up in the chosen scene only, so a scene that lacks one fails
     the query only when it would be used.
     """
-    best = best_scenes(aois, scenes, max_cloud).select(
+    best = best_scenes(pairs, scenes, max_cloud).select(
         "aoi_id",
         "date",
         F.col("dt").alias("item_datetime"),

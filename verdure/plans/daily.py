@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from verdure.functions.keys import ndvi_path, prefix_path
 from verdure.operators import aoi, incremental, mask, ndvi, selection
-from verdure.session import materialize
+from verdure.session import cleaned, materialize
 from verdure.sources import fields as field_files
 from verdure.sources import keyed
 
@@ -106,7 +106,7 @@ def select_scenes(
         kept = incremental.refreshable(existing) if refresh_missing else existing
         pairs = incremental.missing_pairs(pairs, kept, match_bbox)
         scenes = selection.scenes_of_days(scenes, pairs)
-    return selection.scene_refs(pairs, aois, scenes, max_cloud, catalog_url)
+    return selection.scene_refs(pairs, scenes, max_cloud, catalog_url)
 
 
 def daily_ndvi(
@@ -144,13 +144,20 @@ def daily_ndvi(
 
 
 def run_areas(
-    spark: SparkSession, fields_path: str, layout: Layout, settings: AreaSettings = AreaSettings()
+    spark: SparkSession,
+    fields_path: str,
+    layout: Layout,
+    settings: AreaSettings = AreaSettings(),
+    lines: bool = False,
 ) -> None:
-    """Field file to area list and tagged fields."""
-    fields = materialize(field_files.read_feature_collection(spark, fields_path), "fields")
-    aois, tagged = infer_areas(fields, settings)
-    field_files.write_aois(aois, layout.aois)
-    field_files.write_feature_lines(tagged.drop("crs"), layout.tagged_fields)
+    """Field files to area list and tagged fields; ``lines`` reads line-delimited features."""
+    with cleaned(spark):
+        read = field_files.read_feature_lines if lines else field_files.read_feature_collection
+        fields = materialize(read(spark, fields_path), "fields")
+        field_files.require_property(fields, "planting_date")
+        aois, tagged = infer_areas(fields, settings)
+        field_files.write_aois(aois, layout.aois)
+        field_files.write_feature_lines(tagged.drop("crs"), layout.tagged_fields)
 
 
 TAGGED_PROPERTIES = "field_id string, planting_date string, aoi_id string"
@@ -163,16 +170,21 @@ def run_scenes(
     as_of: dt.date | None = None,
     max_cloud: float = selection.MAX_CLOUD,
     refresh_missing: bool = False,
+    catalog_url: str | None = None,
 ) -> None:
     """Write the references that are still missing; what is there stays as it is."""
-    aois = field_files.read_aois(spark, layout.aois)
-    fields = field_files.read_feature_lines(spark, layout.tagged_fields, TAGGED_PROPERTIES)
-    existing = keyed.read_refs(spark, layout.refs)
-    refs = select_scenes(aois, fields, scenes, existing, as_of, max_cloud, refresh_missing)
-    if refresh_missing:
-        keyed.replace_refs(refs, layout.refs)
-    else:
-        keyed.append_refs(materialize(refs, "refs"), layout.refs)
+    with cleaned(spark):
+        aois = field_files.read_aois(spark, layout.aois)
+        fields = field_files.read_feature_lines(spark, layout.tagged_fields, TAGGED_PROPERTIES)
+        field_files.require_property(fields, "planting_date")
+        existing = keyed.read_refs(spark, layout.refs)
+        refs = select_scenes(
+            aois, fields, scenes, existing, as_of, max_cloud, refresh_missing, catalog_url=catalog_url
+        )
+        if refresh_missing:
+            keyed.replace_refs(refs, layout.refs)
+        else:
+            keyed.append_refs(materialize(refs, "refs"), layout.refs)
 
 
 def run_ndvi(
@@ -185,12 +197,13 @@ def run_ndvi(
     day: dt.date | None = None,
 ) -> None:
     """Write the records that are still missing, for one day or for all referenced days."""
-    fields = field_files.read_feature_lines(spark, layout.tagged_fields, TAGGED_PROPERTIES)
-    refs = keyed.read_refs(spark, layout.refs)
-    if day is not None:
-        refs = refs.where(F.col("date") == F.lit(day))
-    results = keyed.written_keys(spark, layout.series, keyed.NDVI_SCHEMA)
-    records = daily_ndvi(
-        fields, refs.select("aoi_id", "date"), refs, scenes, rasters, grids, pixels, results
-    )
-    keyed.write_ndvi(records, layout.series)
+    with cleaned(spark):
+        fields = field_files.read_feature_lines(spark, layout.tagged_fields, TAGGED_PROPERTIES)
+        refs = keyed.read_refs(spark, layout.refs)
+        if day is not None:
+            refs = refs.where(F.col("date") == F.lit(day))
+        results = keyed.written_keys(spark, layout.series, keyed.NDVI_SCHEMA)
+        records = daily_ndvi(
+            fields, refs.select("aoi_id", "date"), refs, scenes, rasters, grids, pixels, results
+        )
+        keyed.write_ndvi(records, layout.series)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,8 +59,30 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_open: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder name; within ``cleaned`` the folder goes when the run ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of a run, the intermediate tables that it has written.
+
+    Whatever reads them has to be written or collected by then.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

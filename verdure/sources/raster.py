@@ -1,42 +1,54 @@
-"""Raster bands as row strips: (item_id, band, row, col0, values)."""
+"""Raster bands as row strips: (item_id, band, row, col0, layer, values).
+
+A strip holds the cells of one row from ``col0`` on and may be of any width and start. Cells seen several times
+have one strip per ``layer``; the layers of a cell are the same observations in all bands.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verdure.operators.mask import STRIP
 
-STRIP_SCHEMA = "item_id string, band string, row long, col0 long, values array<double>"
+STRIP_SCHEMA = "item_id string, band string, row long, col0 long, layer int, values array<double>"
 
 
 def read_strips(spark: SparkSession, path: str) -> DataFrame:
     """Strip table; a broken file fails the query rather than reading as nodata."""
-    return spark.read.schema(STRIP_SCHEMA).option("mode", "FAILFAST").parquet(path)
+    strips = spark.read.schema(STRIP_SCHEMA).option("mode", "FAILFAST").parquet(path)
+    return strips.withColumn("layer", F.coalesce("layer", F.lit(0)))
 
 
 def write_strips(strips: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Keep strips partitioned by band, so a scan opens only the bands it asks for."""
-    strips.write.mode(mode).partitionBy("band").parquet(path)
+    """Keep strips in a folder per band and scene, so a run opens only those it visits."""
+    strips.write.mode(mode).partitionBy("band", "item_id").parquet(path)
 
 
-def to_strips(pixels: DataFrame, width: int = STRIP) -> DataFrame:
-    """Gather long pixels (item_id, band, row, col, raw) into strips of ``width`` columns.
+def to_strips(
+    pixels: DataFrame, width: int = STRIP, observation: list[str] | None = None, shift: int = 0
+) -> DataFrame:
+    """Gather long pixels (item_id, band, row, col, raw) into strips of ``width`` columns, the first border at ``shift``.
 
-    A strip holds at most ``width`` cells; several observations of a cell keep the
-    largest value, a cell without any is null.
+    ``observation`` names the columns that tell several observations of a cell apart; they become layers in that
+    order. Without it a cell that comes twice fails the query. A cell without a value is null.
     """
-    cells = pixels.groupBy("item_id", "band", "row", "col").agg(F.max("raw").alias("raw"))
+    cell = ["item_id", "row", "col"]
+    if observation:
+        order = Window.partitionBy(*cell).orderBy(*observation)
+        pixels = pixels.withColumn("layer", (F.dense_rank().over(order) - 1).cast("int"))
+    else:
+        pixels = pixels.withColumn("layer", F.lit(0))
     packed = (
-        cells.withColumn("col0", F.floor(F.col("col") / width) * width)
-        .groupBy("item_id", "band", "row", "col0")
+        pixels.withColumn("col0", F.floor((F.col("col") - shift) / width) * width + shift)
+        .groupBy("item_id", "band", "row", "col0", "layer")
         .agg(F.map_from_entries(F.collect_list(F.struct("col", "raw"))).alias("by_col"))
     )
     last = F.col("col0") + width - 1
     values = F.transform(F.sequence("col0", last), lambda c: F.try_element_at("by_col", c))
-    return packed.select("item_id", "band", "row", "col0", values.alias("values"))
+    return packed.select("item_id", "band", "row", "col0", "layer", values.alias("values"))
 
 
 def scan_pixels(
@@ -64,5 +76,5 @@ def scan_pixels(
             "values", (first - F.col("col0") + 1).cast("int"), count.cast("int")
         )
     return wanted.select(
-        "item_id", "band", "row", first.alias("first"), F.posexplode(values).alias("i", "raw")
-    ).select("item_id", "band", "row", (F.col("first") + F.col("i")).alias("col"), "raw")
+        "item_id", "band", "row", "layer", first.alias("first"), F.posexplode(values).alias("i", "raw")
+    ).select("item_id", "band", "row", (F.col("first") + F.col("i")).alias("col"), "layer", "raw")

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from verdure.functions.assets import NIR_ASSETS, RED_ASSETS, pick_asset
 from verdure.operators import selection
+from verdure.session import materialize
 from verdure.sources import keyed
 from verdure.sources.scenes import SCENE_SCHEMA
 
@@ -39,7 +40,7 @@ def stream_best_scenes(
     """Best scene per area and closed day from a scene stream (append mode).
 
     The state is one candidate per area and open day. Days without a scene give no
-    row; their ``no_items`` references come from the batch stage.
+    row; their ``no_items`` references come from the batch stage. The last days stay open until ``close_refs``.
     """
     instants = scenes.withColumn("dt", F.col("dt").cast("timestamp"))
     timed = selection.eligible_scenes(instants, max_cloud).withWatermark("dt", lateness)
@@ -54,7 +55,7 @@ def stream_best_scenes(
 
 
 def append_refs(
-    best: DataFrame, aois: DataFrame, path: str, checkpoint: str
+    best: DataFrame, aois: DataFrame, path: str, checkpoint: str, catalog_url: str | None = None
 ) -> StreamingQuery:
     """Write the chosen scenes of closed days as ``ok`` references and stop when caught up.
 
@@ -64,12 +65,33 @@ def append_refs(
 
     def write(batch: DataFrame, _: int) -> None:
         boxed = batch.join(aois.select("aoi_id", "bbox"), "aoi_id")
-        keyed.replace_refs(boxed.select(*_ref_columns()), path)
+        keyed.replace_refs(boxed.select(*_ref_columns(catalog_url)), path)
 
     return _start(best, write, checkpoint)
 
 
-def _ref_columns() -> list[Column | str]:
+def close_refs(
+    scenes: DataFrame,
+    aois: DataFrame,
+    path: str,
+    max_cloud: float = selection.MAX_CLOUD,
+    lateness: str = LATENESS,
+    catalog_url: str | None = None,
+) -> None:
+    """End of input: decide the days that the stream left open, from the scene table it has read.
+
+    Only scenes of days that the watermark had not passed are read; what is written already stays.
+    """
+    spark = scenes.sparkSession
+    passed = selection.eligible_scenes(scenes, max_cloud)
+    mark = passed.select(F.date_trunc("DAY", F.max("dt") - F.expr(f"interval {lateness}")).cast("timestamp_ntz")).scalar()
+    best = selection.best_scenes(aois, scenes.where(F.col("dt") >= mark), max_cloud)
+    written = keyed.written_keys(spark, path, keyed.REF_SCHEMA)
+    due = best.join(written, keyed.KEY, "left_anti").join(aois.select("aoi_id", "bbox"), "aoi_id")
+    keyed.append_refs(materialize(due.select(*_ref_columns(catalog_url)), "closing-refs"), path)
+
+
+def _ref_columns(catalog_url: str | None) -> list[Column | str]:
     return [
         "aoi_id",
         "date",
@@ -77,7 +99,7 @@ def _ref_columns() -> list[Column | str]:
         "bbox",
         F.col("dt").alias("item_datetime"),
         "cloud_cover",
-        F.lit(None).cast("string").alias("stac_url"),
+        F.lit(catalog_url).cast("string").alias("stac_url"),
         "collection",
         "item_id",
         pick_asset(F.col("assets"), RED_ASSETS).alias("b04_asset"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verdure.operators import aoi
@@ -18,6 +18,7 @@ from verdure.sources.raster import read_strips, to_strips, write_strips
 AS_OF = dt.date(2024, 1, 30)
 MASK_DAY = dt.date(2024, 1, 15)
 COLLECTION = "sentinel-2-l2a"
+CATALOG = "https://catalog.example/v1"
 GRID_X0, GRID_Y0, GRID_RES, GRID_SIZE = 4.5, 52.0, 0.02, 128
 COARSE = 32  # fine cells per side of a coarse cell
 
@@ -121,7 +122,7 @@ def grids(spark: SparkSession, sf_dir: str, coarse: int = 1) -> DataFrame:
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long pixels (item_id, row, col, order, line, band, raw)."""
+    """Long pixels (item_id, row, col, order, line, copy, band, raw)."""
     missing = F.col("l_quantity") == 1
     wide = table(spark, sf_dir, "lineitem").select(
         (F.col("l_suppkey") % 4).cast("string").alias("item_id"),
@@ -132,17 +133,20 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(missing, -9999.0).otherwise(F.round(F.col("l_tax") * 10000)).alias("red_raw"),
         F.when(missing, -9999.0).otherwise(F.round(F.col("l_discount") * 10000)).alias("nir_raw"),
     )
-    return wide.selectExpr(
+    # an order line may come twice; every row is an observation of its own
+    same = Window.partitionBy("item_id", "row", "col", "obs_order", "obs_line").orderBy("red_raw", "nir_raw")
+    return wide.withColumn("obs_copy", F.row_number().over(same)).selectExpr(
         "item_id",
         "row",
         "col",
         "obs_order",
         "obs_line",
+        "obs_copy",
         "stack(2, 'red', red_raw, 'nir', nir_raw) as (band, raw)",
     )
 
 
-OBSERVATION = ["obs_order", "obs_line"]
+OBSERVATION = ["obs_order", "obs_line", "obs_copy"]
 
 
 def values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,13 +162,20 @@ def values(spark: SparkSession, sf_dir: str) -> DataFrame:
 class Stage:
     """Outputs of one stage that later queries read, written once per session and input."""
 
-    _written: dict[tuple[str, str, str], DataFrame] = {}
+    _written: dict[tuple[str, str, str, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
 
+    def _listing(self) -> str:
+        """Changes when a file of the input does."""
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self.sf_dir)
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(folder)
+        return ",".join(sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in files))
+
     def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self._listing(), name)
         if key not in self._written:
             self._written[key] = build()
         return self._written[key]
@@ -199,21 +210,21 @@ class Stage:
             lambda: aoi.tag_fields(fields(self.spark, self.sf_dir), self.clusters(), self.aois()),
         )
 
-    def strips(self) -> DataFrame:
-        """The pixels as a strip table partitioned by band."""
+    def strips(self, width: int = GRID_SIZE, shift: int = 0) -> DataFrame:
+        """All observations as a strip table in folders per band and scene."""
 
         def write_and_read() -> DataFrame:
             path = scratch_path(self.spark, "strips")
-            pixel_strips = to_strips(pixels(self.spark, self.sf_dir), GRID_SIZE)
-            write_strips(pixel_strips, path)
+            write_strips(to_strips(pixels(self.spark, self.sf_dir), width, OBSERVATION, shift), path)
             return read_strips(self.spark, path)
 
-        return self._keep("strips", write_and_read)
+        return self._keep(f"strips-{width}-{shift}", write_and_read)
 
     def pairs(self) -> DataFrame:
         return aoi_days(self.aois(), self.tagged(), AS_OF)
 
     def refs(self) -> DataFrame:
         return self._once(
-            "refs", lambda: scene_refs(self.pairs(), self.aois(), scenes(self.spark, self.sf_dir))
+            "refs",
+            lambda: scene_refs(self.pairs(), scenes(self.spark, self.sf_dir), catalog_url=CATALOG),
         )

@@ -257,7 +257,7 @@ step(
     """
 SELECT a.aoi_id, CAST(s.dt AS DATE) AS date, s.* FROM v_aois a JOIN v_scenes s
   ON a.minlon <= s.xmax AND a.maxlon >= s.xmin AND a.minlat <= s.ymax AND a.maxlat >= s.ymin
-WHERE s.cloud_cover < 30 AND s.dt <= CAST(s.dt AS DATE) + INTERVAL 86399 SECOND
+WHERE s.cloud_cover < 30
 """,
 )
 step(
@@ -294,8 +294,7 @@ step(
     "v_ndvi",
     """
 SELECT item_id, row, col, obs_order, obs_line, red, nir, CASE WHEN nir + red <> 0 THEN (nir - red) / (nir + red) END AS ndvi
-FROM (SELECT item_id, row, col, obs_order, obs_line, max(red_raw * 0.0001::DOUBLE) AS red, max(nir_raw * 0.0001::DOUBLE) AS nir
-  FROM v_pixels GROUP BY ALL)
+FROM (SELECT *, red_raw * 0.0001::DOUBLE AS red, nir_raw * 0.0001::DOUBLE AS nir FROM v_pixels)
 """,
 )
 step(
@@ -364,14 +363,6 @@ SELECT d.aoi_id, d.date, d.turn FROM v_aoi_days d JOIN (
 ON f.aoi_id = d.aoi_id AND f.first <= d.date
 """,
 )
-step(
-    "v_ndvi_cells",
-    """
-SELECT item_id, row, col, CASE WHEN nir + red <> 0 THEN (nir - red) / (nir + red) END AS ndvi
-FROM (SELECT item_id, row, col, max(red_raw) * 0.0001::DOUBLE AS red, max(nir_raw) * 0.0001::DOUBLE AS nir
-  FROM v_pixels GROUP BY item_id, row, col)
-""",
-)
 RECORDS = f"""
 SELECT r.aoi_id, r.date, r.turn, r.status, CASE WHEN r.status = 'ok' THEN m.mean_ndvi END AS mean_ndvi,
   CASE WHEN r.status = 'ok' THEN r.cloud_cover END AS cloud_cover,
@@ -385,7 +376,6 @@ LEFT JOIN (SELECT f.aoi_id, f.date, avg(n.ndvi) AS mean_ndvi FROM v_refs f
   WHERE f.status = 'ok' GROUP BY f.aoi_id, f.date) m ON m.aoi_id = r.aoi_id AND m.date = r.date
 """
 step("v_records", RECORDS)
-step("v_strip_records", RECORDS.replace("JOIN v_ndvi n", "JOIN v_ndvi_cells n"))
 
 # --- statements --------------------------------------------------------------------
 
@@ -397,9 +387,10 @@ RECORD = (
     f"aoi_id, {DATE}, status, round(mean_ndvi, 9) AS mean_ndvi, cloud_cover, "
     + STAMP.format("item_datetime")
 )
+URL = "CASE WHEN status = 'ok' THEN 'https://catalog.example/v1' END"
 REF = (
-    f"aoi_id, {DATE}, status, {BOX}, {STAMP.format('item_datetime')}, cloud_cover, collection, "
-    "item_id, b04_asset, b08_asset"
+    f"aoi_id, {DATE}, status, {BOX}, {STAMP.format('item_datetime')}, cloud_cover, "
+    f"{URL} AS stac_url, collection, item_id, b04_asset, b08_asset"
 )
 
 
@@ -410,7 +401,7 @@ def define(name: str, sql: str) -> None:
 define(
     "fields_scan",
     f"""
-SELECT f.ord, f.field_id, {ISO.format('planting_date')}, CAST(5 AS BIGINT) AS n_vertices, round(b.xmin, 9) AS xmin,
+SELECT f.ord, f.field_id, {ISO.format('planting_date')}, 'crop ' || (f.ord % 7) AS crop, f.ord / 4 AS yield, CAST(5 AS BIGINT) AS n_vertices, round(b.xmin, 9) AS xmin,
   round(b.ymin, 9) AS ymin, round(b.xmax, 9) AS xmax, round(b.ymax, 9) AS ymax
 FROM v_fields f JOIN v_boxes b ON b.ord = f.ord
 """,
@@ -419,9 +410,13 @@ define(
     "fields_feature_json",
     """
 SELECT 'Feature' AS type, f.ord, f.field_id, strftime(f.planting_date, '%Y-%m-%dT%H:%M:%S') AS planting_date,
-  'Polygon' AS geometry_type, round(v.lon, 9) AS lon3, round(v.lat, 9) AS lat3
-FROM v_fields f JOIN v_vertices v ON v.ord = f.ord AND v.k = 2
-""",
+  'Polygon' AS geometry_type, """
+    + ", ".join(
+        f"round(max(CASE WHEN v.k = {k % 4} THEN v.lon END), 9) AS lon{k}, "
+        f"round(max(CASE WHEN v.k = {k % 4} THEN v.lat END), 9) AS lat{k}"
+        for k in range(5)
+    )
+    + " FROM v_fields f JOIN v_vertices v ON v.ord = f.ord GROUP BY ALL",
 )
 _blon, _blat = unlaea("px", "py")
 define(
@@ -466,16 +461,18 @@ define("best_scene", f"SELECT aoi_id, {DATE}, item_id, {STAMP.format('dt')}, clo
 define(
     "scene_topk",
     f"""
-SELECT candidates, aoi_id, {DATE}, rank, item_id FROM (
-  SELECT 'all' AS candidates, aoi_id, date, item_id,
-    row_number() OVER (PARTITION BY aoi_id, date ORDER BY cloud_cover, dt, item_id) AS rank FROM v_candidates
-  UNION ALL
-  SELECT 'first 50', aoi_id, date, item_id,
-    row_number() OVER (PARTITION BY aoi_id, date ORDER BY cloud_cover, dt, item_id) FROM (
-    SELECT *, row_number() OVER (PARTITION BY aoi_id, date ORDER BY item_id) AS n FROM v_candidates) WHERE n <= 50)
+SELECT aoi_id, {DATE}, rank, item_id FROM (SELECT aoi_id, date, item_id,
+  row_number() OVER (PARTITION BY aoi_id, date ORDER BY cloud_cover, dt, item_id) AS rank FROM v_candidates)
 WHERE rank <= 3
 """,
 )
+define(
+    "scene_topk_closed_second",
+    f"""
+SELECT aoi_id, {DATE}, count(*) AS n FROM v_candidates
+WHERE dt <= CAST(dt AS DATE) + INTERVAL 86399 SECOND GROUP BY aoi_id, date
+""",
+)
 define("scene_refs", f"SELECT {REF} FROM v_refs")
 define(
     "ref_scene_lookup",
@@ -500,8 +497,11 @@ define("incremental_ndvi", f"SELECT aoi_id, {DATE} FROM v_work WHERE turn % 3 <>
 define(
     "pixel_scan",
     """
-SELECT item_id, 'red' AS band, row, col, max(coalesce(red_raw, -9999)) AS raw FROM v_pixels
-WHERE row BETWEEN 10 AND 90 AND col BETWEEN 20 AND 100 GROUP BY item_id, row, col
+SELECT item_id, 'red' AS band, row, col,
+  row_number() OVER (PARTITION BY item_id, row, col
+    ORDER BY obs_order, obs_line, coalesce(red_raw, -9999), coalesce(nir_raw, -9999)) - 1 AS layer,
+  coalesce(red_raw, -9999) AS raw FROM v_pixels
+WHERE row BETWEEN 10 AND 90 AND col BETWEEN 20 AND 100
 """,
 )
 define(
@@ -555,6 +555,14 @@ JOIN v_pixels p ON p.row // {_size} = m.row AND p.col // {_size} = m.col
 WHERE m.date = DATE '2024-01-15' GROUP BY m.aoi_id, p.item_id, m.row, m.col
 """,
     )
+define(
+    "pixel_mask_strict",
+    """
+SELECT c.aoi_id, p.item_id, c.row, c.col, count(*) AS n FROM cells_coarse c
+JOIN v_pixels p ON p.row // 32 = c.row AND p.col // 32 = c.col
+WHERE c.planted <= DATE '2024-01-15' GROUP BY c.aoi_id, p.item_id, c.row, c.col
+""",
+)
 define(
     "ndvi_status",
     f"""
@@ -565,7 +573,10 @@ FROM v_work w LEFT JOIN (SELECT * FROM v_refs WHERE turn % 5 <> 0) f ON f.aoi_id
 """,
 )
 define("ndvi_by_aoi_day", f"SELECT {RECORD} FROM v_records")
-define("ndvi_from_strips", f"SELECT {RECORD} FROM v_strip_records")
+define(
+    "ndvi_from_strips",
+    f"SELECT strips, {RECORD} FROM v_records, unnest(['300', '512', '1024', '100 from 37']) w(strips)",
+)
 define("ndvi_sink_roundtrip", f"SELECT {RECORD} FROM v_records")
 define(
     "stage_manifest",
@@ -575,7 +586,7 @@ SELECT 'processed' AS processed_bucket, 'derived/' AS derived_out_prefix, 'inges
   's3://processed/derived/fields_with_aoi.geojson' AS fields_with_aoi_s3,
   (SELECT count(*) FROM v_aois) AS aois_count,
   (SELECT 's3://processed/calculation/aoi_timeseries/date=' || strftime(date, '%Y-%m-%d') || '/aoi_id=' || aoi_id || '/ndvi.json'
-    FROM v_work ORDER BY aoi_id, date LIMIT 1) AS first_result
+    FROM v_records ORDER BY aoi_id, date LIMIT 1) AS first_result
 """,
 )
 define("uri_split", "SELECT doc_id, lang AS bucket, source || '/' || doc_id || '.json' AS key FROM documents")
@@ -590,9 +601,6 @@ FROM v_aoi_days
 )
 define(
     "stream_scene_refs",
-    f"""
-SELECT aoi_id, {DATE}, status, item_id, cloud_cover FROM v_refs WHERE status = 'ok' AND date + INTERVAL 2 DAY <=
-  (SELECT max(dt) FROM v_scenes WHERE cloud_cover < 30)
-""",
+    f"SELECT aoi_id, {DATE}, status, item_id, cloud_cover, {URL} AS stac_url FROM v_refs WHERE status = 'ok'",
 )
 define("stream_ndvi", f"SELECT {RECORD} FROM v_records")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,13 +57,21 @@ def vertices(geom: Column) -> Column:
 
 @query
 def fields_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields with properties of their own, written as several files and read back."""
     path = scratch_path(spark, "fields")
-    field_files.write_feature_lines(b.fields(spark, sf_dir), path)
+    crop = F.concat(F.lit("crop "), (F.col("ord") % 7).cast("string"))
+    own = b.fields(spark, sf_dir).withColumns({"crop": crop, "yield": F.col("ord") / 4})
+    field_files.write_feature_lines(own.repartition(4, "ord"), path)
     read = field_files.read_feature_lines(spark, path)
+    again = scratch_path(spark, "fields")
+    field_files.write_feature_lines(read, again)
+    read = field_files.read_feature_lines(spark, again)
     return read.select(
         "ord",
         "field_id",
         F.date_format(F.to_date("planting_date"), "yyyy-MM-dd").alias("planting_date"),
+        F.get_json_object("properties", "$.crop").alias("crop"),
+        F.get_json_object("properties", "$.yield").cast("double").alias("yield"),
         F.size(F.flatten(F.flatten("geom"))).cast("long").alias("n_vertices"),
         *box_columns(geometry.bounds(F.col("geom")), 9),
     )
@@ -82,8 +91,11 @@ def fields_feature_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         member("$.properties.field_id").alias("field_id"),
         member("$.properties.planting_date").alias("planting_date"),
         member("$.geometry.type").alias("geometry_type"),
-        F.round(member("$.geometry.coordinates[0][2][0]").cast("double"), 9).alias("lon3"),
-        F.round(member("$.geometry.coordinates[0][2][1]").cast("double"), 9).alias("lat3"),
+        *(
+            F.round(member(f"$.geometry.coordinates[0][{k}][{i}]").cast("double"), 9).alias(f"{axis}{k}")
+            for k in range(5)
+            for i, axis in enumerate(("lon", "lat"))
+        ),
     )
 
 
@@ -263,11 +275,16 @@ def best_scene(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scene_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = selection.top_scenes(Stage(spark, sf_dir).aois(), b.scenes(spark, sf_dir), 3)
+    return best.select("aoi_id", day(), F.col("rank").cast("long").alias("rank"), "item_id")
+
+
+@query
+def scene_topk_closed_second(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of days that end at 23:59:59 sharp, counted per area and day."""
     areas, items = Stage(spark, sf_dir).aois(), b.scenes(spark, sf_dir)
-    columns = ["aoi_id", day(), F.col("rank").cast("long").alias("rank"), "item_id"]
-    whole = selection.top_scenes(areas, items, 3).select(F.lit("all").alias("candidates"), *columns)
-    capped = selection.top_scenes(areas, items, 3, max_items=50)
-    return whole.unionByName(capped.select(F.lit("first 50").alias("candidates"), *columns))
+    found = selection.scene_candidates(areas, items, closed_second=True)
+    return found.groupBy("aoi_id", day()).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _ref_columns() -> list[Column | str]:
@@ -278,6 +295,7 @@ def _ref_columns() -> list[Column | str]:
         *lonlat_box(),
         moment("item_datetime"),
         "cloud_cover",
+        "stac_url",
         "collection",
         "item_id",
         "b04_asset",
@@ -288,7 +306,9 @@ def _ref_columns() -> list[Column | str]:
 @query
 def scene_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Stage(spark, sf_dir)
-    refs = daily.select_scenes(s.aois(), s.tagged(), b.scenes(spark, sf_dir), as_of=b.AS_OF)
+    refs = daily.select_scenes(
+        s.aois(), s.tagged(), b.scenes(spark, sf_dir), as_of=b.AS_OF, catalog_url=b.CATALOG
+    )
     return refs.select(*_ref_columns())
 
 
@@ -379,7 +399,9 @@ def incremental_ndvi(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pixel_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     strips = Stage(spark, sf_dir).strips()
     found = raster_files.scan_pixels(strips, ["red"], rows=(10, 90), cols=(20, 100))
-    return found.where("raw is not null").select("item_id", "band", "row", "col", "raw")
+    return found.where("raw is not null").select(
+        "item_id", "band", "row", "col", F.col("layer").cast("long").alias("layer"), "raw"
+    )
 
 
 @query
@@ -438,15 +460,19 @@ def union_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = mask.eligible_fields(s.tagged(), F.lit(b.MASK_DAY))
     grids = b.grids(spark, sf_dir)
     spans = mask.field_spans(mask.fields_on_grids(planted, _area_grids(s), grids))
-    return mask.merge_spans(spans, ["aoi_id", "grid_id", "row"])
+    return mask.merge_spans(mask.dated_runs(spans), ["aoi_id", "grid_id", "row"])
 
 
-def _masked_counts(spark: SparkSession, sf_dir: str, coarse: int) -> DataFrame:
+def _masked_counts(
+    spark: SparkSession, sf_dir: str, coarse: int, whole_if_tiny: bool = True
+) -> DataFrame:
     s = Stage(spark, sf_dir)
     seen = b.pixels(spark, sf_dir).where("band = 'red'").withColumns(
         {"row": F.floor(F.col("row") / coarse), "col": F.floor(F.col("col") / coarse)}
     )
-    runs = mask.area_mask(s.tagged(), _area_grids(s), b.grids(spark, sf_dir, coarse))
+    runs = mask.area_mask(
+        s.tagged(), _area_grids(s), b.grids(spark, sf_dir, coarse), whole_if_tiny
+    )
     visits = _area_grids(s).select(
         "aoi_id", "grid_id", F.lit(b.MASK_DAY).alias("date"), F.col("grid_id").alias("item_id")
     )
@@ -464,6 +490,12 @@ def pixel_mask_tiny(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _masked_counts(spark, sf_dir, b.COARSE)
 
 
+@query
+def pixel_mask_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The coarse grid again, without the rule for tiny windows."""
+    return _masked_counts(spark, sf_dir, b.COARSE, whole_if_tiny=False)
+
+
 # --- daily index -------------------------------------------------------------------
 
 
@@ -508,9 +540,15 @@ def ndvi_by_aoi_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ndvi_from_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same stage from a dense strip table; a cell keeps its largest observation."""
-    strips = Stage(spark, sf_dir).strips()
-    return _records(spark, sf_dir, strips).select(*_record_columns())
+    """The same stage from strips of all observations; their width and start do not matter."""
+    widths = (("300", 300, 0), ("512", 512, 0), ("1024", 1024, 0), ("100 from 37", 100, 37))
+    out = [
+        _records(spark, sf_dir, Stage(spark, sf_dir).strips(width, shift)).select(
+            F.lit(name).alias("strips"), *_record_columns()
+        )
+        for name, width, shift in widths
+    ]
+    return reduce(DataFrame.unionByName, out)
 
 
 @query
@@ -529,7 +567,7 @@ def ndvi_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Stage(spark, sf_dir)
     layout = daily.Layout("unused")
-    records = ndvi.work_set(s.tagged(), s.pairs())
+    records = _records(spark, sf_dir)
     first = daily.first_result(records, layout.calculation, "processed")
     return daily.stage_manifest(s.aois(), layout, "processed").withColumn(
         "first_result", first.scalar()
@@ -566,7 +604,9 @@ def partition_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_scene_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs = _streamed_refs(spark, sf_dir)
-    return keyed.read_refs(spark, refs).select("aoi_id", day(), "status", "item_id", "cloud_cover")
+    return keyed.read_refs(spark, refs).select(
+        "aoi_id", day(), "status", "item_id", "cloud_cover", "stac_url"
+    )
 
 
 def _streamed_refs(spark: SparkSession, sf_dir: str) -> str:
@@ -574,7 +614,8 @@ def _streamed_refs(spark: SparkSession, sf_dir: str) -> str:
     b.scenes(spark, sf_dir).repartitionByRange(4, "dt").sortWithinPartitions("dt").write.parquet(source)
     areas = Stage(spark, sf_dir).aois()
     best = stream.stream_best_scenes(stream.read_scene_stream(spark, source), areas)
-    stream.append_refs(best, areas, target, state).awaitTermination()
+    stream.append_refs(best, areas, target, state, b.CATALOG).awaitTermination()
+    stream.close_refs(b.scenes(spark, sf_dir), areas, target, catalog_url=b.CATALOG)
     return target
 
 
