@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from verdure.llm import automaton, jaccard, language, licenses, neardup, packing, quality, secrets, token_files, topk
 from verdure.llm.common import table
+from verdure.llm.sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
 
 
 def query(fn: Query) -> Query:
