@@ -171,7 +171,7 @@ def test_runs_leave_no_intermediate_tables(spark, sample_fields, tmp_path):
     daily.run_areas(spark, sample_fields, made)
     daily.run_scenes(spark, scenes(spark), made, as_of=D(2026, 1, 2), catalog_url="https://c")
     rasters, grids, pixels = raster_tables(spark)
-    daily.run_ndvi(spark, scenes(spark), rasters, grids, pixels, made)
+    daily.run_ndvi(spark, scenes(spark), rasters, grids, pixels, made, match_epsg=False)
     assert set(shared.iterdir()) == before
     refs = keyed.read_refs(spark, made.refs)
     assert {r["stac_url"] for r in refs.where("status = 'ok'").collect()} == {"https://c"}
@@ -204,7 +204,7 @@ def test_three_stages_and_reruns(spark, layout):
 
     def run(day):
         daily.run_scenes(spark, scenes(spark), layout, as_of=day)
-        daily.run_ndvi(spark, scenes(spark), rasters, grids, pixels, layout)
+        daily.run_ndvi(spark, scenes(spark), rasters, grids, pixels, layout, match_epsg=False)
 
     def stored(path):
         return {str(p): p.stat().st_mtime_ns for p in Path(path).rglob("part-*")}
@@ -236,6 +236,15 @@ def test_three_stages_and_reruns(spark, layout):
     assert after.count() == 42 and after.where("status = 'ok'").count() == 18
 
 
+def test_a_scene_on_a_grid_of_another_system_fails(spark, layout):
+    rasters, grids, pixels = raster_tables(spark)
+    tagged = field_files.read_feature_lines(spark, layout.tagged_fields, daily.TAGGED_PROPERTIES)
+    refs = daily.select_scenes(field_files.read_aois(spark, layout.aois), tagged, scenes(spark), as_of=D(2026, 1, 1))
+    pairs = refs.select("aoi_id", "date")
+    with pytest.raises(Exception, match="EPSG 32632 on grid G in 4326"):
+        daily.daily_ndvi(tagged, pairs, refs, scenes(spark), rasters, grids, pixels)
+
+
 def records_of(spark, *rows):
     return spark.createDataFrame(list(rows), keyed.NDVI_SCHEMA)
 
@@ -325,7 +334,9 @@ def test_streamed_index_equals_batch_and_survives_a_replay(spark, layout, tmp_pa
     refs = daily.select_scenes(areas, tagged, scenes(spark), as_of=D(2026, 1, 4))
 
     def compute(batch):
-        return daily.daily_ndvi(tagged, batch.select("aoi_id", "date"), batch, scenes(spark), rasters, grids, pixels)
+        return daily.daily_ndvi(
+            tagged, batch.select("aoi_id", "date"), batch, scenes(spark), rasters, grids, pixels, match_epsg=False
+        )
 
     where, series = str(tmp_path / "refs"), str(tmp_path / "series")
     keyed.append_refs(refs, where)

@@ -119,9 +119,14 @@ def daily_ndvi(
     pixels: DataFrame,
     results: DataFrame | None = None,
     observation: list[str] | None = None,
+    match_epsg: bool = True,
+    whole_if_tiny: bool = True,
 ) -> DataFrame:
     """One record per (area, day) of ``pairs`` with planted fields and a reference.
 
+    The coordinate system chosen for a scene has to be that of its grid, which the mask is made on;
+    ``match_epsg=False`` trusts the grids. ``whole_if_tiny`` is that of ``mask.area_mask``.
+
     ``results`` are earlier records to skip. ``pixels`` is either a strip table (item_id,
     band, row, col0, values) or the long table (item_id, band, row, col, raw), for which
     ``observation`` names further columns that tell several observations of a cell apart.
@@ -133,8 +138,9 @@ def daily_ndvi(
     else:
         work = work.join(refs.select("aoi_id", "date"), ["aoi_id", "date"], "left_semi")
     resolved = materialize(ndvi.resolved_refs(work, refs, scenes), "resolved")
-    visits = materialize(ndvi.visits_of(resolved, rasters), "visits")
-    runs = mask.area_mask(fields, visits, grids)
+    visits = ndvi.visits_of(resolved, rasters)
+    visits = materialize(ndvi.on_their_grids(visits, grids) if match_epsg else visits, "visits")
+    runs = mask.area_mask(fields, visits, grids, whole_if_tiny)
     pixels = ndvi.visited_bands(pixels, visits)
     if "values" in pixels.columns:
         means = ndvi.area_means_of_strips(pixels, runs, visits)
@@ -195,6 +201,7 @@ def run_ndvi(
     pixels: DataFrame,
     layout: Layout,
     day: dt.date | None = None,
+    match_epsg: bool = True,
 ) -> None:
     """Write the records that are still missing, for one day or for all referenced days."""
     with cleaned(spark):
@@ -204,6 +211,14 @@ def run_ndvi(
             refs = refs.where(F.col("date") == F.lit(day))
         results = keyed.written_keys(spark, layout.series, keyed.NDVI_SCHEMA)
         records = daily_ndvi(
-            fields, refs.select("aoi_id", "date"), refs, scenes, rasters, grids, pixels, results
+            fields,
+            refs.select("aoi_id", "date"),
+            refs,
+            scenes,
+            rasters,
+            grids,
+            pixels,
+            results,
+            match_epsg=match_epsg,
         )
         keyed.write_ndvi(records, layout.series)

@@ -104,6 +104,39 @@ def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: UTM grids: number, west and north edge in metres; 128 cells of 2 km a side.
+UTM_GRIDS = ((32631, 580000.0), (32632, 150000.0), (32633, -260000.0))
+UTM_Y0, UTM_RES = 5800000.0, 2000.0
+
+
+def utm_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``rasters``, every scene on the grid of its own zone; scenes without a zone have none."""
+    k = F.get_json_object("props", "$.k").cast("int") % 4
+    zone = F.when(k == 0, 32632).when(k == 1, 32631).when(k == 2, 32633)
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("S2_"), F.col("event_id").cast("string")).alias("item_id"),
+        (F.col("event_id") % 4).cast("string").alias("raster_id"),
+        zone.cast("string").alias("grid_id"),
+        F.lit("red").alias("red_band"),
+        F.lit("nir").alias("nir_band"),
+    ).where("grid_id is not null")
+
+
+def utm_grids(spark: SparkSession) -> DataFrame:
+    """One grid per zone."""
+    zones = F.explode(F.array(*[F.struct(F.lit(z).alias("epsg"), F.lit(x).alias("x0")) for z, x in UTM_GRIDS]))
+    return spark.range(1).select(zones.alias("z")).select(
+        F.col("z.epsg").cast("string").alias("grid_id"),
+        "z.epsg",
+        "z.x0",
+        F.lit(UTM_Y0).alias("y0"),
+        F.lit(UTM_RES).alias("xres"),
+        F.lit(UTM_RES).alias("yres"),
+        F.lit(GRID_SIZE).alias("width"),
+        F.lit(GRID_SIZE).alias("height"),
+    )
+
+
 def grids(spark: SparkSession, sf_dir: str, coarse: int = 1) -> DataFrame:
     """The degree grid of every raster; ``coarse`` cells per side make one."""
     items = table(spark, sf_dir, "lineitem").select(

@@ -377,6 +377,74 @@ LEFT JOIN (SELECT f.aoi_id, f.date, avg(n.ndvi) AS mean_ndvi FROM v_refs f
 """
 step("v_records", RECORDS)
 
+# --- UTM grids ---------------------------------------------------------------------
+
+
+def utm(lon: str, lat: str, middle: str) -> tuple[str, str]:
+    """SQL for UTM x and y of degrees by the series in powers of the longitude difference."""
+    e2 = float(E2)
+    ep = repr(e2 / (1 - e2))
+    arc = [1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256, 3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024]
+    arc += [15 * e2**2 / 256 + 45 * e2**3 / 1024, 35 * e2**3 / 3072]
+    p = f"radians({lat})"
+    n = f"(6378137 / sqrt(1 - {E2}::DOUBLE * sin({p}) * sin({p})))"
+    t, c = f"(tan({p}) * tan({p}))", f"({ep}::DOUBLE * cos({p}) * cos({p}))"
+    a = f"(radians({lon} - {middle}) * cos({p}))"
+    m = (
+        f"(6378137 * ({arc[0]!r}::DOUBLE * {p} - {arc[1]!r}::DOUBLE * sin(2 * {p}) + "
+        f"{arc[2]!r}::DOUBLE * sin(4 * {p}) - {arc[3]!r}::DOUBLE * sin(6 * {p})))"
+    )
+    x = (
+        f"(500000 + 0.9996::DOUBLE * {n} * ({a} + (1 - {t} + {c}) * pow({a}, 3) / 6 + "
+        f"(5 - 18 * {t} + {t} * {t} + 72 * {c} - 58 * {ep}::DOUBLE) * pow({a}, 5) / 120))"
+    )
+    y = (
+        f"(0.9996::DOUBLE * ({m} + {n} * tan({p}) * (pow({a}, 2) / 2 + (5 - {t} + 9 * {c} + 4 * {c} * {c}) * pow({a}, 4) / 24 + "
+        f"(61 - 58 * {t} + {t} * {t} + 600 * {c} - 330 * {ep}::DOUBLE) * pow({a}, 6) / 720)))"
+    )
+    return x, y
+
+
+_ux, _uy = utm("lon", "lat", "middle")
+step(
+    "utm_vertices",
+    f"""
+SELECT z.epsg, z.x0, v.ord, v.k, {_ux} AS x, {_uy} AS y
+FROM v_vertices v, (VALUES (32631, 3, 580000), (32632, 9, 150000), (32633, 15, -260000)) z(epsg, middle, x0)
+""",
+)
+step(
+    "utm_edges",
+    """
+SELECT a.epsg, a.ord, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+FROM utm_vertices a JOIN utm_vertices b ON a.ord = b.ord AND a.epsg = b.epsg AND b.k = (a.k + 1) % 4
+""",
+)
+step(
+    "utm_cells",
+    """
+SELECT h.epsg, t.aoi_id, h.row, h.col, min(t.planting_date) AS planted FROM (
+  SELECT b.epsg, b.ord, g.row, g.col FROM (
+    SELECT epsg, any_value(x0) AS x0, ord, min(x) AS xmin, min(y) AS ymin, max(x) AS xmax, max(y) AS ymax
+    FROM utm_vertices GROUP BY epsg, ord) b
+  JOIN (SELECT r.row, c.col FROM range(128) r(row), range(128) c(col)) g
+    ON b.x0 + (g.col + 0.5::DOUBLE) * 2000 BETWEEN b.xmin AND b.xmax
+    AND 5800000 - (g.row + 0.5::DOUBLE) * 2000 BETWEEN b.ymin AND b.ymax
+  JOIN utm_edges e ON e.ord = b.ord AND e.epsg = b.epsg
+    AND least(e.y1, e.y2) <= 5800000 - (g.row + 0.5::DOUBLE) * 2000 AND 5800000 - (g.row + 0.5::DOUBLE) * 2000 < greatest(e.y1, e.y2)
+    AND e.x1 + (5800000 - (g.row + 0.5::DOUBLE) * 2000 - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) <= b.x0 + (g.col + 0.5::DOUBLE) * 2000
+  GROUP BY b.epsg, b.ord, g.row, g.col HAVING count(*) % 2 = 1) h
+JOIN v_tagged t ON t.ord = h.ord AND t.planting_date IS NOT NULL GROUP BY h.epsg, t.aoi_id, h.row, h.col
+""",
+)
+step(
+    "utm_records",
+    RECORDS.replace(
+        "JOIN mask_fine k ON k.aoi_id = f.aoi_id AND k.date = f.date",
+        f"JOIN utm_cells k ON k.aoi_id = f.aoi_id AND k.planted <= f.date AND k.epsg = {EPSG.replace('CASE k', 'CASE f.k')}",
+    ),
+)
+
 # --- statements --------------------------------------------------------------------
 
 ISO = "strftime({0}, '%Y-%m-%d') AS {0}"
@@ -572,6 +640,16 @@ SELECT w.aoi_id, strftime(w.date, '%Y-%m-%d') AS date, CASE WHEN coalesce(f.stat
 FROM v_work w LEFT JOIN (SELECT * FROM v_refs WHERE turn % 5 <> 0) f ON f.aoi_id = w.aoi_id AND f.date = w.date
 """,
 )
+define("ndvi_utm", f"SELECT {RECORD} FROM utm_records")
+define(
+    "pixel_mask_utm",
+    """
+SELECT aoi_id, CAST(epsg AS VARCHAR) AS grid_id, row, min(col) AS lo, max(col) AS hi FROM (
+  SELECT epsg, aoi_id, row, col, col - row_number() OVER (PARTITION BY epsg, aoi_id, row ORDER BY col) AS island
+  FROM utm_cells WHERE planted <= DATE '2024-01-15')
+GROUP BY epsg, aoi_id, row, island
+""",
+)
 define("ndvi_by_aoi_day", f"SELECT {RECORD} FROM v_records")
 define(
     "ndvi_from_strips",

@@ -496,6 +496,17 @@ def pixel_mask_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _masked_counts(spark, sf_dir, b.COARSE, whole_if_tiny=False)
 
 
+@query
+def pixel_mask_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns covered by planted fields on the grids of three UTM zones."""
+    s = Stage(spark, sf_dir)
+    zones = F.array(*(F.lit(str(z)) for z, _ in b.UTM_GRIDS))
+    looked = s.aois().select("aoi_id", F.explode(zones).alias("grid_id"))
+    runs = mask.area_mask(s.tagged(), looked, b.utm_grids(spark), whole_if_tiny=False)
+    planted = runs.where(F.col("from_date") <= F.lit(b.MASK_DAY))
+    return mask.merge_spans(planted, ["aoi_id", "grid_id", "row"])
+
+
 # --- daily index -------------------------------------------------------------------
 
 
@@ -510,6 +521,7 @@ def _records(spark: SparkSession, sf_dir: str, pixels: DataFrame | None = None)
         b.grids(spark, sf_dir),
         b.pixels(spark, sf_dir) if pixels is None else pixels,
         observation=b.OBSERVATION,
+        match_epsg=False,
     )
 
 
@@ -538,6 +550,24 @@ def ndvi_by_aoi_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(spark, sf_dir).select(*_record_columns())
 
 
+@query
+def ndvi_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily index with every scene on the grid of its own UTM zone."""
+    s = Stage(spark, sf_dir)
+    records = daily.daily_ndvi(
+        s.tagged(),
+        s.pairs(),
+        s.refs(),
+        b.scenes(spark, sf_dir),
+        b.utm_rasters(spark, sf_dir),
+        b.utm_grids(spark),
+        b.pixels(spark, sf_dir),
+        observation=b.OBSERVATION,
+        whole_if_tiny=False,
+    )
+    return records.select(*_record_columns())
+
+
 @query
 def ndvi_from_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same stage from strips of all observations; their width and start do not matter."""
@@ -634,6 +664,7 @@ def stream_ndvi(spark: SparkSession, sf_dir: str) -> DataFrame:
             b.grids(spark, sf_dir),
             b.pixels(spark, sf_dir),
             observation=b.OBSERVATION,
+            match_epsg=False,
         )
 
     refs = scratch_path(spark, "refs")
