@@ -59,13 +59,12 @@ def append_refs(
 ) -> StreamingQuery:
     """Write the chosen scenes of closed days as ``ok`` references and stop when caught up.
 
-    Each key is replaced as a whole, so a batch replayed after a failure leaves the
-    same files.
+    The folder is only added to, so another stream may follow it: a batch replayed after a failure writes the keys
+    that are not there yet.
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        boxed = batch.join(aois.select("aoi_id", "bbox"), "aoi_id")
-        keyed.replace_refs(boxed.select(*_ref_columns(catalog_url)), path)
+        _add_refs(batch, aois, path, catalog_url)
 
     return _start(best, write, checkpoint)
 
@@ -82,13 +81,16 @@ def close_refs(
 
     Only scenes of days that the watermark had not passed are read; what is written already stays.
     """
-    spark = scenes.sparkSession
     passed = selection.eligible_scenes(scenes, max_cloud)
     mark = passed.select(F.date_trunc("DAY", F.max("dt") - F.expr(f"interval {lateness}")).cast("timestamp_ntz")).scalar()
     best = selection.best_scenes(aois, scenes.where(F.col("dt") >= mark), max_cloud)
-    written = keyed.written_keys(spark, path, keyed.REF_SCHEMA)
+    _add_refs(best, aois, path, catalog_url)
+
+
+def _add_refs(best: DataFrame, aois: DataFrame, path: str, catalog_url: str | None) -> None:
+    written = keyed.written_keys(best.sparkSession, path, keyed.REF_SCHEMA)
     due = best.join(written, keyed.KEY, "left_anti").join(aois.select("aoi_id", "bbox"), "aoi_id")
-    keyed.append_refs(materialize(due.select(*_ref_columns(catalog_url)), "closing-refs"), path)
+    keyed.append_refs(materialize(due.select(*_ref_columns(catalog_url)), "stream-refs"), path)
 
 
 def _ref_columns(catalog_url: str | None) -> list[Column | str]:
