@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from verdure.operators import aoi, clustering, neighbors
 from verdure.operators.components import connected_components
 from verdure.operators.ranking import exact_quantile, global_rank
-from verdure.operators.skew import salted_lookup
+from verdure.operators.skew import measured_salts, salted_lookup
 
 
 def table(spark, pts):
@@ -164,3 +164,22 @@ def test_more_than_a_hundred_areas(spark):
     names = spark.range(1, 121).select("id", aoi.aoi_label(F.col("id")).alias("aoi_id")).orderBy("id")
     got = [r["aoi_id"] for r in names.collect()]
     assert got[0] == "AOI_01" and got[98:101] == ["AOI_99", "AOI_100", "AOI_101"]
+
+
+@pytest.mark.parametrize("salts", [1, 7])
+def test_thin_points_next_to_a_crowded_cell(spark, monkeypatch, salts):
+    """However many parts a crowded cell is dealt into, its thin neighbours see all of it once."""
+    gen = np.random.default_rng(3)
+    crowd = gen.uniform(0, 60, (150, 2))
+    lone = np.array([[130.0, 30.0], [30.0, -70.0], [250.0, 250.0], [160.0, 30.0]])
+    pts = np.vstack([crowd, lone])
+    monkeypatch.setattr(clustering, "measured_salts", lambda *_: salts)
+    for eps, least in ((100.0, 5), (100.0, 200), (75.0, 3)):
+        got = labels(clustering.dbscan(table(spark, pts), eps, least))
+        assert [got[i] for i in range(len(pts))] == brute_dbscan(pts, eps, least).tolist()
+
+
+def test_salts_follow_the_fullest_key(spark):
+    rows = spark.range(100).selectExpr("id", "if(id < 70, 0L, id) as k")
+    assert measured_salts(rows, ["k"], per_salt=20) == 4
+    assert measured_salts(rows, ["k"]) == 1 and measured_salts(rows.limit(0), ["k"]) == 1

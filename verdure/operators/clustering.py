@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from verdure.operators.components import connected_components
 from verdure.operators.neighbors import distance, neighbour_offsets
 from verdure.operators.ranking import global_rank
-from verdure.operators.skew import salted_lookup
+from verdure.operators.skew import measured_salts, salted_lookup
 from verdure.session import materialize
 
 REACH = 2  # cells of side eps/sqrt(2): anything within eps lies at most two cells away
@@ -130,8 +130,10 @@ def _flag_core(sites: DataFrame, eps: float, min_samples: int) -> DataFrame:
     thin = weighed.where(F.col("cell_weight") < min_samples)
     probes = _around(thin, {"x": "px", "y": "py"})
     near = distance(F.col("px"), F.col("py"), F.col("x"), F.col("y")) <= eps
+    # a cell is looked at by few thin points, but may hold very many sites: those are spread
+    salts = measured_salts(sites, ["cx", "cy"])
     found = (
-        probes.join(sites.select("cx", "cy", "x", "y", "weight"), ["cx", "cy"])
+        salted_lookup(sites.select("cx", "cy", "x", "y", "weight"), probes, ["cx", "cy"], by=["x", "y"], salts=salts)
         .where(near)
         .groupBy(F.col("px").alias("x"), F.col("py").alias("y"))
         .agg(F.sum("weight").alias("outside"))
@@ -146,8 +148,9 @@ def _border_roots(rest: DataFrame, core_sites: DataFrame, eps: float) -> DataFra
     own = rest.select(F.col("x").alias("px"), F.col("y").alias("py"), "cx", "cy")
     probes = own.unionByName(_around(rest, {"x": "px", "y": "py"}))
     near = distance(F.col("px"), F.col("py"), F.col("x"), F.col("y")) <= eps
+    salts = measured_salts(core_sites, ["cx", "cy"])
     return (
-        probes.join(core_sites.select("cx", "cy", "x", "y", "root"), ["cx", "cy"])
+        salted_lookup(core_sites.select("cx", "cy", "x", "y", "root"), probes, ["cx", "cy"], by=["x", "y"], salts=salts)
         .where(near)
         .groupBy(F.col("px").alias("x"), F.col("py").alias("y"))
         .agg(F.min("root").alias("root"))

@@ -26,3 +26,12 @@ def salted_lookup(
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*(by or rows.columns)), F.lit(salts)).cast("int"))
     spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
+
+
+ROWS_PER_SALT = 50_000
+
+
+def measured_salts(rows: DataFrame, keys: list[str], per_salt: int = ROWS_PER_SALT) -> int:
+    """How many salts the fullest key of ``rows`` needs; 1 where none is crowded, so nothing is repeated."""
+    fullest = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return max(1, -(-fullest // per_salt))
