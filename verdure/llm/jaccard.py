@@ -38,9 +38,11 @@ from verdure.session import materialize
 
 WORDS = 5
 #: UTF-8 bytes of text whose tokens make one bucket, and the range of bucket numbers.
-BUCKET_BYTES = 12_000_000
-LEAST_BUCKETS, MOST_BUCKETS = 12, 32_000
+BUCKET_BYTES = 32_000_000
+LEAST_BUCKETS, MOST_BUCKETS = 24, 32_000
 PARITY_WORDS = 8
+#: Lists of a class up to which each entry carries the tokens before it; more only cost repeated pairs.
+MOST_BEFORE = 256
 
 # odd multipliers of the hash; any would do
 _MULTIPLIERS = [np.uint64(2 * xxhash.xxh64_intdigest(str(i)) % 2**64 | 1) for i in range(WORDS)]
@@ -167,30 +169,41 @@ def _send(buckets: int):
     return run
 
 
-def _opened(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    k = struct.unpack_from("<I", blob)[0]
-    at = 4
-    cls = np.frombuffer(blob, "<i8", k, at)
-    n = np.frombuffer(blob, "<u4", k, at + 8 * k)
-    m = np.frombuffer(blob, "<u4", k, at + 12 * k)
-    total = int(m.sum(dtype=np.int64))
-    low = np.frombuffer(blob, "<u4", total, at + 16 * k)
-    high = np.frombuffer(blob, "<u2", total, at + 16 * k + 4 * total)
-    return cls, n, np.repeat(np.arange(k), m), (high.astype(np.int64) << 32) | low
+def _gathered(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Classes and sizes of all blobs, tokens and the number of each token's class; empties ``blobs``."""
+    heads = []
+    for b in blobs:
+        k = struct.unpack_from("<I", b)[0]
+        heads.append((np.frombuffer(b, "<i8", k, 4), np.frombuffer(b, "<u4", k, 4 + 8 * k), np.frombuffer(b, "<u4", k, 4 + 12 * k)))
+    cls, n, counts = (np.concatenate([h[i] for h in heads]).astype(np.int64) for i in range(3))
+    token = np.empty(int(counts.sum()), np.int64)
+    owner = np.repeat(np.arange(len(cls), dtype=np.int32), counts)
+    sizes = [(len(h[0]), int(h[2].sum(dtype=np.int64))) for h in heads]
+    del heads
+    end = len(token)
+    while blobs:
+        k, total = sizes.pop()
+        low = np.frombuffer(blobs[-1], "<u4", total, 4 + 16 * k)
+        high = np.frombuffer(blobs[-1], "<u2", total, 4 + 16 * k + 4 * total)
+        token[end - total : end] = high
+        token[end - total : end] <<= 32
+        token[end - total : end] |= low
+        end -= total
+        del low, high
+        blobs.pop()
+    return cls, n, token, owner
 
 
 def shared_tokens(bucket: int, blobs: list[bytes]) -> pa.RecordBatch | None:
     """Per class of a bucket: its tokens that other classes have too, and how many classes have each."""
-    opened = [_opened(b) for b in blobs]
-    cls = np.concatenate([o[0] for o in opened])
-    n = np.concatenate([o[1] for o in opened]).astype(np.int64)
-    shift = np.cumsum([0, *(len(o[0]) for o in opened)])
-    owner = np.concatenate([o[2] + s for o, s in zip(opened, shift[:-1], strict=True)])
-    token = np.concatenate([o[3] for o in opened])
-    order = np.argsort(token)
-    token, owner = token[order], owner[order]
-    same = token[1:] == token[:-1]
-    several = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    cls, n, token, owner = _gathered(blobs)
+    ordered = np.sort(token)
+    repeated = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    del ordered
+    several = np.zeros(len(token), bool)
+    for at in range(0, len(token) if len(repeated) else 0, 500_000):
+        part = token[at : at + 500_000]
+        several[at : at + 500_000] = repeated[np.minimum(np.searchsorted(repeated, part), len(repeated) - 1)] == part
     token, owner = token[several], owner[several]
     ids, number = np.unique(cls, return_inverse=True)
     size = np.zeros(len(ids), np.int64)
@@ -294,6 +307,22 @@ _SIZES = "4 * least({0}, {1}) >= 3 * greatest({0}, {1})"
 _PLACES = "least(pos, pos2) + least(shared - pos, shared2 - pos2)"
 
 
+def _numbered(entries: DataFrame) -> DataFrame:
+    """Entries with their size block and the tokens ``before`` them in their class's entries.
+
+    Two classes are compared in the first list that has both, the one before which they have no token in common.
+    Classes in more than ``MOST_BEFORE`` of these lists go without: their pairs come up in several lists and are
+    made distinct afterwards.
+    """
+    row = F.struct("pos", "token", "overlap")
+    block = F.floor(F.log("n") / F.log(F.lit(4 / 3))).cast("int").alias("block")
+    one = [F.first(c).alias(c) for c in ("n", "shared", "bits", "component")]
+    own = entries.groupBy("cls").agg(*one, F.array_sort(F.collect_list(row)).alias("e"))
+    each = own.select("cls", "n", "shared", "bits", "component", block, F.col("e.token").alias("tokens"), F.posexplode("e").alias("k", "x"))
+    before = F.when(F.size("tokens") <= MOST_BEFORE, F.slice("tokens", F.lit(1), F.col("k")))
+    return materialize(each.select("cls", "n", "shared", "bits", "component", "block", before.alias("before"), "x.*"), "shingle-left")
+
+
 def _edges(sets: DataFrame) -> DataFrame:
     """Links (a, b) that connect all linked classes."""
     entries = sets.select("cls", "n", "shared", "bits", F.posexplode("prefix").alias("pos", "token"))
@@ -311,10 +340,10 @@ def _edges(sets: DataFrame) -> DataFrame:
     # the overlap of a class with the list's leader; unknown where sizes alone ruled a link out
     told = told.withColumn("overlap", F.when(F.col("cls") == F.col("leader"), F.col("n")).otherwise(F.col("overlap")))
     mixed = told.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    block = F.floor(F.log("n") / F.log(F.lit(4 / 3))).cast("int")
-    left = materialize(told.join(mixed.select("token"), "token", "left_semi").withColumn("block", block), "shingle-left")
+    left = _numbered(told.join(mixed.select("token"), "token", "left_semi"))
     # partners have at most 4/3 of the size: the same block or one of the next two (rounding)
-    probe = left.select(*[F.col(c).alias(f"{c}2") for c in ("cls", "n", "shared", "bits", "pos", "component", "overlap")], "token", F.col("block").alias("from"))
+    other = ("cls", "n", "shared", "bits", "pos", "component", "overlap", "before")
+    probe = left.select(*[F.col(c).alias(f"{c}2") for c in other], "token", F.col("block").alias("from"))
     probe = probe.withColumn("block", F.explode(F.expr("sequence(from, from + 2)"))).drop("from")
     parity = " + ".join(f"bit_count(bits[{i}] ^ bits2[{i}])" for i in range(PARITY_WORDS))
     derived = "least(overlap, overlap2) + least(n - overlap, n2 - overlap2)"
@@ -323,6 +352,7 @@ def _edges(sets: DataFrame) -> DataFrame:
         + _SIZES.format("n", "n2")
         + f" and {_links(_PLACES, 'n', 'n2')} and ({_links(derived, 'n', 'n2')} or overlap is null or overlap2 is null)"
         + f" and 7 * ({parity}) <= n + n2"
+        + " and not coalesce(arrays_overlap(before, before2), false)"
     )
     pairs = left.alias("x").join(probe.alias("y"), ["token", "block"]).where(meet)
     rest = pairs.select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")).distinct()
