@@ -651,8 +651,9 @@ GROUP BY epsg, aoi_id, row, island
 """,
 )
 define("ndvi_by_aoi_day", f"SELECT {RECORD} FROM v_records")
+define("ndvi_from_strips", f"SELECT {RECORD} FROM v_records")
 define(
-    "ndvi_from_strips",
+    "ndvi_strip_widths",
     f"SELECT strips, {RECORD} FROM v_records, unnest(['300', '512', '1024', '100 from 37']) w(strips)",
 )
 define("ndvi_sink_roundtrip", f"SELECT {RECORD} FROM v_records")

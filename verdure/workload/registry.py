@@ -570,7 +570,14 @@ def ndvi_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ndvi_from_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same stage from strips of all observations; their width and start do not matter."""
+    """The same stage from a dense strip table of all observations."""
+    strips = Stage(spark, sf_dir).strips()
+    return _records(spark, sf_dir, strips).select(*_record_columns())
+
+
+@query
+def ndvi_strip_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """And from strips of other widths and starts, which must not matter."""
     widths = (("300", 300, 0), ("512", 512, 0), ("1024", 1024, 0), ("100 from 37", 100, 37))
     out = [
         _records(spark, sf_dir, Stage(spark, sf_dir).strips(width, shift)).select(
