@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verdure.llm.vectors import choose_pivots, flat_lists, lists, padded, pivot_count, usable
 from verdure.operators.components import connected_components
@@ -98,7 +99,7 @@ def _verify(cosine: float):
             links: dict[int, int] = {}
             edges: set[tuple[int, int]] = set()
             for i, same in enumerate(own):
-                (ca, wa, xa), (cb, wb, xb) = ((side[0][i], side[1][i], side[2][i]) for side in sides)
+                (ca, wa, xa), (cb, wb, xb) = ((side[0][i], side[1][i], side[2][i].astype(np.float64)) for side in sides)
                 cos = (xa @ xb.T) / np.outer(np.linalg.norm(xa, axis=1), np.linalg.norm(xb, axis=1))
                 linked = cos >= cosine
                 if same:
@@ -133,8 +134,11 @@ def near_duplicates(
     reachable by links; rows without an id have the component of their links (null if alone) and are not kept. Other
     columns are not read; an empty table gives no rows.
     """
+    # single precision is moved as such and widened before anything is computed
+    element = vectors.schema["embedding"].dataType.elementType
+    kind = "float" if isinstance(element, T.FloatType) else "double"
     rows = materialize(
-        vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).select(
+        vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{kind}>")).select(
             "vec_id", F.when(usable() & F.exists("embedding", lambda x: x != 0), F.col("embedding")).alias("embedding")
         ),
         "vectors",
