@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from verdure.llm.chunks import Coder, byte_symbols, groups, little_endian
 from verdure.llm.common import batch_of, sha256_hex
-from verdure.llm.memory import Memory, per_worker
+from verdure.llm.memory import Memory, per_worker, tidy
 from verdure.llm.plain import PlainCoder
 
 #: Resolved pairs kept in a worker's transition table before it starts anew.
@@ -190,7 +190,7 @@ class WordTokenizer:
 
 
 def word_tokenizer(path: str) -> WordTokenizer:
-    return per_worker(("automaton", path), lambda: WordTokenizer(path))
+    return per_worker("automaton", path, lambda: WordTokenizer(path))
 
 
 _IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
@@ -212,7 +212,7 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
         for rows, texts in groups(batches):
             yield batch_of(_IDS, rows.column("doc_id"), own.encode(texts))
 
-    return _source(docs, "text", "string").mapInArrow(run, "doc_id long, ids binary")
+    return _source(docs, "text", "string").mapInArrow(tidy(run), "doc_id long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
@@ -226,7 +226,7 @@ def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
                 texts = [own.decode(ids or b"").decode() for ids in part.column("ids").to_pylist()]
                 yield batch_of(_TEXT, part.column("doc_id"), texts)
 
-    return _source(encoded, "ids", "binary").mapInArrow(run, "doc_id long, text string")
+    return _source(encoded, "ids", "binary").mapInArrow(tidy(run), "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -244,6 +244,5 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
                 [sha256_hex(own.decode(x)) for x in ids],
             )
 
-    return _source(docs, "text", "string").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _source(docs, "text", "string").mapInArrow(tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -17,8 +17,9 @@ import pyarrow as pa
 from verdure.llm.memory import Memory, per_worker
 from verdure.llm.plain import PlainCoder
 
-#: Characters of text encoded together.
-GROUP_CHARS = 4_000_000
+#: Characters of text worked on together, and rows by which a group grows.
+GROUP_CHARS = 2_000_000
+SLICE_ROWS = 64
 
 
 def load_tokenizer(path: str):
@@ -109,18 +110,19 @@ def coder(kind: str, path: str) -> Coder:
         tokenizer, spaced = load_tokenizer(path), kind == "byte"
         return Coder(PlainCoder(spaced, not spaced, _merges(tokenizer)), GeneralCoder(tokenizer, spaced))
 
-    return per_worker((kind, path), make)
+    return per_worker(kind, path, make)
 
 
 def groups(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of a bounded number of characters with their texts; null counts as empty."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(text).to_pylist()]
-        at = chars = 0
-        for i, t in enumerate(texts):
-            chars += len(t)
+        at, texts, chars = 0, [], 0
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            for t in batch.column(text).slice(start, SLICE_ROWS).to_pylist():
+                texts.append(t or "")
+                chars += len(texts[-1])
             if chars >= GROUP_CHARS:
-                yield batch.slice(at, i + 1 - at), texts[at : i + 1]
-                at, chars = i + 1, 0
-        if at < len(texts):
-            yield batch.slice(at), texts[at:]
+                yield batch.slice(at, len(texts)), texts
+                at, texts, chars = at + len(texts), [], 0
+        if texts:
+            yield batch.slice(at), texts

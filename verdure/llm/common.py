@@ -17,6 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows and bytes that go between the JVM and a Python worker at once.
+BATCH_ROWS, BATCH_BYTES = 2_000, "8m"
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Small Arrow batches: whole texts are large, and both sides of a batch hold it outside the heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder, seen by all executors, for files that tasks write themselves."""
     base = shared_dir(spark)

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from verdure.llm.chunks import groups
 from verdure.llm.common import fresh, quoted
+from verdure.llm.memory import forget, tidy
 from verdure.operators.components import connected_components
 from verdure.session import materialize
 
@@ -125,6 +126,7 @@ def parity_bits(h: np.ndarray, limits: np.ndarray) -> np.ndarray:
 
 def _send(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         sent: set[int] = set()
         for rows, texts in groups(batches):
             h, limits = shingle_hashes(texts)
@@ -267,8 +269,8 @@ def _index(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = int(min(MOST_BUCKETS, max(LEAST_BUCKETS, size // BUCKET_BYTES)))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sent = rows.mapInArrow(_send(buckets), _OUT_DDL)
-    return materialize(sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_count, _COUNTED_DDL), "shingles")
+    sent = rows.mapInArrow(tidy(_send(buckets)), _OUT_DDL)
+    return materialize(sent.repartitionById(buckets, F.col("bucket")).mapInArrow(tidy(_count), _COUNTED_DDL), "shingles")
 
 
 def _links(overlap: str, a: str, b: str) -> str:

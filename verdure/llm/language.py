@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from verdure.llm.chunks import groups
 from verdure.llm.common import batch_of
-from verdure.llm.memory import per_worker
+from verdure.llm.memory import give_back, per_worker, tidy
 
 ORDER = 3
 ALPHABET = 63
@@ -84,7 +84,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
                 yield batch_of(_COUNTS, [lang] * len(grams[part]), grams[part].astype(np.int64), n[part].astype(np.int64))
 
     known = labelled.select(F.col("lang").cast("string"), F.col("text").cast("string")).where("lang is not null and text is not null")
-    counted = known.mapInArrow(run, "lang string, gram long, n long")
+    counted = known.mapInArrow(tidy(run), "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -199,7 +199,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = sent.value
-        trees = per_worker(("ppm", learned.key), lambda: Trees(learned)) if learned.languages else None
+        trees = per_worker("ppm", learned.key, lambda: Trees(learned)) if learned.languages else None
         for rows, texts in groups(batches):
             names, scores, rates = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
             told = [i for i, t in enumerate(texts) if has_letter(t)] if trees else []
@@ -214,8 +214,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                     names[i] = learned.languages[k]
             yield batch_of(_SCORES, rows.column("doc_id"), names, scores, rates)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, lang_pred string, score double, bits_per_byte double"
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(run), "doc_id long, lang_pred string, score double, bits_per_byte double"
     )
 
 
@@ -247,9 +246,10 @@ def keep_identified(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
         out = np.zeros(len(texts), bool)
         told = [i for i, t in enumerate(texts) if has_letter(t)] if learned.languages else []
         if told:
-            trees = per_worker(("ppm", learned.key), lambda: Trees(learned))
+            trees = per_worker("ppm", learned.key, lambda: Trees(learned))
             bits = trees.bits([folded(texts[i]) for i in told])
             out[told] = 1 / np.exp2(bits.min(axis=1)[:, None] - bits).sum(axis=1) >= least
+        give_back()
         return pa.array(out)
 
     return docs.where(kept(F.col("text").cast("string")))

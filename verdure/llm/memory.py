@@ -2,20 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable
+import ctypes
+from collections.abc import Callable, Hashable, Iterator
+
+import pyarrow as pa
 
 #: Entries per generation; keys longer than ``LONGEST_KEPT`` are encoded each time.
-KEPT = 300_000
+KEPT = 150_000
 LONGEST_KEPT = 100
 
-_workers: dict[tuple, object] = {}
+_workers: dict[str, tuple[object, object]] = {}
+
+
+def per_worker(kind: str, key: object, build: Callable[[], object]) -> object:
+    """An object made once in a Python worker; of each ``kind`` only the last one is held."""
+    if kind not in _workers or _workers[kind][0] != key:
+        _workers.pop(kind, None)
+        _workers[kind] = (key, build())
+    return _workers[kind][1]
+
+
+def forget() -> None:
+    """Drop what other operators hold in this worker."""
+    _workers.clear()
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system, since workers live on between tasks and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that gives memory back at its end."""
 
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
 
-def per_worker(key: tuple, build: Callable[[], object]) -> object:
-    """An object made once in a Python worker."""
-    if key not in _workers:
-        _workers[key] = build()
-    return _workers[key]
+    return task
 
 
 class Memory:

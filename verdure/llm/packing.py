@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from verdure.llm.chunks import coder, groups, little_endian
 from verdure.llm.common import batch_of, rows_of
+from verdure.llm.memory import tidy
 from verdure.session import materialize
 
 LENGTH = 2048
@@ -90,7 +91,7 @@ def tokenize(docs: DataFrame, kind: str, tokenizer: str, end_id: int) -> DataFra
             yield batch_of(_TOKENS, rows.column("doc_id"), queues, [part] * len(queues), within, counts, stored)
 
     rows = docs.select(F.col("doc_id").cast("long"), queue_name().alias("queue"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, _ddl(_TOKENS))
+    return rows.mapInArrow(tidy(run), _ddl(_TOKENS))
 
 
 def _narrow(ids: bytes) -> bytes:
@@ -210,7 +211,7 @@ def pack(
                         out.append((segment, q, x, doc[i], x - a, y - x, total, part))
             yield batch_of(_DEALT, *zip(*out, strict=True))
 
-    dealt = placed.mapInArrow(deal, _ddl(_DEALT))
+    dealt = placed.mapInArrow(tidy(deal), _ddl(_DEALT))
     ordered = dealt.repartitionById(tasks, (F.col("segment") % tasks).cast("int")).sortWithinPartitions("segment", "queue_no", "at")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +226,7 @@ def pack(
         if rows:
             yield from _fill_segment(plan, segment, rows, window, segment_windows, with_ids)
 
-    return ordered.mapInArrow(fill, _ddl(_PIECES))
+    return ordered.mapInArrow(tidy(fill), _ddl(_PIECES))
 
 
 def windows_of(counts: np.ndarray, account: np.ndarray, capacity: int) -> Iterator[np.ndarray]:

@@ -40,10 +40,14 @@ def _classes() -> np.ndarray:
 
 
 _CLASS = _classes()
-#: An odd multiplier drawn anew by every process, its inverse, and their powers.
+#: An odd multiplier drawn anew by every process.
 _FACTOR = secrets.randbits(64) | 1
-_POWERS = np.cumprod(np.full(2 * GROUP_BYTES + 64, _FACTOR, np.uint64))
-_INVERSES = np.cumprod(np.full(2 * GROUP_BYTES + 64, pow(_FACTOR, -1, 2**64), np.uint64))
+
+
+def _powers(base: int) -> np.ndarray:
+    return np.cumprod(np.full(GROUP_BYTES + 64, base % 2**64, np.uint64))
+
+
 
 #: Fixed endings after an apostrophe that make a token with it.
 _SHORT = np.isin(np.arange(256), np.frombuffer(b"stmd", np.uint8))
@@ -100,6 +104,7 @@ class PlainCoder:
 
     def __init__(self, spaced: bool, lower: bool, encode: Callable[[list[bytes]], list[bytes]]):
         self.spaced, self.lower, self.memory = spaced, lower, Memory(encode)
+        self.powers, self.inverses = _powers(_FACTOR), _powers(pow(_FACTOR, -1, 2**64))
 
     def __call__(self, texts: list[str]) -> list[bytes | None]:
         """The ids of each text; None for texts that are not plain."""
@@ -127,8 +132,8 @@ class PlainCoder:
         kind = _CLASS[x[start]]
         wanted = x[start] != 0 if self.spaced else (x[start] != 0) & (kind != WHITE)
         start, end = start[wanted], end[wanted]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((x.astype(np.uint64) + np.uint64(1)) * _POWERS[: len(x)])])
-        key = (sums[end] - sums[start]) * _INVERSES[start] ^ ((end - start).astype(np.uint64) << np.uint64(48))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((x.astype(np.uint64) + np.uint64(1)) * self.powers[: len(x)])])
+        key = (sums[end] - sums[start]) * self.inverses[start] ^ ((end - start).astype(np.uint64) << np.uint64(48))
         long = np.flatnonzero(end - start > LONGEST_HASHED)
         # long tokens are not trusted to the hash: each is looked up on its own
         key[long] = np.arange(len(long), dtype=np.uint64) | np.uint64(0xFFFF << 48)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdure.llm.common import batch_of
+from verdure.llm.memory import forget, give_back, tidy
 from verdure.session import materialize
 
 LABELLED = 20_000
@@ -149,6 +150,7 @@ def describe(docs: DataFrame) -> DataFrame:
     """(doc_id, text_view, page_view) of every row of ``docs`` (doc_id, text, lang, source, n_chars)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -157,7 +159,7 @@ def describe(docs: DataFrame) -> DataFrame:
                 page = [page_view(*m) for m in zip(lang, source, n, strict=True)]
                 yield batch_of(_VIEWS, part.column("doc_id"), text, page)
 
-    return _read(docs).mapInArrow(run, "doc_id long, text_view array<double>, page_view array<double>")
+    return _read(docs).mapInArrow(tidy(run), "doc_id long, text_view array<double>, page_view array<double>")
 
 
 def _read(docs: DataFrame) -> DataFrame:
@@ -218,8 +220,7 @@ def _confident(unlabelled: DataFrame, model: Model, count: int) -> list[tuple[np
             answers = [_logistic(model.text.logit(_matrix(rows, "text_view", TEXT_SIZE))), _logistic(model.page.logit(_matrix(rows, "page_view", PAGE_SIZE)))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(a) for a in answers)], names=[*batch.schema.names, "by_text", "by_page"])
 
-    scored = unlabelled.select("doc_id", "text_view", "page_view").mapInArrow(
-        run, "doc_id long, text_view array<double>, page_view array<double>, by_text double, by_page double"
+    scored = unlabelled.select("doc_id", "text_view", "page_view").mapInArrow(tidy(run), "doc_id long, text_view array<double>, page_view array<double>, by_text double, by_page double"
     )
     scored = materialize(scored.where(f"greatest(by_text, by_page) >= {SURE} or least(by_text, by_page) <= {1 - SURE}"), "quality-sure")
     out = []
@@ -244,7 +245,7 @@ def score(views: DataFrame, model: Model) -> DataFrame:
             found = model.scores(_matrix(rows, "text_view", TEXT_SIZE), _matrix(rows, "page_view", PAGE_SIZE))
             yield batch_of(schema, batch.column("doc_id"), *found, found[2] >= KEEP)
 
-    return views.mapInArrow(run, "doc_id long, text_score double, page_score double, score double, keep boolean")
+    return views.mapInArrow(tidy(run), "doc_id long, text_score double, page_score double, score double, keep boolean")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -264,6 +265,7 @@ def accepts(model: Model) -> Column:
     def kept(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
         views = np.asarray([text_view(t.as_py()) for t in text]).reshape(len(text), TEXT_SIZE)
         pages = np.asarray([page_view(*m) for m in zip(lang.to_pylist(), source.to_pylist(), n_chars.to_pylist(), strict=True)]).reshape(len(text), PAGE_SIZE)
+        give_back()
         return pa.array(model.scores(views, pages)[2] >= KEEP)
 
     return kept(F.col("text").cast("string"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("long"))

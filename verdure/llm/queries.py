@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from verdure.llm import automaton, jaccard, language, licenses, neardup, packing, quality, secrets, token_files, topk
-from verdure.llm.common import table
+from verdure.llm.common import bounded_batches, table
 from verdure.llm.sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +17,12 @@ __all__ = ["QUERIES", "SQL"]
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(bounded_batches(spark), sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def tokenizer_path(name: str) -> str:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from verdure.llm.chunks import coder, groups, little_endian
 from verdure.llm.common import batch_of, file_system, new_folder
+from verdure.llm.memory import tidy
 from verdure.session import materialize
 
 # --- fixed values of the zstandard container -----------------------------------------
@@ -76,7 +77,7 @@ def encode_frames(docs: DataFrame, kind: str, tokenizer: str, end_id: int | None
                 frames.append(pack.compress(data))
             yield batch_of(_FRAME_SCHEMA, rows.column("doc_id"), n, plain, check, frames)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _ddl(_FRAME_SCHEMA))
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(run), _ddl(_FRAME_SCHEMA))
 
 
 def _narrow(ids: bytes, width: int) -> bytes:
@@ -108,7 +109,7 @@ def write_token_files(
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "frame")
     )
     folder = new_folder(spark, "tokens")
-    manifest = dealt.mapInArrow(_writer(folder, width), _ddl(_FILE_SCHEMA))
+    manifest = dealt.mapInArrow(tidy(_writer(folder, width)), _ddl(_FILE_SCHEMA))
     return materialize(manifest, "token-files")
 
 
@@ -214,7 +215,7 @@ def read_token_files(manifest: DataFrame, wanted: list[int] | None = None) -> Da
                     yield batch_of(_READ_SCHEMA, docs, starts[part], counts, [file.ids(int(i)) for i in part])
 
     count = max(1, manifest.count())
-    return files.select("file", "start").repartition(count, "file").mapInArrow(run, _ddl(_READ_SCHEMA))
+    return files.select("file", "start").repartition(count, "file").mapInArrow(tidy(run), _ddl(_READ_SCHEMA))
 
 
 def digests(read: DataFrame) -> DataFrame:
