@@ -313,3 +313,50 @@ def test_license_scan(make_docs, odd_texts):
         ("None", "MIT", "MIT:0:31"),
     ]
     assert licenses.scan(make_docs(rows).limit(0)).count() == 0
+
+
+def shortest(parsed):
+    """The shortest text of a parsed expression, optional parts left out."""
+    out = ""
+    for op, arg in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            out += chr(arg)
+        elif kind == "MAX_REPEAT":
+            out += shortest(arg[2]) * arg[0]
+        elif kind == "SUBPATTERN":
+            out += shortest(arg[3])
+        elif kind == "BRANCH":
+            out += min((shortest(p) for p in arg[1]), key=len)
+        elif kind == "IN":
+            out += "4" if str(arg[0][1]) == "CATEGORY_DIGIT" else chr(arg[0][1] if str(arg[0][0]) == "LITERAL" else arg[0][1][0])
+        else:
+            assert kind == "ANY"
+            out += "x"
+    return out
+
+
+def test_every_known_sentence_passes_the_trigger(make_docs):
+    from re import _parser
+
+    texts = {name: shortest(_parser.parse(pattern)) for name, pattern in licenses.SENTENCES}
+    # a year needs a sign, and white space at the end is taken off
+    texts |= {"copyright": "(c) 2020 Foo Inc", "apache-copy": "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"}
+    known = [*texts.items(), ("copyright", "© 2020 Foo Inc"), ("cc-named", "This work is released under CC BY-SA 4.0."), ("cc0-named", "This dataset is available under CC0 1.0 Universal.")]
+    known += [("cc-attribution", "Provided under Creative Commons Attribution 4.0 International"), ("all-rights", "All rights reserved.")]
+    rows = []
+    for name, text in known:
+        wrapped = "# " + "\n# ".join(text.split())
+        # a tag ends with its line
+        for t in [text] if name == "spdx" else [text, text.upper(), wrapped, wrapped.replace("e", "'e'")]:
+            assert (licenses.identify(t) or [None])[0] == name, t
+            rows.append((len(rows), t))
+    docs = make_docs(rows)
+    assert docs.where(~licenses.hinted("text")).collect() == []
+    named = licenses.scan(make_docs([(i, t) for i, (_, t) in enumerate(known[-4:])]))
+    got = {r.doc_id: (r.licenses, r.n_sentences) for r in named.collect()}
+    assert [got[i][0] for i in (0, 1, 3)] == ["CC-BY-SA-4.0", "CC0-1.0", ""] and all(n == 1 for _, n in got.values()) and got[2][0]
+
+
+def test_a_year_alone_is_no_copyright_line():
+    assert licenses.identify("1999 saw the creative commons begin") is None

@@ -4,7 +4,7 @@ A text is cut into sentences; each is normalised (case, quotes, comment signs, w
 known licence sentence, gets that sentence's identifier, with a version where the sentence names one. The sequence of
 identifiers is then read from left to right against the licence rules, the first rule in their order that matches at a
 place winning, so longer grants come before their parts. Identified sentences that no rule takes are reported as
-``unmatched``. Texts without any of the words that all known sentences have are not cut.
+``unmatched``. Texts without any of the words of which every known sentence has one are not cut.
 
 Null and empty texts have no licences; repeated rows are reported each; very long texts are read whole.
 """
@@ -14,9 +14,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdure.llm.common import batch_of
@@ -26,8 +27,11 @@ _SCHEMA = pa.schema(
 )
 _DDL = "doc_id long, licenses string, n_sentences long, unmatched long, spans string"
 
-#: Every known sentence has one of these words.
-TRIGGER = r"(?i)licen[cs]e|permission|redistribut|copyright|warrant|liab|public domain|spdx"
+#: Every known sentence has one of these, once quotes are taken out; between words there may be a line break and comment signs.
+TRIGGER = (
+    r"(?i)licen[cs]e|permission|redistribut|copyright|warrant|liab|public\W+domain|spdx"
+    r"|\(c\)|©|all\W+rights\W+reserved|creative\W+commons|\bcc(?:0|\W+by\b)"
+)
 
 # --- fixed values: known licence sentences, normalised; (?P<v>) is a version -----------------
 SENTENCES: list[tuple[str, str]] = [
@@ -106,8 +110,11 @@ RULES: list[tuple[str, list[str]]] = [
 _PATTERNS = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
 _END = re.compile(r"(?<=[.!?])\s+|(?<=:)[ \t]*\n|\n[ \t]*(?:#+|//+|\*+|--|;+|>)?[ \t]*(?=\n)")
 _SIGNS = re.compile(r"(?m)^[ \t]*(?:(?:#+|//+|/?\*+/?|--|;+|>)[ \t]*)+")
-_QUOTES = re.compile("[\"'`“”‘’]")
+QUOTES = "\"'`“”‘’"
+_QUOTES = re.compile(f"[{QUOTES}]")
 _TRIGGER = re.compile(TRIGGER)
+#: A year and some text are a copyright line only with one of these.
+_NOTICE = re.compile(r"(?i)licen[cs]e|permission|redistribut|copyright|warrant|liab|public domain|spdx|\(c\)|©")
 LONGEST_SENTENCE = 2_000
 
 
@@ -126,11 +133,13 @@ def normalised(sentence: str) -> str:
 
 def identify(sentence: str) -> tuple[str, str] | None:
     """The identifier and version of a known sentence."""
-    if len(sentence) > LONGEST_SENTENCE or not _TRIGGER.search(sentence):
+    if len(sentence) > LONGEST_SENTENCE or not _TRIGGER.search(_QUOTES.sub("", sentence)):
         return None
     plain = normalised(sentence)
     for name, pattern in _PATTERNS:
         found = pattern.fullmatch(plain)
+        if found and name == "copyright" and not _NOTICE.search(plain):
+            continue
         # a tag ends with its line
         if found and not (name == "spdx" and "\n" in sentence.strip()):
             version = (found.groupdict().get("v") or "").strip()
@@ -220,6 +229,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(_SCHEMA, *(zip(*rows, strict=True) if rows else [[]] * len(_SCHEMA)))
 
 
+def hinted(text: str) -> Column:
+    """True for texts that can have a known sentence."""
+    plain = reduce(lambda c, quote: F.replace(c, F.lit(quote), F.lit("")), QUOTES, F.col(text))
+    return F.coalesce(plain.rlike(TRIGGER), F.lit(False))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, licenses, n_sentences, unmatched, spans) for every row of ``docs`` (doc_id, text).
 
@@ -227,6 +242,6 @@ def scan(docs: DataFrame) -> DataFrame:
     ``licence:start:end`` (code points, end exclusive). Other columns are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    told = F.coalesce(F.col("text").rlike(TRIGGER), F.lit(False))
+    told = hinted("text")
     none = [F.lit("").alias("licenses"), F.lit(0).cast("long").alias("n_sentences"), F.lit(0).cast("long").alias("unmatched"), F.lit("").alias("spans")]
     return rows.where(~told).select("doc_id", *none).unionByName(rows.where(told).mapInArrow(_scan, _DDL))
