@@ -79,6 +79,25 @@ def test_code_lengths_by_hand():
     assert np.allclose(got, [[bits(la, t) for la in "ab"] for t in texts])
 
 
+def test_rare_languages_keep_all_their_sequences(make_docs):
+    """A hot language with far more different sequences than the others must not push theirs out."""
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)] + [" "]
+    hot = ["".join(rng.choices(letters, k=10_000)) for _ in range(100)]
+    rare = ["größe über straße", "schön für würde"]
+    docs = make_docs([(i, t, "aa", "s", 1) for i, t in enumerate(hot)] + [(1000 + i, t, "zz", "s", 1) for i, t in enumerate(rare)])
+    model = language.fit(docs.select("lang", "text"))
+    assert model.languages == ["aa", "zz"]
+    want = {}
+    for lang, texts in ((0, hot), (1, rare)):
+        for g in np.concatenate([language.grams_of(b"   " + language.folded(t)) for t in texts]).tolist():
+            want[lang, g] = want.get((lang, g), 0) + 1
+    got = dict(zip(zip(model.lang.tolist(), model.gram.tolist(), strict=True), model.n.tolist(), strict=True))
+    assert len(want) > 400_000 and {k: n for k, n in want.items() if got.get(k, 0) < n} == {}
+    told = language.predict(make_docs([(1, "größe für straße"), (2, "qzx wvk jj")]), model).collect()
+    assert {r.doc_id: r.lang_pred for r in told} == {1: "zz", 2: "aa"}
+
+
 def test_long_texts_are_summed_over_pieces(monkeypatch):
     grams, n = np.unique(language.grams_of(b"   the quick brown fox the lazy dog"), return_counts=True)
     trees = language.Trees(language.Model("m", ["x"], np.zeros(len(grams), np.int32), grams.astype(np.int64), n))

@@ -11,7 +11,8 @@ Text is lower-cased; ASCII bytes other than letters count as one separator byte.
 bytes are symbols of their own, all others share one.
 
 Learning counts four-byte sequences over all given labelled texts, in the tasks first, so only counts are shuffled.
-The model is bounded: the ``MODEL_GRAMS`` most frequent (language, sequence) pairs.
+The model holds all counted (language, sequence) pairs, none is left out: it grows with the different sequences of the
+languages, not with the rows.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +34,6 @@ from verdure.llm.memory import give_back, per_worker, tidy
 
 ORDER = 3
 ALPHABET = 63
-MODEL_GRAMS = 400_000
 UNDETERMINED = "und"
 #: Bytes handled at once; bounds the memory of a task.
 BLOCK = 1_000_000
@@ -90,7 +91,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """Frozen counts of the most frequent sequences; small and bounded, sent to every worker."""
+    """Frozen counts of all sequences, sent to every worker."""
 
     key: str
     languages: list[str]
@@ -99,13 +100,14 @@ class Model:
     n: np.ndarray
 
 
-def fit(labelled: DataFrame, model_grams: int = MODEL_GRAMS) -> Model:
-    kept = gram_counts(labelled).orderBy(F.desc("n"), "lang", "gram").limit(model_grams).toArrow()
-    langs = np.asarray(kept.column("lang").to_pylist(), dtype=object)
-    languages = sorted(set(langs))
-    where = {name: i for i, name in enumerate(languages)}
-    lang = np.asarray([where[x] for x in langs], dtype=np.int32)
-    return Model(uuid.uuid4().hex, languages, lang, kept.column("gram").to_numpy().astype(np.int64), kept.column("n").to_numpy().astype(np.int64))
+def fit(labelled: DataFrame) -> Model:
+    counted = gram_counts(labelled).toArrow()
+    languages = sorted(counted.column("lang").unique().to_pylist())
+    lang = pc.index_in(counted.column("lang"), pa.array(languages, pa.string())).to_numpy().astype(np.int32)
+    gram, n = (counted.column(c).to_numpy().astype(np.int64) for c in ("gram", "n"))
+    # the same layout whatever order the counts came in
+    order = np.lexsort((gram, lang))
+    return Model(uuid.uuid4().hex, languages, lang[order], gram[order], n[order])
 
 
 class Trees:
