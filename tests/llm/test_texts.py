@@ -379,3 +379,28 @@ def test_every_known_sentence_passes_the_trigger(make_docs):
 
 def test_a_year_alone_is_no_copyright_line():
     assert licenses.identify("1999 saw the creative commons begin") is None
+
+
+def test_sentences_over_some_lines_of_a_part():
+    """At the start, in the middle and at the end of lines without sentence ends, and one after the other."""
+    for text, name in [("Licensed under the Apache License,\n# Version 2.0", "Apache-2.0"), ("This work is\n# released under\n# CC BY-SA 4.0", "CC-BY-SA-4.0"), (MIT.split(":")[0].replace("\n", "\n# "), "MIT")]:
+        for before, after in [("", "\nimport os\n"), ("#!/bin/sh\n", "\nimport os"), ("x = 1\n# ", ""), ("Copyright 2020 X\n# ", "\ny = 2")]:
+            whole = before + text + after
+            found, unmatched = licenses.licences(list(licenses.sentences(whole)))
+            assert [n for n, *_ in found] == [name] and not unmatched, whole
+            place = whole[found[0][1] : found[0][2]]
+            assert text in place and place.strip("# ") == text, whole
+
+
+def test_open_ends_stop_before_the_next_sentence():
+    text = "# Copyright 2020 X\n# and others\n# SPDX-License-Identifier: MIT\nimport os"
+    found = list(licenses.sentences(text))
+    assert [(s.name, text[s.start : s.end]) for s in found] == [("copyright", "# Copyright 2020 X\n# and others"), ("spdx", "# SPDX-License-Identifier: MIT")]
+
+
+def test_indented_sentences_have_any_length():
+    words = "Licensed under the Apache License, Version 2.0".split()
+    wide = ("\n" + " " * 400 + "//" + " " * 100).join(words)
+    assert len(wide) > 2_000
+    assert [n for n, *_ in licenses.licences(list(licenses.sentences(wide)))[0]] == ["Apache-2.0"]
+    assert [n for n, *_ in licenses.licences(list(licenses.sentences(wide + "\nimport os")))[0]] == ["Apache-2.0"]

@@ -15,8 +15,10 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,7 +117,10 @@ _QUOTES = re.compile(f"[{QUOTES}]")
 _TRIGGER = re.compile(TRIGGER)
 #: A year and some text are a copyright line only with one of these.
 _NOTICE = re.compile(r"(?i)licen[cs]e|permission|redistribut|copyright|warrant|liab|public domain|spdx|\(c\)|©")
-LONGEST_SENTENCE = 2_000
+#: Sentences that end in any text.
+_OPEN = {name for name, pattern in SENTENCES if re.search(r"\.\{\d+,\d+\}$", pattern)}
+#: Tells whether a normalised start can still become a known sentence.
+_BEGINNING = regex.compile("|".join(f"(?:{re.sub(r'\?P<v>', '?:', pattern)})" for _, pattern in SENTENCES))
 
 
 @dataclass
@@ -126,14 +131,17 @@ class Sentence:
     end: int
 
 
+def _plain(text: str) -> str:
+    return _QUOTES.sub("", _SIGNS.sub(" ", text)).lower()
+
+
 def normalised(sentence: str) -> str:
-    plain = _QUOTES.sub("", _SIGNS.sub(" ", sentence)).lower()
-    return " ".join(plain.split()).strip(" .!")
+    return " ".join(_plain(sentence).split()).strip(" .!")
 
 
 def identify(sentence: str) -> tuple[str, str] | None:
     """The identifier and version of a known sentence."""
-    if len(sentence) > LONGEST_SENTENCE or not _TRIGGER.search(_QUOTES.sub("", sentence)):
+    if not _TRIGGER.search(_QUOTES.sub("", sentence)):
         return None
     plain = normalised(sentence)
     for name, pattern in _PATTERNS:
@@ -150,30 +158,48 @@ def identify(sentence: str) -> tuple[str, str] | None:
 
 
 def sentences(text: str) -> Iterator[Sentence]:
-    """Known sentences with their places; where a sentence over several lines is not known, its later lines and each line are tried."""
+    """Known sentences with their places; of several lines between sentence ends, all runs of lines are tried."""
     at = 0
     for end in [*((m.start(), m.end()) for m in _END.finditer(text)), (len(text), len(text))]:
         part = text[at : end[0]]
-        known = identify(part)
-        if known:
-            yield Sentence(*known, at, end[0])
-        elif "\n" in part:
+        if "\n" in part:
             yield from _from_lines(part, at)
+        elif known := identify(part):
+            yield Sentence(*known, at, end[0])
         at = end[1]
 
 
 def _from_lines(part: str, at: int) -> Iterator[Sentence]:
-    """Known sentences in a part whose first lines belong to something else, or that has one per line."""
-    end, lines = at + len(part), part.split("\n")
-    for i, line in enumerate(lines):
-        rest = identify(part[at - end :]) if i and end - at <= LONGEST_SENTENCE else None
-        if rest:
-            yield Sentence(*rest, at, end)
-            return
-        known = identify(line)
-        if known:
-            yield Sentence(*known, at, at + len(line))
-        at += len(line) + 1
+    """Known sentences that are runs of lines of a part, the longest from the first line on that starts one."""
+    if not _TRIGGER.search(_QUOTES.sub("", part)):
+        return
+    lines = part.split("\n")
+    plain = [" ".join(_plain(line).split()) for line in lines]
+    starts = [0, *accumulate(len(line) + 1 for line in lines)]
+    # the last line first, since a sentence with an open end stops before the next known one
+    runs: list[tuple[tuple[str, str], int] | None] = [None] * len(lines)
+    for i in reversed(range(len(lines))):
+        begun, stopped = "", False
+        for j in range(i, len(lines)):
+            if not plain[j]:
+                # signs alone neither start a sentence nor go on with one
+                if j == i:
+                    break
+                continue
+            begun = f"{begun} {plain[j]}".lstrip(" .!")
+            stopped = stopped or (j > i and runs[j] is not None)
+            known = identify(part[starts[i] : starts[j + 1] - 1])
+            if known and not (stopped and known[0] in _OPEN):
+                runs[i] = known, j
+            if not _BEGINNING.fullmatch(begun + " ", partial=True):
+                break
+    i = 0
+    while i < len(lines):
+        if runs[i]:
+            known, j = runs[i]
+            yield Sentence(*known, at + starts[i], at + starts[j + 1] - 1)
+            i = j
+        i += 1
 
 
 def _version(name: str, version: str) -> str:
