@@ -126,6 +126,12 @@ def test_identified_documents_stay(make_docs, odd_texts):
     assert not {100 + i for i, t in enumerate(odd_texts) if not any(c.isalpha() for c in t or "")} & ids
 
 
+def test_all_documents_stay_when_no_language_was_learned(make_docs):
+    docs = make_docs([(i, t, None, "s", 1) for i, t in enumerate(["some text", "", "und das nicht", "123"])])
+    kept = language.keep_identified(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {0, 1, 2, 3}
+
+
 def junk(rng, lang):
     text = written(rng, lang, rng.randint(10, 60))
     return rng.choice([text.upper().replace(" ", "!! "), text.replace(" ", "### "), " ".join([text.split()[0]] * 50), text.replace(" ", " | ")])

@@ -236,9 +236,14 @@ LEAST_SCORE = 0.5
 
 
 def keep_identified(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """``docs`` (doc_id, text, lang and any others) without those whose language cannot be told; columns stay."""
+    """``docs`` (doc_id, text, lang and any others) without those whose language cannot be told; columns stay.
+
+    Where nothing was learned, no document is rejected.
+    """
     learn = docs.where(~held_out() & F.col("doc_id").isNotNull()).select("lang", "text")
     model = fit(learn)
+    if not model.languages:
+        return docs
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("boolean")
@@ -246,7 +251,7 @@ def keep_identified(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
         learned = sent.value
         texts = [t.as_py() for t in text]
         out = np.zeros(len(texts), bool)
-        told = [i for i, t in enumerate(texts) if has_letter(t)] if learned.languages else []
+        told = [i for i, t in enumerate(texts) if has_letter(t)]
         if told:
             trees = per_worker("ppm", learned.key, lambda: Trees(learned))
             bits = trees.bits([folded(texts[i]) for i in told])
