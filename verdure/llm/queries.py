@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from verdure.llm import automaton, jaccard, language, licenses, neardup, packing, quality, secrets, token_files, topk
+from verdure.llm import automaton, jaccard, language, licenses, merkle, neardup, packing, quality, secrets
+from verdure.llm import token_files, topk, toxicity, whitening
 from verdure.llm.common import bounded_batches, table
 from verdure.llm.sql import SQL
 
@@ -99,3 +101,29 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = packing.pack(docs, "word", tokenizer_path(WORD_BPE), WORD_END, with_ids=False)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and root of every document, and the root it leads to once some texts have lost their line ends."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(""))
+    return merkle.tamper_check(docs, tampered, _remainder(2) == 0)
+
+
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned outside the held-out fold."""
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors projected on their first whitened components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def _remainder(divisor: int) -> Column:
+    """The CRC-32 of the decimal doc_id, modulo ``divisor``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))

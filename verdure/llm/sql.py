@@ -88,3 +88,53 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents d LEFT JOIN g ON g.doc_id = d.doc_id
 """
+
+# The table of CRC-32 by its rule; 3988292384 is the reversed polynomial.
+_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+_CRC32 = """xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: ascii(s)::BIGINT),
+  lambda c, b: xor(c >> 8, crc[CAST(xor(c, b) & 255 AS INTEGER) + 1]), 4294967295::BIGINT), 4294967295::BIGINT)"""
+_LEAF = "sha256(" + " || ".join(
+    f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    for c in ("doc_id", "source", "lang", "n_chars", "{text}")
+) + ")"
+
+SQL["op11_merkle_manifest"] = f"""
+WITH RECURSIVE bits AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, k: {_STEP}, x)) AS crc),
+rows AS (
+  SELECT doc_id, source, {_LEAF.format(text="text")} AS leaf,
+    CASE WHEN {_CRC32} % 2 = 0 THEN {_LEAF.format(text="replace(text, chr(10), '')")} ELSE {_LEAF.format(text="text")} END AS begun
+  FROM documents, bits),
+numbered AS (SELECT *, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS i FROM rows),
+nodes AS (
+  SELECT 0 AS level, tree, i, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM numbered
+  UNION ALL
+  SELECT level + 1, tree, i // 3, sha256(string_agg(digest, '' ORDER BY i)), CAST(ceil(n / 3) AS BIGINT) FROM nodes WHERE n > 1 GROUP BY level, tree, i // 3, n),
+tops AS (SELECT tree, digest AS subroot FROM nodes WHERE n = 1),
+crown AS (
+  SELECT 0 AS level, tree - 1 AS i, subroot AS digest, count(*) OVER () AS n FROM tops
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)), CAST(ceil(n / 3) AS BIGINT) FROM crown WHERE n > 1 GROUP BY level, i // 3, n),
+root AS (SELECT digest AS root FROM crown WHERE n = 1),
+met AS (
+  SELECT l.tree, l.i AS leaf_i, s.level, s.i < l.i // (3 ** s.level)::BIGINT AS before, s.i, s.digest
+  FROM numbered l JOIN nodes s ON s.tree = l.tree AND s.i // 3 = l.i // (3 ** (s.level + 1))::BIGINT AND s.n > 1
+  UNION ALL
+  SELECT l.tree, l.i, 100 + s.level, s.i < (l.tree - 1) // (3 ** s.level)::BIGINT, s.i, s.digest
+  FROM numbered l JOIN crown s ON s.i // 3 = (l.tree - 1) // (3 ** (s.level + 1))::BIGINT AND s.n > 1),
+others AS (
+  SELECT m.*, m.i = CASE WHEN level < 100 THEN leaf_i // (3 ** level)::BIGINT ELSE (tree - 1) // (3 ** (level - 100))::BIGINT END AS own FROM met m),
+steps AS (
+  SELECT tree, leaf_i, level, coalesce(string_agg(digest, '' ORDER BY i) FILTER (before AND NOT own), '') AS l,
+    coalesce(string_agg(digest, '' ORDER BY i) FILTER (NOT before AND NOT own), '') AS r,
+    row_number() OVER (PARTITION BY tree, leaf_i ORDER BY level) AS k
+  FROM others GROUP BY tree, leaf_i, level),
+proofs AS (SELECT tree, leaf_i, string_agg(l || r, '' ORDER BY k) AS proof FROM steps GROUP BY tree, leaf_i),
+folds AS (
+  SELECT tree, i, begun AS acc, 0::BIGINT AS k FROM numbered
+  UNION ALL
+  SELECT f.tree, f.i, sha256(s.l || f.acc || s.r), s.k FROM folds f JOIN steps s ON s.tree = f.tree AND s.leaf_i = f.i AND s.k = f.k + 1),
+folded AS (SELECT tree, i, arg_max(acc, k) AS folded_root FROM folds GROUP BY tree, i)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM numbered JOIN tops USING (tree) JOIN folded USING (tree, i) LEFT JOIN proofs ON proofs.tree = numbered.tree AND proofs.leaf_i = numbered.i, root
+"""
