@@ -8,8 +8,8 @@ different words, each by the logarithm of its count, and ``BLANKS`` neutral word
 text. A linear softmax over it gives the probability. Table and softmax are learned together by mini-batch gradient
 descent with a falling rate, in numpy.
 
-Learning takes a bounded, documented sample of the labelled rows: the ``LABELLED`` first by hash, as far as their bags hold
-``LABELLED_ENTRIES`` entries in all. Bags of the sampled rows come from whole texts, in tasks. As everything after the
+Learning takes a bounded, documented sample of the labelled rows: of either label the ``LABELLED`` first by hash, as far as
+their bags hold ``LABELLED_ENTRIES`` entries in all. Bags of the sampled rows come from whole texts, in tasks. As everything after the
 table is linear, the model folds down to one number per bucket, with which all whole texts are scored.
 """
 
@@ -30,12 +30,13 @@ from pyspark.sql import functions as F
 
 from verdure.llm.common import batch_of
 from verdure.llm.memory import Memory, forget, per_worker, tidy
+from verdure.session import materialize
 
 NGRAMS = (3, 4, 5)
 BUCKETS = 1 << 18
 WIDTH = 8
 RARE, LEAST_TEXTS, BLANKS = 0.05, 5, 10
-LABELLED, LABELLED_ENTRIES = 10_000, 20_000_000
+LABELLED, LABELLED_ENTRIES = 3_000, 10_000_000
 #: Gradients of the table are as small as a subword's share of a text, hence its rate.
 EPOCHS, BATCH, RATE, SOFTMAX_RATE = 10, 32, 20_000.0, 0.05
 _WORDS = re.compile(r"[^\W_]+")
@@ -92,14 +93,15 @@ class Model:
         return 1 / (1 + math.exp(-min(max(z, -500.0), 500.0)))
 
 
-def fit(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = EPOCHS, seed: int = 0) -> Model:
-    """Embedding table and softmax, learned jointly; the same input gives the same model."""
-    prior = float(y.mean()) if len(y) else 0.0
+def fit(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, prior: float = 0.0, epochs: int = EPOCHS, seed: int = 0) -> Model:
+    """Embedding table and softmax, learned jointly; the same input gives the same model. Weighs ``bags`` in place."""
     texts = np.zeros(BUCKETS, np.int64)
     for ids, _ in bags:
         texts[ids] += 1
     use = np.where(texts >= LEAST_TEXTS, RARE / (RARE + texts / max(1, len(bags))), 0).astype(np.float32)
-    bags = [(ids[use[ids] > 0], (share * use[ids])[use[ids] > 0]) for ids, share in bags]
+    for i, (ids, share) in enumerate(bags):
+        met = use[ids] > 0
+        bags[i] = ids[met], share[met] * use[ids[met]]
     used = np.asarray([i for i, b in enumerate(bags) if len(b[0])], dtype=np.int64)
     if len(set(y[used].tolist())) < 2:
         return Model(prior=prior)
@@ -155,15 +157,17 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, entries:
     told = told.groupBy("doc_id").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
     # ids first: texts are fetched for the sampled rows only
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
-    sample = ids.join(told, "doc_id").select("doc_id", "toxic", F.xxhash64("doc_id").alias("order")).distinct().orderBy("order", "doc_id").limit(labelled)
+    known = materialize(ids.join(told, "doc_id").select("doc_id", "toxic", F.xxhash64("doc_id").alias("order")).distinct(), "toxic-labelled")
+    first = [known.where(F.col("toxic") == label).orderBy("order", "doc_id").limit(labelled) for label in (0, 1)]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    one = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic", "order").agg(F.min("text").alias("text"))
+    one = texts.join(F.broadcast(first[0].unionByName(first[1])), "doc_id").groupBy("doc_id", "toxic", "order").agg(F.min("text").alias("text"))
     bags = one.select("order", "doc_id", "toxic", "text").mapInArrow(tidy(_bags), "order long, doc_id long, toxic int, ids array<int>, share array<float>")
-    # at most ``labelled`` rows meet in this window
+    # at most twice ``labelled`` rows meet in this window
     upto = F.sum(F.size("ids")).over(Window.orderBy("order", "doc_id"))
     rows = bags.withColumn("upto", upto).where(F.col("upto") <= entries).select("ids", "share", "toxic").toArrow()
     arrays = [_arrays(rows.column(c)) for c in ("ids", "share")]
-    return fit(list(zip(*arrays, strict=True)), rows.column("toxic").to_numpy())
+    prior = known.agg(F.avg("toxic")).first()[0] or 0.0
+    return fit(list(zip(*arrays, strict=True)), rows.column("toxic").to_numpy(), prior)
 
 
 def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
