@@ -87,6 +87,36 @@ def test_a_large_group_of_near_copies(make_docs):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == by_shingles(rows)
 
 
+def one_group(count, seed):
+    """One group of near copies, most of whose pairs lie below the limit: copies of a text with some words changed."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(count):
+        words = list(base)
+        for at in rng.sample(range(150), rng.choice([1, 2, 3, 4])):
+            words[at] = rng.choice(["alpha", "beta", "gamma", "delta"])
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_compared_pairs_grow_with_a_group_not_with_its_square(make_docs, monkeypatch):
+    compared = {}
+    for count in (400, 800, 1600):
+        written = []
+        real = jaccard.materialize
+        monkeypatch.setattr(jaccard, "materialize", lambda df, label, real=real, written=written: (out := real(df, label), written.append((label, out)))[0])
+        rows = one_group(count, 5)
+        got = jaccard.jaccard_components(make_docs(rows)).collect()
+        monkeypatch.setattr(jaccard, "materialize", real)
+        assert len(got) == count
+        compared[count] = sum(df.count() for label, df in written if label in ("shingle-answers", "shingle-rest"))
+        if count == 400:
+            assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == by_shingles(rows)
+    print(compared)
+    assert compared[1600] <= 5 * compared[400] and compared[800] <= 2.5 * compared[400]
+
+
 def test_jaccard_rows_without_id_or_repeated(make_docs):
     text = "one two three four five six seven"
     rows = [(5, text), (5, text), (None, text), (3, "other words than those before this"), (3, text), (None, "lonely words that nobody else has"), (8, None), (8, "")]

@@ -10,8 +10,11 @@ and every step below works on classes.
    among the first ``size - least overlap + 1`` of each; those, minus the unshared ones that come first in this order,
    are put into inverted lists with size and position.
 3. *Computed answers.* In each list all others are compared with its leader and the overlaps are kept. Whoever links
-   with a leader needs no comparison inside the leader's component any more.
-4. *Derived answers.* What remains are pairs from different components. Lists are cut into blocks by size and only
+   with a leader needs no comparison inside the leader's component any more. Lists that still hold several components
+   get a new leader out of their largest one, which is compared with the members of the others only, again and again as
+   long as that merges components: in a group of near copies the rest shrinks by a share each time, so the pairs stay in
+   proportion to the group.
+4. *Derived answers.* What remains are pairs from different components that no leader could merge. Lists are cut into blocks by size and only
    neighbouring blocks meet; a pair is skipped when its positions, its overlaps with the leader (``y`` and ``z`` share
    at most ``min(xy, xz) + min(size y - xy, size z - xz)``) or the parity bits of the sets bound the overlap below what
    a link needs. The rest is compared, each pair once.
@@ -44,6 +47,8 @@ LEAST_BUCKETS, MOST_BUCKETS = 24, 32_000
 PARITY_WORDS = 8
 #: Lists of a class up to which each entry carries the tokens before it; more only cost repeated pairs.
 MOST_BEFORE = 256
+#: Rounds of new leaders; lists that still merge after as many go to the derived comparison. Changes no result.
+MOST_ROUNDS = 16
 
 # odd multipliers of the hash; any would do
 _MULTIPLIERS = [np.uint64(2 * xxhash.xxh64_intdigest(str(i)) % 2**64 | 1) for i in range(WORDS)]
@@ -325,6 +330,48 @@ def _numbered(entries: DataFrame) -> DataFrame:
     return materialize(each.select("cls", "n", "shared", "bits", "component", "block", before.alias("before"), "x.*"), "shingle-left")
 
 
+def _parity(a: str, b: str) -> str:
+    """Least size of the difference of two sets, from the parity bits."""
+    return "(" + " + ".join(f"bit_count({a}[{i}] ^ {b}[{i}])" for i in range(PARITY_WORDS)) + ")"
+
+
+def _mixed_only(entries: DataFrame) -> DataFrame:
+    """Entries of the lists that hold several components."""
+    mixed = entries.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    return entries.join(mixed.select("token"), "token", "left_semi")
+
+
+def _next_leaders(pool: DataFrame, round_no: int) -> DataFrame:
+    """Pairs (a, b, ca, cb): a member of the largest component of every live list, and the members of its others that may link with it."""
+    member = F.struct(F.xxhash64(F.lit(round_no), "cls").alias("h"), "cls", "n", "bits")
+    sizes = pool.where("live").groupBy("token", "component").agg(F.count("*").alias("k"), F.min(member).alias("m"))
+    lead = sizes.groupBy("token").agg(F.max(F.struct("k", "component", "m")).alias("x"))
+    lead = lead.select("token", F.col("x.component").alias("lead_component"), F.col("x.m.cls").alias("leader"), F.col("x.m.n").alias("nl"), F.col("x.m.bits").alias("bl"))
+    may = f"component <> lead_component and {_SIZES.format('n', 'nl')} and 7 * {_parity('bits', 'bl')} <= n + nl"
+    met = pool.where("live").join(lead, "token").where(may)
+    first = F.col("leader") < F.col("cls")
+    pair = [F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("leader", "cls"), ("cls", "leader"), ("lead_component", "component"), ("component", "lead_component"))]
+    return met.select(*[c.alias(n) for c, n in zip(pair, ("a", "b", "ca", "cb"), strict=True)]).distinct()
+
+
+def _led(pool: DataFrame, sets: DataFrame, answers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rounds of new leaders over the mixed lists: the lists that stay mixed, and all answers."""
+    for round_no in range(1, MOST_ROUNDS + 1):
+        pairs = materialize(_next_leaders(pool, round_no).join(answers.select("a", "b"), ["a", "b"], "left_anti"), "shingle-leaders")
+        found = materialize(_compared(pairs.select("a", "b"), sets), "shingle-answers")
+        answers = answers.unionByName(found)
+        linked = found.where("linked").select("a", "b")
+        if linked.isEmpty():
+            break
+        merged = connected_components(pairs.join(linked, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        moved = pool.drop("live").join(merged.select(F.col("node").alias("component"), F.col("component").alias("into")), "component", "left")
+        moved = moved.withColumn("moved", F.col("into").isNotNull()).withColumn("component", F.coalesce("into", "component")).drop("into")
+        # a list without a merge is left to the derived comparison
+        lists = moved.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("moved").alias("live")).where("lo <> hi")
+        pool = materialize(moved.drop("moved").join(lists.select("token", "live"), "token"), "shingle-mixed")
+    return pool.drop("live"), answers
+
+
 def _edges(sets: DataFrame) -> DataFrame:
     """Links (a, b) that connect all linked classes."""
     entries = sets.select("cls", "n", "shared", "bits", F.posexplode("prefix").alias("pos", "token"))
@@ -333,34 +380,34 @@ def _edges(sets: DataFrame) -> DataFrame:
     lists = materialize(entries.join(lead, "token"), "shingle-lists")
     stars = lists.where("cls <> leader").where(_SIZES.format("n", "nl")).select(F.col("leader").alias("a"), F.col("cls").alias("b")).distinct()
     answers = materialize(_compared(stars, sets), "shingle-answers")
-    stars_linked = answers.where("linked").select("a", "b")
-    label = connected_components(stars_linked)
+    label = connected_components(answers.where("linked").select("a", "b"))
 
     told = lists.join(label.select(F.col("node").alias("cls"), "component"), "cls", "left")
     known = answers.select(F.col("a").alias("leader"), F.col("b").alias("cls"), "overlap")
     told = told.withColumn("component", F.coalesce("component", "cls")).join(known, ["leader", "cls"], "left")
     # the overlap of a class with the list's leader; unknown where sizes alone ruled a link out
     told = told.withColumn("overlap", F.when(F.col("cls") == F.col("leader"), F.col("n")).otherwise(F.col("overlap")))
-    mixed = told.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    left = _numbered(told.join(mixed.select("token"), "token", "left_semi"))
+    pool = materialize(_mixed_only(told.drop("leader", "nl")).withColumn("live", F.lit(True)), "shingle-mixed")
+    pool, answers = _led(pool, sets, answers)
+    left = _numbered(pool)
     # partners have at most 4/3 of the size: the same block or one of the next two (rounding)
     other = ("cls", "n", "shared", "bits", "pos", "component", "overlap", "before")
     probe = left.select(*[F.col(c).alias(f"{c}2") for c in other], "token", F.col("block").alias("from"))
     probe = probe.withColumn("block", F.explode(F.expr("sequence(from, from + 2)"))).drop("from")
-    parity = " + ".join(f"bit_count(bits[{i}] ^ bits2[{i}])" for i in range(PARITY_WORDS))
     derived = "least(overlap, overlap2) + least(n - overlap, n2 - overlap2)"
     meet = (
         "component <> component2 and (n2 < n or (n2 = n and cls2 < cls)) and "
         + _SIZES.format("n", "n2")
         + f" and {_links(_PLACES, 'n', 'n2')} and ({_links(derived, 'n', 'n2')} or overlap is null or overlap2 is null)"
-        + f" and 7 * ({parity}) <= n + n2"
+        + f" and 7 * {_parity('bits', 'bits2')} <= n + n2"
         + " and not coalesce(arrays_overlap(before, before2), false)"
     )
     pairs = left.alias("x").join(probe.alias("y"), ["token", "block"]).where(meet)
     rest = pairs.select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")).distinct()
-    rest = rest.join(answers.select("a", "b"), ["a", "b"], "left_anti")
-    more = materialize(_compared(rest, sets), "shingle-rest").where("linked").select("a", "b")
-    return stars_linked.unionByName(more)
+    asked = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = rest.join(asked, ["a", "b"], "left_anti")
+    more = materialize(_compared(rest, sets), "shingle-rest")
+    return answers.unionByName(more).where("linked").select("a", "b")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
