@@ -21,7 +21,7 @@ def test_projections_invert(spark):
         "cross join (select explode(array(36.1d, 52.0d, 68.9d)) lat)"
     )
     lon, lat = F.col("lon"), F.col("lat")
-    for epsg in (3035, 4326):
+    for epsg in (3035, 4326, *projection.SYSTEMS):
         code = F.lit(epsg)
         there = places.withColumn("p", projection.from_lonlat(lon, lat, code))
         back = there.withColumn("q", projection.to_lonlat(F.col("p")[0], F.col("p")[1], code))
@@ -29,6 +29,36 @@ def test_projections_invert(spark):
             assert r["q"] == pytest.approx([r["lon"], r["lat"]], abs=1e-8)
 
 
+#: Published worked examples: system, degrees, coordinates.
+EXAMPLES = [
+    (projection.Conformal("conic", -99, 28 + 23 / 60, 30 + 17 / 60, 27 + 50 / 60, 2000000, 0, 20925832.16, 1 / 294.97870), (-96, 28.5), (2963503.91, 254759.80)),
+    (projection.Conformal("mercator", 110, 0, 0, 0, 3900000, 900000, 6377397.155, 1 / 299.15281, 0.997), (120, -3), (5009726.58, 569150.82)),
+    (projection.Conformal("polar", 70, -71, 0, 0, 6000000, 6000000, flattening=1 / 298.257223563), (120, -75), (7255380.79, 7053389.56)),
+    (projection.SYSTEMS[3857], (-100 - 20 / 60, 24 + 22 / 60 + 54.433 / 3600), (-11169055.58, 2800000.00)),
+    (projection.SYSTEMS[2154], (3, 46.5), (700000, 6600000)),
+    (projection.SYSTEMS[3413], (-45, 90), (0, 0)),
+    (projection.SYSTEMS[3031], (20, -90), (0, 0)),
+]
+
+
+@pytest.mark.parametrize("system, place, point", EXAMPLES)
+def test_conformal_systems_match_published_points(spark, system, place, point):
+    there = spark.range(1).select(system.forward(F.lit(float(place[0])), F.lit(float(place[1]))).alias("p"))
+    assert one(there) == pytest.approx(list(point), abs=6e-3)
+    back = one(there.select(system.inverse(F.col("p")[0], F.col("p")[1])))
+    assert back[1] == pytest.approx(place[1], abs=1e-8)
+    assert abs(place[1]) == 90 or back[0] == pytest.approx(place[0], abs=1e-8)
+
+
+def test_systems_invert_around_the_globe(spark):
+    places = spark.createDataFrame([(float(lon), float(lat)) for lon in range(-180, 180, 23) for lat in (-84, -60, -1, 0, 33, 70, 84)], "lon double, lat double")
+    for number, system in projection.SYSTEMS.items():
+        there = places.withColumn("p", system.forward(F.col("lon"), F.col("lat")))
+        for r in there.withColumn("q", system.inverse(F.col("p")[0], F.col("p")[1])).collect():
+            assert r["q"][1] == pytest.approx(r["lat"], abs=1e-8), number
+            assert math.cos(math.radians(r["q"][0] - r["lon"])) == pytest.approx(1, abs=1e-15), number
+
+
 def test_utm_follows_the_meridian_arc_and_inverts(spark):
     rows = [(z, 6 * z - 183.0 + d, lat) for z in (1, 32, 60) for d in (-2.5, 0.0, 2.9) for lat in (-60.0, 0.5, 47.0)]
     df = spark.createDataFrame(rows, "zone int, lon double, lat double").withColumn(

@@ -1,14 +1,16 @@
 """Closed-form map projections as Column expressions (no Python per row).
 
-Supported systems: EPSG:4326 (also CRS84), EPSG:3035, and the UTM zones
-EPSG:32601-32660 and 32701-32760. Datum differences between them are below the
-precision this library works at and are treated as zero.
+Supported systems: EPSG:4326 (also CRS84), EPSG:3035, the UTM zones
+EPSG:32601-32660 and 32701-32760, and those of ``SYSTEMS``: Mercator, conformal
+conic and polar stereographic projections by their parameters. Datum differences
+between them are below the precision this library works at and are treated as zero.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -210,6 +212,120 @@ def utm_inverse(x: Column, y: Column, epsg: Column) -> Column:
     )
 
 
+@dataclass(frozen=True)
+class Conformal:
+    """A conformal projection as a function of the isometric latitude; angles in degrees.
+
+    ``kind`` is ``mercator``, ``conic`` or ``polar``. ``lat1`` and ``lat2`` are the standard parallels (one is enough for
+    Mercator and polar), ``lat0`` the latitude of the false origin of a conic. ``flattening`` 0 makes a sphere.
+    """
+
+    kind: str
+    lon0: float
+    lat1: float
+    lat2: float = 0.0
+    lat0: float = 0.0
+    false_e: float = 0.0
+    false_n: float = 0.0
+    semi_major: float = SEMI_MAJOR
+    flattening: float = FLATTENING
+    scale: float | None = None
+
+    @property
+    def ecc(self) -> float:
+        return math.sqrt(self.flattening * (2 - self.flattening))
+
+    def isometric(self, lat: float) -> float:
+        """Isometric latitude of degrees."""
+        s = math.sin(math.radians(lat))
+        return math.atanh(s) - self.ecc * math.atanh(self.ecc * s)
+
+    def parallel(self, lat: float) -> float:
+        """Radius of a parallel, in semi-major axes."""
+        p = math.radians(lat)
+        return math.cos(p) / math.sqrt(1 - (self.ecc * math.sin(p)) ** 2)
+
+    @property
+    def cone(self) -> tuple[float, float, float]:
+        """Cone constant n, radius factor f and the radius at the origin: radius = f * exp(-n * isometric latitude)."""
+        if self.kind == "polar":
+            sign = -1.0 if self.lat1 < 0 else 1.0
+            true = self.parallel(self.lat1) * math.exp(sign * self.isometric(self.lat1)) if abs(self.lat1) < 90 else 2 / math.sqrt((1 + self.ecc) ** (1 + self.ecc) * (1 - self.ecc) ** (1 - self.ecc))
+            return sign, sign * self.semi_major * true * (self.scale or 1.0), 0.0
+        one, two = self.parallel(self.lat1), self.parallel(self.lat2)
+        q1, q2 = self.isometric(self.lat1), self.isometric(self.lat2)
+        n = math.sin(math.radians(self.lat1)) if q1 == q2 else math.log(one / two) / (q2 - q1)
+        f = self.semi_major * one * math.exp(n * q1) / n * (self.scale or 1.0)
+        return n, f, f * math.exp(-n * self.isometric(self.lat0))
+
+    def forward(self, lon: Column, lat: Column) -> Column:
+        """Degrees to metres, as array(x, y)."""
+
+        def placed(q: Column) -> Column:
+            if self.kind == "mercator":
+                k = self.semi_major * (self.scale or self.parallel(self.lat1))
+                return xy(self.false_e + k * F.radians(_turned(lon - self.lon0)), self.false_n + k * q)
+            n, f, r0 = self.cone
+            # f has the sign of n, and so has the radius: a cone that opens to the south is the same formula
+            polar = F.struct((f * F.exp(-n * q)).alias("r"), (F.radians(_turned(lon - self.lon0)) * n).alias("a"))
+            return let(polar, lambda t: xy(self.false_e + t["r"] * F.sin(t["a"]), self.false_n + r0 - t["r"] * F.cos(t["a"])))
+
+        return let(F.sin(F.radians(lat)), lambda s: let(F.atanh(s) - self.ecc * F.atanh(self.ecc * s), placed))
+
+    def inverse(self, x: Column, y: Column) -> Column:
+        """Metres to degrees, as array(lon, lat)."""
+        east, north = x - self.false_e, y - self.false_n
+        if self.kind == "mercator":
+            k = self.semi_major * (self.scale or self.parallel(self.lat1))
+            return self._placed(F.degrees(east / k), north / k)
+        n, f, r0 = self.cone
+        sign = math.copysign(1.0, n)
+        side, down = sign * east, sign * (r0 - north)
+        radius = F.sqrt(side * side + down * down)
+        # the pole itself: an isometric latitude large enough to come out as 90 degrees
+        q = F.when(radius == 0, F.lit(40.0 / n)).otherwise(-F.ln(radius / abs(f)) / n)
+        return self._placed(F.degrees(F.atan2(side, down)) / n, q)
+
+    def _placed(self, turn: Column, q: Column) -> Column:
+        """Degrees of a longitude difference and an isometric latitude, by the series of the conformal latitude."""
+        e2 = self.ecc**2
+        # Series coefficients of the latitude in terms of the conformal latitude, to the eighth power of e.
+        series = (
+            e2 / 2 + 5 * e2**2 / 24 + e2**3 / 12 + 13 * e2**4 / 360,
+            7 * e2**2 / 48 + 29 * e2**3 / 240 + 811 * e2**4 / 11520,
+            7 * e2**3 / 120 + 81 * e2**4 / 1120,
+            4279 * e2**4 / 161280,
+        )
+
+        def finish(chi: Column) -> Column:
+            lat = chi
+            for j, c in enumerate(series, start=1):
+                lat = lat + c * F.sin(2 * j * chi)
+            return let(closer(lat), lambda v: xy(_turned(self.lon0 + turn), F.degrees(closer(v))))
+
+        def closer(lat: Column) -> Column:
+            # a fixed-point step leaves e^2 of the error that the series has left
+            return F.asin(F.tanh(q + self.ecc * F.atanh(self.ecc * F.sin(lat))))
+
+        return let(F.asin(F.tanh(q)), finish)
+
+
+def _turned(degrees: Column) -> Column:
+    """A longitude brought into [-180, 180]."""
+    return F.when(F.abs(degrees) <= 180, degrees).otherwise(F.pmod(degrees + 180, F.lit(360.0)) - 180)
+
+
+# Parameters of EPSG systems.
+SYSTEMS: dict[int, Conformal] = {
+    3857: Conformal("mercator", 0, 0, flattening=0.0),
+    3395: Conformal("mercator", 0, 0),
+    2154: Conformal("conic", 3, 49, 44, 46.5, 700000, 6600000),
+    3034: Conformal("conic", 10, 35, 65, 52, 4000000, 2800000),
+    3413: Conformal("polar", -45, 70),
+    3031: Conformal("polar", 0, -71),
+}
+
+
 def _is_utm(epsg: Column) -> Column:
     return epsg.between(32601, 32660) | epsg.between(32701, 32760)
 
@@ -221,22 +337,26 @@ def _unsupported(epsg: Column) -> Column:
 
 def from_lonlat(lon: Column, lat: Column, epsg: Column) -> Column:
     """Degrees to the system of each row's ``epsg``, as array(x, y)."""
-    return (
+    chosen = (
         F.when(epsg == 4326, xy(lon, lat))
         .when(epsg == 3035, laea_forward(lon, lat))
         .when(_is_utm(epsg), utm_forward(lon, lat, epsg))
-        .otherwise(_unsupported(epsg))
     )
+    for number, system in SYSTEMS.items():
+        chosen = chosen.when(epsg == number, system.forward(lon, lat))
+    return chosen.otherwise(_unsupported(epsg))
 
 
 def to_lonlat(x: Column, y: Column, epsg: Column) -> Column:
     """The system of each row's ``epsg`` to degrees, as array(lon, lat)."""
-    return (
+    chosen = (
         F.when(epsg == 4326, xy(x, y))
         .when(epsg == 3035, laea_inverse(x, y))
         .when(_is_utm(epsg), utm_inverse(x, y, epsg))
-        .otherwise(_unsupported(epsg))
     )
+    for number, system in SYSTEMS.items():
+        chosen = chosen.when(epsg == number, system.inverse(x, y))
+    return chosen.otherwise(_unsupported(epsg))
 
 
 def crs_epsg(crs: Column) -> Column:

@@ -496,6 +496,53 @@ SELECT v.ord, CASE v.ord % 3 WHEN 1 THEN 'urn:ogc:def:crs:OGC:1.3:CRS84' WHEN 2
 FROM v_vertices v JOIN v_metres m ON m.ord = v.ord AND m.k = v.k
 """,
 )
+
+
+def conformal() -> str:
+    """x and y of degrees in each system, by the textbook formulas in t = tan(pi/4 - lat/2) over the ellipsoid's factor."""
+    a, e2 = 6378137.0, float(E2)
+
+    def t(p: float, e: float) -> float:
+        return math.tan(math.pi / 4 - p / 2) / ((1 - e * math.sin(p)) / (1 + e * math.sin(p))) ** (e / 2)
+
+    def m(p: float) -> float:
+        return math.cos(p) / math.sqrt(1 - e2 * math.sin(p) ** 2)
+
+    def column(lat: str, e: float) -> str:
+        es = f"{e!r}::DOUBLE * sin(radians({lat}))"
+        return f"(tan(pi() / 4 - radians({lat}) / 2) / pow((1 - {es}) / (1 + {es}), {e / 2!r}::DOUBLE))"
+
+    def conic(lon0: float, deg1: float, deg2: float, deg0: float, fe: float, fn: float) -> tuple[str, str]:
+        p1, p2, p0 = map(math.radians, (deg1, deg2, deg0))
+        e = math.sqrt(e2)
+        n = (math.log(m(p1)) - math.log(m(p2))) / (math.log(t(p1, e)) - math.log(t(p2, e)))
+        f = a * m(p1) / (n * t(p1, e) ** n)
+        r, angle = f"({f!r}::DOUBLE * pow({column('lat', e)}, {n!r}::DOUBLE))", f"({n!r}::DOUBLE * radians(lon - {lon0}))"
+        return f"({fe} + {r} * sin({angle}))", f"({fn} + {f * t(p0, e) ** n!r}::DOUBLE - {r} * cos({angle}))"
+
+    def polar(lon0: float, deg: float, south: bool) -> tuple[str, str]:
+        e, p = math.sqrt(e2), math.radians(abs(deg))
+        r = f"({a * m(p) / t(p, e)!r}::DOUBLE * {column('-lat' if south else 'lat', e)})"
+        return f"({r} * sin(radians(lon - {lon0})))", f"({'' if south else '-'}{r} * cos(radians(lon - {lon0})))"
+
+    east = f"({a} * radians(lon))"
+    forms = {
+        3857: (east, f"({a} * -ln({column('lat', 0.0)}))"),
+        3395: (east, f"({a} * -ln({column('lat', math.sqrt(e2))}))"),
+        2154: conic(3, 49, 44, 46.5, 700000, 6600000),
+        3034: conic(10, 35, 65, 52, 4000000, 2800000),
+        3413: polar(-45, 70, False),
+        3031: polar(0, -71, True),
+    }
+    whens = [" ".join(f"WHEN {epsg} THEN {xy[i]}" for epsg, xy in forms.items()) for i in (0, 1)]
+    number = "CASE ord % 6 " + " ".join(f"WHEN {i} THEN {epsg}" for i, epsg in enumerate(forms)) + " END"
+    return f"""
+SELECT ord, CAST(epsg AS INTEGER) AS epsg, k, round(CASE epsg {whens[0]} END, 3) AS x, round(CASE epsg {whens[1]} END, 3) AS y,
+  round(lon, 8) AS lon, round(lat, 8) AS lat FROM (SELECT *, {number} AS epsg FROM v_vertices)
+"""
+
+
+define("crs_systems", conformal())
 define("project_laea", "SELECT ord, k, round(px, 3) AS x, round(py, 3) AS y FROM v_metres")
 define(
     "unproject_laea",
@@ -542,6 +589,7 @@ WHERE dt <= CAST(dt AS DATE) + INTERVAL 86399 SECOND GROUP BY aoi_id, date
 """,
 )
 define("scene_refs", f"SELECT {REF} FROM v_refs")
+define("stream_scene_days", f"SELECT {REF} FROM v_refs")
 define(
     "ref_scene_lookup",
     f"""

@@ -18,6 +18,7 @@ from verdure.sources import keyed
 from verdure.sources import raster as raster_files
 from verdure.sources import scenes as scene_files
 from verdure.streaming import daily as stream
+from verdure.streaming import days as stream_days
 from verdure.workload import bindings as b
 from verdure.workload.bindings import Stage
 
@@ -123,6 +124,25 @@ def crs_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def crs_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices in each of the parametrised systems in turn, and back in degrees."""
+    numbers = F.array(*[F.lit(n) for n in projection.SYSTEMS])
+    labelled = b.fields(spark, sf_dir).withColumn("epsg", F.get(numbers, (F.col("ord") % len(projection.SYSTEMS)).cast("int")))
+    metres = geometry.map_vertices(F.col("geom"), lambda x, y: projection.from_lonlat(x, y, F.col("epsg")))
+    named = labelled.withColumn("crs", F.concat(F.lit("urn:ogc:def:crs:EPSG::"), F.col("epsg").cast("string"))).withColumn("metres", metres)
+    pairs = F.arrays_zip(vertices(F.col("metres")).alias("m"), vertices(geometry.normalize_crs(F.col("metres"), F.col("crs"))).alias("d"))
+    return named.select("ord", "epsg", F.posexplode(pairs).alias("k", "p")).select(
+        "ord",
+        "epsg",
+        F.col("k").cast("long").alias("k"),
+        F.round(F.col("p.m")[0], 3).alias("x"),
+        F.round(F.col("p.m")[1], 3).alias("y"),
+        F.round(F.col("p.d")[0], 8).alias("lon"),
+        F.round(F.col("p.d")[1], 8).alias("lat"),
+    )
+
+
 @query
 def project_laea(spark: SparkSession, sf_dir: str) -> DataFrame:
     metres = geometry.project_metres(F.col("geom"))
@@ -656,6 +676,18 @@ def _streamed_refs(spark: SparkSession, sf_dir: str) -> str:
     return target
 
 
+@query
+def stream_scene_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All references, ``ok`` and ``no_items``, from the scene stream alone."""
+    source, target, state = (scratch_path(spark, n) for n in ("feed", "refs", "state"))
+    b.scenes(spark, sf_dir).repartitionByRange(4, "dt").sortWithinPartitions("dt").write.parquet(source)
+    stream_days.end_of_input(spark, source, b.AS_OF)
+    areas = materialize(stream_days.area_spans(Stage(spark, sf_dir).pairs()), "spans")
+    refs = stream_days.stream_days(stream.read_scene_stream(spark, source), areas, catalog_url=b.CATALOG)
+    stream_days.write_days(refs, target, state).awaitTermination()
+    return keyed.read_refs(spark, target).select(*_ref_columns())
+
+
 @query
 def stream_ndvi(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Stage(spark, sf_dir)
