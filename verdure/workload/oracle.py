@@ -653,6 +653,66 @@ SELECT t.aoi_id, round(min(b.xmin), 9) AS xmin, round(min(b.ymin), 9) AS ymin, r
 FROM v_tagged t JOIN v_boxes b ON b.ord = t.ord WHERE t.planting_date <= DATE '2024-01-15' GROUP BY t.aoi_id
 """,
 )
+# the union of an area's fields, cut into slabs in which no two edges cross
+step(
+    "u_planted",
+    """
+SELECT aoi_id, ord FROM v_tagged WHERE aoi_id IS NOT NULL AND planting_date <= DATE '2024-01-15'
+""",
+)
+step(
+    "u_lines",
+    """
+SELECT p.aoi_id, e.* FROM u_planted p JOIN v_edges e ON e.ord = p.ord
+""",
+)
+step(
+    "u_breaks",
+    """
+SELECT aoi_id, y1 AS y FROM u_lines
+  UNION
+  SELECT aoi_id, ay + t * (by_ - ay) FROM (
+    SELECT a.aoi_id, a.y1 AS ay, a.y2 AS by_,
+      ((c.x1 - a.x1) * (c.y2 - c.y1) - (c.y1 - a.y1) * (c.x2 - c.x1)) / ((a.x2 - a.x1) * (c.y2 - c.y1) - (a.y2 - a.y1) * (c.x2 - c.x1)) AS t
+    FROM u_lines a JOIN u_lines c ON a.aoi_id = c.aoi_id AND a.ord < c.ord AND (a.x2 - a.x1) * (c.y2 - c.y1) - (a.y2 - a.y1) * (c.x2 - c.x1) <> 0
+      AND least(a.x1, a.x2) <= greatest(c.x1, c.x2) AND greatest(a.x1, a.x2) >= least(c.x1, c.x2)
+      AND least(a.y1, a.y2) <= greatest(c.y1, c.y2) AND greatest(a.y1, a.y2) >= least(c.y1, c.y2)) WHERE t BETWEEN 0 AND 1
+""",
+)
+step(
+    "u_slabs",
+    """
+SELECT aoi_id, y AS lo, lead(y) OVER (PARTITION BY aoi_id ORDER BY y) AS hi FROM u_breaks
+""",
+)
+step(
+    "u_spans",
+    """
+SELECT s.aoi_id, s.lo, s.hi, l.ord, min(l.x1 + (m - l.y1) * (l.x2 - l.x1) / (l.y2 - l.y1)) AS a, max(l.x1 + (m - l.y1) * (l.x2 - l.x1) / (l.y2 - l.y1)) AS b
+  FROM (SELECT *, (lo + hi) / 2 AS m FROM u_slabs WHERE hi > lo) s
+  JOIN u_lines l ON l.aoi_id = s.aoi_id AND least(l.y1, l.y2) <= m AND m < greatest(l.y1, l.y2) GROUP BY ALL
+""",
+)
+step(
+    "u_reached",
+    """
+SELECT *, max(b) OVER (PARTITION BY aoi_id, lo ORDER BY a, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM u_spans
+""",
+)
+step(
+    "u_areas",
+    """
+SELECT aoi_id, sum((hi - lo) * greatest(0, b - greatest(a, coalesce(before, a)))) AS area FROM u_reached GROUP BY aoi_id
+""",
+)
+define(
+    "union_polygons",
+    """
+SELECT aoi_id, round(any_value(area), 9) AS area, round(min(least(x1, x2)), 8) AS xmin, round(min(least(y1, y2)), 8) AS ymin,
+  round(max(greatest(x1, x2)), 8) AS xmax, round(max(greatest(y1, y2)), 8) AS ymax
+FROM u_areas JOIN u_lines USING (aoi_id) GROUP BY aoi_id
+""",
+)
 define(
     "union_spans",
     """

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from verdure.functions import geometry, keys, projection, raster
 from verdure.functions.assets import NIR_ASSETS, RED_ASSETS, find_asset, pick_epsg
-from verdure.operators import aoi, incremental, mask, ndvi, neighbors, selection
+from verdure.operators import aoi, dissolve, incremental, mask, ndvi, neighbors, selection
 from verdure.plans import daily
 from verdure.session import materialize, scratch_path
 from verdure.sources import fields as field_files
@@ -483,6 +483,14 @@ def union_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask.merge_spans(mask.dated_runs(spans), ["aoi_id", "grid_id", "row"])
 
 
+@query
+def union_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area and bounds of the dissolved geometry of every area's planted fields."""
+    planted = mask.eligible_fields(Stage(spark, sf_dir).tagged(), F.lit(b.MASK_DAY))
+    found = dissolve.union_figures(planted)
+    return found.select("aoi_id", rounded("area", 9), *(rounded(c, 8) for c in ("xmin", "ymin", "xmax", "ymax")))
+
+
 def _masked_counts(
     spark: SparkSession, sf_dir: str, coarse: int, whole_if_tiny: bool = True
 ) -> DataFrame:
