@@ -474,6 +474,14 @@ SELECT f.ord, f.field_id, {ISO.format('planting_date')}, 'crop ' || (f.ord % 7)
 FROM v_fields f JOIN v_boxes b ON b.ord = f.ord
 """,
 )
+define(
+    "fields_scan_split",
+    f"""
+SELECT row_number() OVER (ORDER BY f.ord) - 1 AS ord, f.field_id, {ISO.format('planting_date')}, round(b.xmin, 9) AS xmin,
+  round(b.ymin, 9) AS ymin, round(b.xmax, 9) AS xmax, round(b.ymax, 9) AS ymax
+FROM v_fields f JOIN v_boxes b ON b.ord = f.ord
+""",
+)
 define(
     "fields_feature_json",
     """

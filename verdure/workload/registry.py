@@ -13,6 +13,7 @@ from verdure.functions.assets import NIR_ASSETS, RED_ASSETS, find_asset, pick_ep
 from verdure.operators import aoi, dissolve, incremental, mask, ndvi, neighbors, selection
 from verdure.plans import daily
 from verdure.session import materialize, scratch_path
+from verdure.sources import collection
 from verdure.sources import fields as field_files
 from verdure.sources import keyed
 from verdure.sources import raster as raster_files
@@ -78,6 +79,21 @@ def fields_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def fields_scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields as FeatureCollection files, cut into pieces and put together by the structural index."""
+    path = scratch_path(spark, "collections")
+    shaped = b.fields(spark, sf_dir)
+    texts = shaped.select("ord", field_files.feature_text(shaped).alias("t"))
+    # at most COLLECTION features meet in a row, and each row is a file
+    lists = texts.groupBy(F.floor(F.col("ord") / b.COLLECTION).alias("part")).agg(F.array_sort(F.collect_list(F.struct("ord", "t"))).alias("l"))
+    whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.col("l.t"), ",\n"), F.lit("]}"))
+    lists.select(F.lpad(F.col("part").cast("string"), 12, "0").alias("part"), whole.alias("value")).write.partitionBy("part").text(path)
+    return collection.read_collection_split(spark, path).select(
+        "ord", "field_id", F.date_format(F.to_date("planting_date"), "yyyy-MM-dd").alias("planting_date"), *box_columns(geometry.bounds(F.col("geom")), 9)
+    )
+
+
 @query
 def fields_feature_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     shaped = b.fields(spark, sf_dir)
