@@ -1,6 +1,7 @@
 """Language, quality, secrets and licences."""
 
 import random
+import time
 import re
 import zlib
 
@@ -410,3 +411,48 @@ def test_indented_sentences_have_any_length():
     assert len(wide) > 2_000
     assert [n for n, *_ in licenses.licences(list(licenses.sentences(wide)))[0]] == ["Apache-2.0"]
     assert [n for n, *_ in licenses.licences(list(licenses.sentences(wide + "\nimport os")))[0]] == ["Apache-2.0"]
+
+
+def test_licence_scan_of_long_columns_is_linear():
+    years = "\n".join(str(1000 + i % 9000) for i in range(100_000))
+    apache = "Licensed under the Apache License,\nVersion 2.0"
+    for text in (f"copyright\n{years}\n", f"Copyright\n{years}\nFoo Inc.\n\n{apache}\n", "\n/*".join(["copyright"] * 2 + [""] * 50_000), f"{apache}\n" * 3000):
+        began = time.monotonic()
+        found = list(licenses.sentences(text))
+        assert time.monotonic() - began < 20
+        assert (apache in text) == ("apache" in " ".join(s.name for s in found))
+
+
+def test_a_column_of_years_is_a_list_of_years():
+    one, many = "Copyright (c) 1999, 2000, 2001 Foo Inc.", "Copyright (c) 1999,\n# 2000,\n#\n# 2001 Foo Inc."
+    columns = ["Copyright (c)\n1999\n2000\n2001\nFoo Inc.", "copyright\n2001\n2002"]
+    for text in (one, many.replace("#\n", ""), *columns):
+        found = list(licenses.sentences(text))
+        assert [f.name for f in found] == ["copyright"] and (found[0].start, found[0].end) == (0, len(text)), text
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_of_lines_equal_brute_force(seed):
+    rng = random.Random(seed)
+    pieces = ["Licensed under the Apache License,", "Version 2.0", "MIT License", "import os", "# Permission is granted", "All rights reserved", "SPDX-License-Identifier: MIT",
+              "This work is released under", "CC BY-SA 4.0", "under the terms of the GNU General Public", "License version 3", "Copyright (c) 2001 Foo", "plain words"]
+    for _ in range(40):
+        part = "\n".join(rng.choices(pieces, k=rng.randint(2, 9)))
+        lines = part.split("\n")
+        starts = [sum(len(x) + 1 for x in lines[:k]) for k in range(len(lines) + 1)]
+        # every run of lines is tried whole, the last start first
+        runs = [None] * len(lines)
+        for i in reversed(range(len(lines))):
+            for j in range(i, len(lines)):
+                stopped = any(runs[i + 1 : j + 1])
+                known = licenses.identify(part[starts[i] : starts[j + 1] - 1])
+                if known and not (stopped and known[0] in licenses._OPEN):
+                    runs[i] = known, j
+        want, i = [], 0
+        while i < len(lines):
+            if runs[i]:
+                want.append((*runs[i][0], starts[i], starts[runs[i][1] + 1] - 1))
+                i = runs[i][1]
+            i += 1
+        got = [(s.name, s.version, s.start, s.end) for s in licenses._from_lines(part, 0)]
+        assert got == want, part

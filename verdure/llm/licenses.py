@@ -117,6 +117,8 @@ _QUOTES = re.compile(f"[{QUOTES}]")
 _TRIGGER = re.compile(TRIGGER)
 #: A year and some text are a copyright line only with one of these.
 _NOTICE = re.compile(r"(?i)licen[cs]e|permission|redistribut|copyright|warrant|liab|public domain|spdx|\(c\)|©")
+#: A line of years and nothing else.
+_YEARS = re.compile(r"\d{4}(?:[-, ]+\d{4})*,?")
 #: Sentences that end in any text.
 _OPEN = {name for name, pattern in SENTENCES if re.search(r"\.\{\d+,\d+\}$", pattern)}
 #: Tells whether a normalised start can still become a known sentence.
@@ -143,13 +145,17 @@ def identify(sentence: str) -> tuple[str, str] | None:
     """The identifier and version of a known sentence."""
     if not _TRIGGER.search(_QUOTES.sub("", sentence)):
         return None
-    plain = normalised(sentence)
+    return _named(normalised(sentence), sentence)
+
+
+def _named(plain: str, sentence: str) -> tuple[str, str] | None:
+    """The identifier and version of a normalised sentence; ``sentence`` is the text it comes from, or a line end for several lines."""
     for name, pattern in _PATTERNS:
         found = pattern.fullmatch(plain)
         if found and name == "copyright" and not _NOTICE.search(plain):
             continue
         # a tag ends with its line
-        if found and not (name == "spdx" and "\n" in sentence.strip()):
+        if found and not (name == "spdx" and "\n" in (sentence.strip() or sentence)):
             version = (found.groupdict().get("v") or "").strip()
             # identifiers keep their case
             at = sentence.lower().find(version) if name == "spdx" else -1
@@ -174,34 +180,70 @@ def _from_lines(part: str, at: int) -> Iterator[Sentence]:
     if not _TRIGGER.search(_QUOTES.sub("", part)):
         return
     lines = part.split("\n")
-    plain = [" ".join(_plain(line).split()) for line in lines]
     starts = [0, *accumulate(len(line) + 1 for line in lines)]
-    # the last line first, since a sentence with an open end stops before the next known one
-    runs: list[tuple[tuple[str, str], int] | None] = [None] * len(lines)
-    for i in reversed(range(len(lines))):
+    units = _units([" ".join(_plain(line).split()) for line in lines])
+    # the last unit first, since a sentence with an open end stops before the next known one
+    runs: list[tuple[tuple[str, str], int] | None] = [None] * len(units)
+    for i in reversed(range(len(units))):
         begun, stopped = "", False
-        for j in range(i, len(lines)):
-            if not plain[j]:
+        for j in range(i, len(units)):
+            if not units[j].plain:
                 # signs alone neither start a sentence nor go on with one
                 if j == i:
                     break
                 continue
-            begun = f"{begun} {plain[j]}".lstrip(" .!")
+            begun = f"{begun} {units[j].plain}".lstrip(" .!")
             stopped = stopped or (j > i and runs[j] is not None)
-            known = identify(part[starts[i] : starts[j + 1] - 1])
+            if j == i and units[i].first == units[i].last:
+                known = identify(lines[units[i].first])
+            else:
+                known = _named(begun.strip(" .!"), "\n") if _TRIGGER.search(begun) else None
             if known and not (stopped and known[0] in _OPEN):
                 runs[i] = known, j
             if not _BEGINNING.fullmatch(begun + " ", partial=True):
                 break
     i = 0
-    while i < len(lines):
+    while i < len(units):
         if runs[i]:
             known, j = runs[i]
-            yield Sentence(*known, at + starts[i], at + starts[j + 1] - 1)
+            yield Sentence(*known, at + starts[units[i].first], at + starts[units[j].last + 1] - 1)
             i = j
         i += 1
 
 
+@dataclass
+class Unit:
+    """Lines that matching takes in one step, and their normalised text."""
+
+    first: int
+    last: int
+    plain: str
+
+
+def _units(plain: list[str]) -> list[Unit]:
+    """Lines as units: a column of years is one, read as its first and last line, and so are lines of signs in a row.
+
+    Known sentences have a bounded length but for their lists of years, so a walk over units ends after a bounded number
+    of them, and a column of years is entered at its top only.
+    """
+    units: list[Unit] = []
+    column = False
+    for k, text in enumerate(plain):
+        years = bool(_YEARS.fullmatch(text))
+        if years and column:
+            # signs between the years belong to the column
+            if not units[-1].plain:
+                units.pop()
+            head = units[-1].plain.split(" ", 1)[0]
+            units[-1] = Unit(units[-1].first, k, f"{head} {text.rsplit(' ', 1)[-1]}")
+        elif not text and units and not units[-1].plain:
+            units[-1].last = k
+        else:
+            units.append(Unit(k, k, text))
+            column = years or (column and not text)
+    return units
+
+
 def _version(name: str, version: str) -> str:
     if name == "cc-attribution":
         return version.replace("noncommercial", "NC").replace("sharealike", "SA").replace("noderivatives", "ND").replace(" ", "-")
