@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from verdure.operators import aoi, clustering, neighbors
 from verdure.operators.components import connected_components
-from verdure.operators.ranking import exact_quantile, global_rank
+from verdure.operators.ranking import exact_quantile, global_rank, order_key
 from verdure.operators.skew import measured_salts, salted_lookup
 
 
@@ -144,6 +144,29 @@ def test_exact_quantile_equals_numpy(spark, n):
         assert exact_quantile(df, "v", q).first()[0] == pytest.approx(np.quantile(values, q), abs=1e-12)
 
 
+@pytest.mark.parametrize("q", [0.0, 0.37, 0.9, 1.0])
+def test_quantiles_of_odd_numbers(spark, q):
+    tiny, huge = 5e-324, 1.7e308
+    some = [0.0, -0.0, tiny, 3 * tiny, 2.2e-308, 1e-300, 0.1, 0.5, 1.0, np.nextafter(1, 0), np.nextafter(1, 2), 2.0, 3.0, 8.0, 1e16, huge / 2, -1.0, -8.0, -tiny, -1e200] * 3
+    df = spark.createDataFrame([(float(v),) for v in some] + [(None,)], "v double")
+    want = np.sort(some)
+    at = (len(some) - 1) * q
+    lo, hi = want[int(at)], want[min(int(at) + 1, len(some) - 1)]
+    assert exact_quantile(df, "v", q).first()[0] == lo + (hi - lo) * (at - int(at))
+
+
+def test_order_keys_follow_the_numbers(spark):
+    rng = np.random.default_rng(3)
+    values = np.unique(np.concatenate([rng.normal(size=500) * 10.0 ** rng.integers(-320, 300, 500), 2.0 ** np.arange(-1074, 1023, 7), np.nextafter(2.0 ** np.arange(-60, 60), 0)]))
+    rows = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", order_key(F.col("v")).alias("k")).orderBy("v").collect()
+    assert all(a["k"] < b["k"] for a, b in zip(rows, rows[1:], strict=False))
+
+
+def test_quantile_needs_no_range_shuffle(spark):
+    plan = exact_quantile(spark.range(1000).select(F.col("id").cast("double").alias("v")), "v", 0.9)._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan and "Sort" not in plan
+
+
 def test_quantile_of_nothing_and_rank(spark):
     assert exact_quantile(spark.createDataFrame([], "v double"), "v", 0.9).first()[0] is None
     ranked = global_rank(spark.range(100).select((F.col("id") * 7 % 101).alias("k")), ["k"], "n")

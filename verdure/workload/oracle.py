@@ -579,6 +579,14 @@ FROM (SELECT * REPLACE (CASE WHEN b04_asset = 'red' THEN 'nir' ELSE b04_asset EN
   CASE WHEN b04_asset = 'red' THEN 'red' ELSE b08_asset END AS b08_asset) FROM v_scenes)
 """,
 )
+define(
+    "scenes_search",
+    f"""
+SELECT item_id, {STAMP.format('dt')}, cloud_cover, round(xmin, 9) AS xmin, round(ymin, 9) AS ymin, round(xmax, 9) AS xmax, round(ymax, 9) AS ymax
+FROM v_scenes WHERE xmin <= 5.85::DOUBLE AND xmax >= 5.25::DOUBLE AND ymin <= 50.35::DOUBLE AND ymax >= 50.05::DOUBLE
+  AND dt >= TIMESTAMP '2024-01-05' AND dt < TIMESTAMP '2024-01-10' AND cloud_cover < 30
+""",
+)
 define("scene_candidates", f"SELECT aoi_id, item_id, {DATE} FROM v_candidates")
 define("best_scene", f"SELECT aoi_id, {DATE}, item_id, {STAMP.format('dt')}, cloud_cover FROM v_best")
 define(

@@ -13,7 +13,7 @@ from verdure.functions.assets import NIR_ASSETS, RED_ASSETS, find_asset, pick_ep
 from verdure.operators import aoi, dissolve, incremental, mask, ndvi, neighbors, selection
 from verdure.plans import daily
 from verdure.session import materialize, scratch_path
-from verdure.sources import collection
+from verdure.sources import catalog, collection
 from verdure.sources import fields as field_files
 from verdure.sources import keyed
 from verdure.sources import raster as raster_files
@@ -262,6 +262,15 @@ def aoi_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Stage(spark, sf_dir).pairs().select("aoi_id", day())
 
 
+@query
+def scenes_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scenes of a box and a few days, from the files of the laid-out catalog that can hold them."""
+    path = scratch_path(spark, "catalog")
+    catalog.write_catalog(b.scenes(spark, sf_dir), path, b.CATALOG_FILE)
+    found = catalog.search(spark, path, b.SEARCH_BOX, *b.SEARCH_DAYS)
+    return found.select("item_id", moment("dt"), "cloud_cover", *(rounded(c, 9) for c in ("xmin", "ymin", "xmax", "ymax")))
+
+
 @query
 def scenes_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "items")
