@@ -20,7 +20,7 @@ MASK_DAY = dt.date(2024, 1, 15)
 COLLECTION = "sentinel-2-l2a"
 CATALOG = "https://catalog.example/v1"
 GRID_X0, GRID_Y0, GRID_RES, GRID_SIZE = 4.5, 52.0, 0.02, 128
-COLLECTION = 1_000  # most features of a written FeatureCollection file
+FEATURES_PER_FILE = 1_000  # most features of a written FeatureCollection file
 CATALOG_FILE = 500  # scenes per catalog file
 SEARCH_BOX, SEARCH_DAYS = (5.25, 50.05, 5.85, 50.35), (dt.date(2024, 1, 5), dt.date(2024, 1, 9))
 COARSE = 32  # fine cells per side of a coarse cell

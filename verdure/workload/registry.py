@@ -85,8 +85,8 @@ def fields_scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "collections")
     shaped = b.fields(spark, sf_dir)
     texts = shaped.select("ord", field_files.feature_text(shaped).alias("t"))
-    # at most COLLECTION features meet in a row, and each row is a file
-    lists = texts.groupBy(F.floor(F.col("ord") / b.COLLECTION).alias("part")).agg(F.array_sort(F.collect_list(F.struct("ord", "t"))).alias("l"))
+    # at most FEATURES_PER_FILE features meet in a row, and each row is a file
+    lists = texts.groupBy(F.floor(F.col("ord") / b.FEATURES_PER_FILE).alias("part")).agg(F.array_sort(F.collect_list(F.struct("ord", "t"))).alias("l"))
     whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.col("l.t"), ",\n"), F.lit("]}"))
     lists.select(F.lpad(F.col("part").cast("string"), 12, "0").alias("part"), whole.alias("value")).write.partitionBy("part").text(path)
     return collection.read_collection_split(spark, path).select(
