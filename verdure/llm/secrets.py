@@ -1,13 +1,14 @@
 """Secret scans over a ledger of content-addressed blobs.
 
 A text is a blob, named by its SHA-256; paths (documents, or versions of them) only point at blobs. The ledger keeps
-which (blob, rule, rule version) triples were scanned and what was found, so a run scans each new content once per rule
-whose version it has not met, however many paths carry it, and joins the findings back to all paths. Everything is
-DataFrame expressions.
-
-A cheap test per row (does any rule match at all) keeps clean text out of every shuffle; only blobs that pass it are
-gathered, one copy each, and located. Positions come from the lengths of the pieces between matches, summed in order,
-and count code points; ends are exclusive. Null text is empty. Rows that repeat are reported each.
+which (blob, rule, rule version) triples were scanned and what was found. A run names the blobs of its rows, asks the
+ledger which of their rules are due, and only then matches: one row of each blob, and only against rules whose version
+the blob has not met. Rows of blobs that the ledger knows are never matched, however many paths carry them; findings are
+joined back to all paths. Everything is DataFrame expressions.
+
+Texts meet the due blobs on blob and document id, so copies of one text do not gather in a task; clean texts go no
+further. Positions come from the lengths of the pieces between matches, summed in order, and count code points; ends are
+exclusive. Null text is empty. Rows that repeat are reported each.
 """
 
 from __future__ import annotations
@@ -88,8 +89,9 @@ def suspicious(rules: tuple[Rule, ...] = RULES, text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string").rlike("|".join(f"(?:{r.pattern})" for r in rules)), F.lit(False))
 
 
-def _version_table(rules: tuple[Rule, ...]) -> Column:
-    return F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
+def _current(rules: tuple[Rule, ...]) -> Column:
+    """Whether a row (kind, version) belongs to one of ``rules``."""
+    return F.struct("kind", "version").isin([F.struct(F.lit(r.kind), F.lit(r.version)) for r in rules])
 
 
 def _lengths(found: Column) -> Column:
@@ -128,46 +130,51 @@ def locate(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     )
 
 
-def record(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Bring the ledger up to date with all texts of ``docs``; returns the staged rows (doc_id, blob, text or null).
+def due_blobs(paths: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, least, kinds): blobs of ``paths`` (doc_id, blob) with the rules they have not met and their smallest document id."""
+    known = ledger.seen().where(_current(rules)).groupBy("blob").agg(F.collect_set("kind").alias("met"))
+    blobs = paths.groupBy("blob").agg(F.min("doc_id").alias("least"))
+    every = F.array(*[F.lit(r.kind) for r in rules])
+    kinds = F.array_except(every, F.coalesce("met", F.array().cast("array<string>")))
+    return blobs.join(known, "blob", "left").select("blob", "least", kinds.alias("kinds")).where(F.size("kinds") > 0)
 
-    ``text`` is kept for suspicious rows only.
-    """
-    staged = materialize(
-        docs.select(
-            F.col("doc_id").cast("long"),
-            blob_of().alias("blob"),
-            F.when(suspicious(rules), F.col("text").cast("string")).alias("text"),
-        ),
-        "secret-paths",
+
+def due_texts(docs: DataFrame, due: DataFrame) -> DataFrame:
+    """(blob, kinds, text) of the rows of ``docs`` that stand for their due blob; more than one only where rows repeat."""
+    texts = docs.select(F.col("doc_id").cast("long"), blob_of().alias("blob"), F.col("text").cast("string"))
+    here = (F.col("t.blob") == F.col("d.blob")) & F.col("t.doc_id").eqNullSafe(F.col("d.least"))
+    return texts.alias("t").join(due.alias("d"), here).select("d.blob", "kinds", "text")
+
+
+def record(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Bring the ledger up to date with all texts of ``docs``; returns their paths (doc_id, blob)."""
+    paths = materialize(docs.select(F.col("doc_id").cast("long"), blob_of().alias("blob")), "secret-paths")
+    due = materialize(due_blobs(paths, ledger, rules), "secret-due")
+    # one search for all rules passes over clean texts
+    dirty = due_texts(docs, due).where(suspicious(rules)).groupBy("blob").agg(F.first("kinds").alias("kinds"), F.first("text").alias("text"))
+    version = _per_rule(rules, lambda r: F.lit(r.version))
+    hits = dirty.select("blob", "text", F.explode("kinds").alias("kind")).where(_per_rule(rules, lambda r: F.col("text").rlike(r.pattern)))
+    ledger.add(
+        locate(hits.withColumn("version", version), rules),
+        due.select("blob", F.explode("kinds").alias("kind")).withColumn("version", version),
     )
-    seen = ledger.seen()
-    current = F.explode(_version_table(rules)).alias("rule")
-    blobs = staged.groupBy("blob").agg(F.first("text").alias("text"))
-    wanted = blobs.select("blob", "text", current).select("blob", "text", "rule.*")
-    unseen = materialize(wanted.join(seen, ["blob", "kind", "version"], "left_anti"), "secret-blobs")
-    found = locate(unseen.where("text is not null").where(_per_rule(rules, lambda r: F.col("text").rlike(r.pattern))), rules)
-    ledger.add(found, unseen.select("blob", "kind", "version"))
-    return staged
+    return paths
 
 
 def spans_by_blob(ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(blob, spans) under the current rule versions; spans sorted by start, then by rule."""
     number = _per_rule(rules, lambda r: F.lit(rules.index(r)))
-    current = " or ".join(f"(kind = '{r.kind}' and version = {r.version})" for r in rules)
     span = F.struct("start", number.alias("rule_no"), "end", "kind")
-    return ledger.findings().where(current).groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("spans"))
+    return ledger.findings().where(_current(rules)).groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
 def scan(docs: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(doc_id, blob, spans) for every row of ``docs`` (doc_id, text); spans are empty where nothing was found."""
     ledger = ledger or Ledger(docs.sparkSession, new_folder(docs.sparkSession, "secret-ledger"))
-    staged = record(docs, ledger, rules)
-    found = spans_by_blob(ledger, rules)
+    paths = record(docs, ledger, rules)
+    found = materialize(spans_by_blob(ledger, rules).join(paths.select("blob").distinct(), "blob", "left_semi"), "secret-spans")
     none = F.array().cast(found.schema["spans"].dataType)
-    clean = staged.where("text is null").select("doc_id", "blob", none.alias("spans"))
-    dirty = staged.where("text is not null").select("doc_id", "blob").join(found, "blob", "left")
-    return clean.unionByName(dirty.select("doc_id", "blob", F.coalesce("spans", none).alias("spans")))
+    return paths.join(found, "blob", "left").select("doc_id", "blob", F.coalesce("spans", none).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -205,20 +212,15 @@ def redacted_text(text: Column, spans: Column, mark: str) -> Column:
 def redact(docs: DataFrame, mark: str = "[secret]", ledger: Ledger | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mark`` and ``n_chars``, where there is one, counted anew.
 
-    Rows without findings pass through as they are, without a shuffle; columns and their order stay.
+    Rows meet their findings by blob, no text is matched for it; columns and their order stay.
     """
     ledger = ledger or Ledger(docs.sparkSession, new_folder(docs.sparkSession, "secret-ledger"))
-    staged = record(docs, ledger, rules)
-    texts = staged.where("text is not null").groupBy("blob").agg(F.first("text").alias("old"))
-    name, new = fresh(docs.columns, "blob"), fresh(docs.columns, "redacted")
-    clean = materialize(
-        texts.join(spans_by_blob(ledger, rules), "blob").select(
-            F.col("blob").alias(name), redacted_text(F.col("old"), F.col("spans"), mark).alias(new)
-        ),
-        "secret-redacted",
-    )
-    kept = docs.where(~suspicious(rules))
-    changed = docs.where(suspicious(rules)).withColumn(name, blob_of()).join(clean, name, "left")
+    paths = record(docs, ledger, rules)
+    blob, spans, new = fresh(docs.columns, "blob"), fresh(docs.columns, "spans"), fresh(docs.columns, "redacted")
+    found = spans_by_blob(ledger, rules).join(paths.select("blob").distinct(), "blob", "left_semi")
+    found = materialize(found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)), "secret-spans")
+    met = docs.withColumn(blob, blob_of()).join(found, blob, "left")
+    met = met.withColumn(new, F.when(F.col(spans).isNotNull(), redacted_text(F.col("text").cast("string"), F.col(spans), mark)))
     columns = []
     for c, reference in zip(docs.columns, quoted(docs.columns), strict=True):
         if c == "text":
@@ -228,4 +230,4 @@ def redact(docs: DataFrame, mark: str = "[secret]", ledger: Ledger | None = None
             columns.append(counted.cast(docs.schema[c].dataType).alias(c))
         else:
             columns.append(F.col(reference))
-    return kept.unionByName(changed.select(*columns))
+    return met.select(*columns)
