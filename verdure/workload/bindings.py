@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verdure.operators import aoi
@@ -184,6 +184,29 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OBSERVATION = ["obs_order", "obs_line", "obs_copy"]
 
+#: Other grids of the same place: cells of twice the size, and cells that share no edge with the fine ones.
+HALF_GRID = (GRID_X0, GRID_Y0, 2 * GRID_RES, 2 * GRID_RES, GRID_SIZE // 2, GRID_SIZE // 2)
+UNEVEN_GRID = (4.513, 51.991, 0.05, 0.03, 50, 80)
+FINE_GRID = (GRID_X0, GRID_Y0, GRID_RES, GRID_RES, GRID_SIZE, GRID_SIZE)
+
+
+def grid_struct(grid: tuple[float, float, float, float, int, int]) -> Column:
+    names = ("x0", "y0", "xres", "yres", "width", "height")
+    return F.struct(*[F.lit(v).alias(n) for n, v in zip(names, grid, strict=True)])
+
+
+def brightest(spark: SparkSession, sf_dir: str, band: str, size: int = 1) -> DataFrame:
+    """Strips with the highest raw value of a band per cell, ``size`` fine cells a side."""
+    cell = {"row": F.floor(F.col("row") / size), "col": F.floor(F.col("col") / size)}
+    kept = pixels(spark, sf_dir).where(F.col("band") == band).withColumns(cell)
+    return to_strips(kept.groupBy("item_id", "band", "row", "col").agg(F.max("raw").alias("raw")), GRID_SIZE)
+
+
+def moved_from(strips: DataFrame, source: tuple, target: tuple) -> DataFrame:
+    """Every raster band of ``strips`` with the grid it is on and the grid it goes to."""
+    grids_of = (grid_struct(source).alias("source"), grid_struct(target).alias("target"))
+    return strips.select("item_id", "band").distinct().select("item_id", "band", *grids_of)
+
 
 def values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pixels with the constants of their rescaling."""

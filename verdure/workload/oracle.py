@@ -780,6 +780,59 @@ define(
     "ndvi_strip_widths",
     f"SELECT strips, {RECORD} FROM v_records, unnest(['300', '512', '1024', '100 from 37']) w(strips)",
 )
+# the brightest value of each cell, near infrared by blocks of two cells a side
+step(
+    "x_red",
+    """
+SELECT item_id, row, col, max(red_raw) AS raw FROM v_pixels GROUP BY item_id, row, col
+""",
+)
+step(
+    "x_nir",
+    """
+SELECT item_id, row // 2 AS row, col // 2 AS col, max(nir_raw) AS raw FROM v_pixels GROUP BY item_id, row // 2, col // 2
+""",
+)
+step(
+    "x_ndvi",
+    """
+SELECT r.item_id, r.row, r.col, CASE WHEN n.raw + r.raw <> 0 THEN (n.raw * 0.0001::DOUBLE - r.raw * 0.0001::DOUBLE)
+  / (n.raw * 0.0001::DOUBLE + r.raw * 0.0001::DOUBLE) END AS ndvi
+FROM x_red r JOIN x_nir n ON n.item_id = r.item_id AND n.row = r.row // 2 AND n.col = r.col // 2
+""",
+)
+step("x_records", re.sub(r"\bv_ndvi\b", "x_ndvi", RECORDS))
+define("ndvi_mixed_resolution", f"SELECT {RECORD} FROM x_records")
+# lengths that cells of the two grids share along either axis, in degrees
+step(
+    "x_across",
+    """
+SELECT * FROM (SELECT t.c, f.i, least(4.513::DOUBLE + (t.c + 1) * 0.05::DOUBLE, 4.5::DOUBLE + (f.i + 1) * 0.02::DOUBLE)
+  - greatest(4.513::DOUBLE + t.c * 0.05::DOUBLE, 4.5::DOUBLE + f.i * 0.02::DOUBLE) AS w FROM range(50) t(c), range(128) f(i)) WHERE w > 1e-10
+""",
+)
+step(
+    "x_down",
+    """
+SELECT * FROM (SELECT t.c, f.i, least(t.c * 0.03::DOUBLE + 0.039::DOUBLE, (f.i + 1) * 0.02::DOUBLE)
+  - greatest(t.c * 0.03::DOUBLE + 0.009::DOUBLE, f.i * 0.02::DOUBLE) AS w FROM range(80) t(c), range(128) f(i)) WHERE w > 1e-10
+""",
+)
+step(
+    "x_fine",
+    """
+SELECT item_id, row, col, max(nir_raw) AS raw FROM v_pixels GROUP BY item_id, row, col HAVING max(nir_raw) IS NOT NULL
+""",
+)
+define(
+    "raster_resample_mean",
+    """
+SELECT 'half' AS grid, item_id, row // 2 AS row, col // 2 AS col, round(avg(raw), 6) AS value FROM x_fine GROUP BY ALL
+UNION ALL
+SELECT 'uneven', p.item_id, y.c, x.c, round(sum(p.raw * x.w * y.w) / sum(x.w * y.w), 6)
+FROM x_fine p JOIN x_across x ON x.i = p.col JOIN x_down y ON y.i = p.row GROUP BY p.item_id, y.c, x.c
+""",
+)
 define("ndvi_sink_roundtrip", f"SELECT {RECORD} FROM v_records")
 define(
     "stage_manifest",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from verdure.functions import geometry, keys, projection, raster
 from verdure.functions.assets import NIR_ASSETS, RED_ASSETS, find_asset, pick_epsg
-from verdure.operators import aoi, dissolve, incremental, mask, ndvi, neighbors, selection
+from verdure.operators import aoi, dissolve, incremental, mask, ndvi, neighbors, resample, selection
 from verdure.plans import daily
 from verdure.session import materialize, scratch_path
 from verdure.sources import catalog, collection
@@ -641,6 +641,27 @@ def ndvi_strip_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
+@query
+def ndvi_mixed_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily index of scenes whose near-infrared band has cells of twice the size."""
+    red = b.brightest(spark, sf_dir, "red")
+    nir = materialize(b.brightest(spark, sf_dir, "nir", 2), "coarse-band")
+    fine = resample.nearest(nir, b.moved_from(nir, b.HALF_GRID, b.FINE_GRID))
+    return _records(spark, sf_dir, red.unionByName(fine)).select(*_record_columns())
+
+
+@query
+def raster_resample_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area means of a band on a grid of half the resolution and on one whose cells cut those of the band."""
+    strips = materialize(b.brightest(spark, sf_dir, "nir"), "fine-band")
+    out = []
+    for name, grid in (("half", b.HALF_GRID), ("uneven", b.UNEVEN_GRID)):
+        moved = resample.area_mean(strips, b.moved_from(strips, b.FINE_GRID, grid), nodata=-9999.0)
+        cells = raster_files.scan_pixels(moved, ["nir"]).where("raw is not null")
+        out.append(cells.select(F.lit(name).alias("grid"), "item_id", "row", "col", F.round("raw", 6).alias("value")))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query
 def ndvi_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "series")
