@@ -277,6 +277,17 @@ def test_known_blobs_are_matched_no_more(spark, make_docs, tmp_path):
     assert secrets.scan(moved, ledger).count() == len(texts) and ledger.seen().count() == seen
 
 
+def test_no_rule_touches_a_known_blob(spark, make_docs, tmp_path):
+    # the matcher runs out of stack on this text, so a run that matches it cannot end
+    endless, rules = "a" * 1_000_000, (secrets.Rule("assign", 1, r"(?:a|b)*c|token=[a-z]+", base=True),)
+    ledger = secrets.Ledger(spark, f"file://{tmp_path}/ledger")
+    known = make_docs([(1, endless)]).select(secrets.blob_of().alias("blob"), F.lit("assign").alias("kind"), F.lit(1).alias("version"))
+    ledger.add(spark.createDataFrame([], secrets._FINDINGS), known)
+    docs = make_docs([(1, endless), (2, "token=abc"), (3, endless)])
+    assert {r.doc_id: len(r.spans) for r in secrets.scan(docs, ledger, rules).collect()} == {1: 0, 2: 1, 3: 0}
+    assert {r.doc_id: r.text for r in secrets.redact(docs, "*", ledger, rules).collect()} == {1: endless, 2: "*", 3: endless}
+
+
 def test_redaction(make_docs, odd_texts):
     texts = secret_texts(2) + odd_texts
     rows = [(i, t, "en", "s", None if i % 7 == 0 else len(t or "")) for i, t in enumerate(texts)] + [(3, texts[3], "en", "s", 1)]
