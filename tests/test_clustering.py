@@ -69,6 +69,64 @@ def test_nearest_distance_splits_full_cells(spark, monkeypatch):
     test_nearest_distance_equals_brute_force(spark, "hot")
 
 
+def crowd_and_loners(crowd):
+    """A crowd within 100 m, points at its rim, and far ones that see it across empty land."""
+    gen = np.random.default_rng(crowd)
+    rim = [(-30.0, 50.0), (50.0, -400.0), (130.0, 130.0)]
+    far = [(90_000.0, 50.0), (-70_000.0, -65_000.0), (50.0, 120_000.0), (300_000.0, 299_000.0)]
+    return np.vstack([gen.uniform(0, 100, (crowd, 2)).round(3), rim, far])
+
+
+@pytest.mark.parametrize("crowd", [400, 1600, 6400])
+def test_far_points_read_few_of_a_crowd(spark, crowd):
+    """The sites that a probe reads on its way do not grow with the crowd that it looks at."""
+    pts = crowd_and_loners(crowd)
+    loners = pts[crowd:]
+    want = [np.sort(np.hypot(*(pts - p).T))[1] for p in loners]
+    sites = table(spark, pts).select("x", "y", F.lit(1).alias("copies"))
+    width, height = np.ptp(pts, axis=0)
+    settled, _, levels = neighbors._start_levels(sites, len(pts), width, height)
+    settled = settled.cache()
+    rungs = neighbors._rungs(levels, max(width, height))
+    probes = spark.createDataFrame([(*map(float, p), None) for p in loners], "x double, y double, nn_dist double")
+    got = neighbors.nearest_in_tree(probes, settled, neighbors.cell_tree(settled, rungs), rungs).collect()
+    settled.unpersist()
+    found = {(r["x"], r["y"]): r for r in got}
+    assert [found[tuple(p)]["nn_dist"] for p in loners] == pytest.approx(want, abs=1e-9)
+    assert max(r["read"] for r in got) <= 6 * neighbors.LEAF_SITES
+
+
+def test_no_probe_meets_a_crowded_cell(spark, monkeypatch):
+    """Rows out of the search of blocks: crowded cells answer with one box, whatever is in them."""
+    pts = crowd_and_loners(3000)
+    d = np.array([np.sort(np.hypot(*(pts - p).T))[1] for p in pts])
+    got = dict(neighbors.nearest_distance(table(spark, pts)).collect())
+    assert [got[i] for i in range(len(pts))] == pytest.approx(list(d), abs=1e-9)
+    monkeypatch.setattr(neighbors, "LEAF_SITES", 3)
+    some = np.vstack([pts[:200], pts[3000:]])
+    want = [np.sort(np.hypot(*(some - p).T))[1] for p in some]
+    got = dict(neighbors.nearest_distance(table(spark, some)).collect())
+    assert [got[i] for i in range(len(some))] == pytest.approx(want, abs=1e-9)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_tree_agrees_from_any_probe(spark, seed):
+    """Every site looked up in the tree alone, over negative and positive coordinates and several scales."""
+    gen = np.random.default_rng(seed)
+    scales = 10.0 ** gen.uniform(-1, 5, 250)
+    pts = np.unique((gen.normal(0, 1, (250, 2)) * scales[:, None]).round(3), axis=0)
+    sites = table(spark, pts).select("x", "y", F.lit(1).alias("copies"))
+    width, height = np.ptp(pts, axis=0)
+    settled, _, levels = neighbors._start_levels(sites, len(pts), width, height)
+    rungs = neighbors._rungs(levels, max(width, height))
+    probes = sites.select("x", "y", F.lit(None).cast("double").alias("nn_dist"))
+    got = neighbors.nearest_in_tree(probes, settled, neighbors.cell_tree(settled, rungs), rungs)
+    found = {(r["x"], r["y"]): r["nn_dist"] for r in got.collect()}
+    want = {tuple(p): np.sort(np.hypot(*(pts - p).T))[1] for p in pts}
+    assert found.keys() == want.keys()
+    assert all(found[p] == pytest.approx(want[p], abs=1e-9) for p in want)
+
+
 def test_one_point_and_no_points(spark):
     lone = table(spark, np.array([[1.0, 2.0]]))
     assert neighbors.nearest_distance(lone).collect() == [(0, None)]
