@@ -16,6 +16,7 @@ from verdure.session import materialize
 
 LEAF_SITES = 32  # a start cell holding more distinct positions than this is split
 FINEST_LEVEL = -10  # cell side 2**-10 m, below the millimetre grid of the inputs
+SMALL_RUNGS = 2  # rungs below the root with at most 4 * 64**(SMALL_RUNGS - 1) = 256 cells in all, which fit any task
 STEP = 3  # levels between a cell and the next finer one that is tried
 
 
@@ -226,19 +227,22 @@ def nearest_in_tree(probes: DataFrame, settled: DataFrame, tree: DataFrame, rung
     chains of joins with the rows of one rung, and a bound gets tighter on the way without meeting other rows.
     """
     px, py = F.col("px"), F.col("py")
+    root = [F.lit(rungs[0] + 1).alias("level"), *[F.lit(0).cast("long").alias(c) for c in ("cx", "cy")]]
     at_root = probes.select(
         F.col("x").alias("px"),
         F.col("y").alias("py"),
         F.col("nn_dist").alias("bound"),
-        F.lit(rungs[0] + 1).alias("level"),
-        F.lit(0).cast("long").alias("cx"),
-        F.lit(0).cast("long").alias("cy"),
+        F.lit(0).cast("long").alias("read"),
+        *root,
     )
 
     def down(rows: DataFrame, chosen) -> DataFrame:
-        for level in [rungs[0] + 1, *rungs[:-1]]:
+        for depth, level in enumerate([rungs[0] + 1, *rungs[:-1]]):
             rung = tree.where(F.col("level") == level)
-            met = salted_lookup(rows, rung, NODE, "left", by=["px", "py"])
+            if depth <= SMALL_RUNGS:
+                met = rows.join(F.broadcast(rung), NODE, "left")
+            else:
+                met = salted_lookup(rows, rung, NODE, "left", by=["px", "py"])
             seen = F.transform(
                 "kids",
                 lambda k: F.struct(
@@ -255,7 +259,7 @@ def nearest_in_tree(probes: DataFrame, settled: DataFrame, tree: DataFrame, rung
 
     def nearest_box(met: DataFrame) -> DataFrame:
         best = F.array_min("seen")
-        return met.select("px", "py", "bound", *[F.coalesce(best[c], F.col(c)).alias(c) for c in NODE])
+        return met.select("px", "py", "bound", "read", *[F.coalesce(best[c], F.col(c)).alias(c) for c in NODE])
 
     def within_bound(met: DataFrame) -> DataFrame:
         sure = F.array_min(F.transform("seen", lambda k: F.when(k["near"] > 0, k["sure"])))
@@ -265,7 +269,7 @@ def nearest_in_tree(probes: DataFrame, settled: DataFrame, tree: DataFrame, rung
         )
         stays = F.array(F.struct(*NODE))
         return met.withColumn("to", F.explode(F.coalesce(kept, stays))).select(
-            "px", "py", "bound", *[F.col("to")[c].alias(c) for c in NODE]
+            "px", "py", "bound", "read", *[F.col("to")[c].alias(c) for c in NODE]
         )
 
     other = (F.col("x") != px) | (F.col("y") != py)
@@ -274,19 +278,13 @@ def nearest_in_tree(probes: DataFrame, settled: DataFrame, tree: DataFrame, rung
     def among_sites(rows: DataFrame) -> DataFrame:
         met = salted_lookup(rows, settled.select("x", "y", *NODE), NODE, by=["px", "py"])
         return met.groupBy("px", "py").agg(
-            apart.alias("found"), F.min("bound").alias("bound"), F.count(F.lit(1)).alias("read")
+            apart.alias("found"), F.min("bound").alias("bound"), (F.first("read") + F.count(F.lit(1))).alias("read")
         )
 
-    first = materialize(among_sites(down(at_root, nearest_box)), "bounds")
-    bounded = at_root.drop("bound").join(
-        first.select("px", "py", F.least("found", "bound").alias("bound"), F.col("read").alias("before")), ["px", "py"]
-    )
-    second = among_sites(down(bounded.drop("before"), within_bound))
-    return materialize(
-        second.join(bounded.select("px", "py", "before"), ["px", "py"]).select(
-            F.col("px").alias("x"), F.col("py").alias("y"), F.col("found").alias("nn_dist"), (F.col("read") + F.col("before")).alias("read")
-        ),
-        "tree-searched",
+    first = among_sites(down(at_root, nearest_box))
+    bounded = first.select("px", "py", F.least("found", "bound").alias("bound"), "read", *root)
+    return among_sites(down(bounded, within_bound)).select(
+        F.col("px").alias("x"), F.col("py").alias("y"), F.col("found").alias("nn_dist"), "read"
     )
 
 
