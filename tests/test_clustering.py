@@ -127,6 +127,18 @@ def test_tree_agrees_from_any_probe(spark, seed):
     assert all(found[p] == pytest.approx(want[p], abs=1e-9) for p in want)
 
 
+def test_few_points_need_the_tree(spark, monkeypatch):
+    """Most are final after the search of their block; only loners and those near a crowded cell go on."""
+    asked = []
+    inner = neighbors.nearest_in_tree
+    monkeypatch.setattr(neighbors, "nearest_in_tree", lambda probes, *rest: asked.append(probes.count()) or inner(probes, *rest))
+    rng = np.random.default_rng(5)
+    pts = np.vstack([rng.uniform(0, 1e5, (1000, 2)), [[5e5, 5e5]]])
+    plan = neighbors.nearest_distance(table(spark, pts))._jdf.queryExecution().executedPlan().toString()
+    assert sum(asked) <= len(pts) // 10
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
 def test_one_point_and_no_points(spark):
     lone = table(spark, np.array([[1.0, 2.0]]))
     assert neighbors.nearest_distance(lone).collect() == [(0, None)]

@@ -95,7 +95,8 @@ def nearest_distance(points: DataFrame) -> DataFrame:
         settled, crowded, levels = _start_levels(sites, n, x1 - x0, y1 - y0)
         settled = materialize(settled, "settled")
         searched = materialize(_search_block(settled.where("copies = 1"), settled, crowded, levels), "searched")
-        final = F.coalesce((F.col("nn_dist") <= F.col("reach")) & ~(F.col("box_dist") < F.col("nn_dist")), F.lit(False))
+        blocked = F.coalesce(F.col("box_dist") < F.col("nn_dist"), F.lit(False))
+        final = F.coalesce(F.col("nn_dist") <= F.col("reach"), F.lit(False)) & ~blocked
         rest = searched.where(~final).select("x", "y", "nn_dist")
         done = [
             sites.where("copies > 1").select("x", "y", F.lit(0.0).alias("nn_dist")),
@@ -141,7 +142,9 @@ def _search_block(probes: DataFrame, settled: DataFrame, crowded: DataFrame | No
     px, py = F.col("px"), F.col("py")
     other = (F.col("x") != px) | (F.col("y") != py)
     apart = distance(F.col("x"), F.col("y"), px, py)
-    boxed = F.min(_to_box(px, py, F.col)) if crowded is not None else F.lit(None).cast("double")
+    boxed = F.lit(None).cast("double")
+    if crowded is not None:
+        boxed = F.min(F.when(F.col("xmin").isNotNull(), _to_box(px, py, F.col)))
     return (
         looks.join(targets, ["level", "cx", "cy"])
         .groupBy("px", "py")
@@ -239,7 +242,9 @@ def nearest_in_tree(probes: DataFrame, settled: DataFrame, tree: DataFrame, rung
     def down(rows: DataFrame, chosen) -> DataFrame:
         for depth, level in enumerate([rungs[0] + 1, *rungs[:-1]]):
             rung = tree.where(F.col("level") == level)
-            if depth <= SMALL_RUNGS:
+            if depth == 0:
+                met = rows.withColumn("kids", rung.select("kids").scalar())
+            elif depth <= SMALL_RUNGS:
                 met = rows.join(F.broadcast(rung), NODE, "left")
             else:
                 met = salted_lookup(rows, rung, NODE, "left", by=["px", "py"])
