@@ -117,6 +117,22 @@ def test_compared_pairs_grow_with_a_group_not_with_its_square(make_docs, monkeyp
     assert compared[1600] <= 5 * compared[400] and compared[800] <= 2.5 * compared[400]
 
 
+def test_last_leaders_with_few_pairs_are_not_followed_by_more(make_docs, monkeypatch):
+    """The rounds that are left out change no component."""
+    rounds, rows = {}, one_group(400, 5)
+    for few in (0, jaccard.FEW_PAIRS):
+        written = []
+        real = jaccard.materialize
+        monkeypatch.setattr(jaccard, "FEW_PAIRS", few)
+        monkeypatch.setattr(jaccard, "materialize", lambda df, label, real=real, written=written: (written.append(label), real(df, label))[1])
+        got = jaccard.jaccard_components(make_docs(rows)).collect()
+        monkeypatch.setattr(jaccard, "materialize", real)
+        assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == by_shingles(rows)
+        rounds[few] = written.count("shingle-leaders")
+    print(rounds)
+    assert rounds[100] < rounds[0]
+
+
 def test_jaccard_rows_without_id_or_repeated(make_docs):
     text = "one two three four five six seven"
     rows = [(5, text), (5, text), (None, text), (3, "other words than those before this"), (3, text), (None, "lonely words that nobody else has"), (8, None), (8, "")]

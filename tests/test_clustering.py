@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from verdure.operators import aoi, clustering, neighbors
+from verdure.operators import aoi, clustering, components, neighbors
 from verdure.operators.components import connected_components
 from verdure.operators.ranking import exact_quantile, global_rank, order_key
 from verdure.operators.skew import measured_salts, salted_lookup
@@ -206,6 +206,16 @@ def test_components_of_chain_star_and_ring(spark):
     assert connected_components(edges.limit(0)).collect() == []
 
 
+def test_components_of_a_large_star_take_two_rounds(spark, monkeypatch):
+    written = []
+    real = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, label: (written.append(label), real(df, label))[1])
+    star = spark.range(1, 3001).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    got = connected_components(star).collect()
+    assert len(got) == 3001 and len({r["component"] for r in got}) == 1
+    assert written.count("chosen") <= 2
+
+
 @pytest.mark.parametrize("n", [1, 2, 101])
 def test_exact_quantile_equals_numpy(spark, n):
     values = np.random.default_rng(n).integers(0, 9, n) * 0.37

@@ -12,8 +12,8 @@ and every step below works on classes.
 3. *Computed answers.* In each list all others are compared with its leader and the overlaps are kept. Whoever links
    with a leader needs no comparison inside the leader's component any more. Lists that still hold several components
    get a new leader out of their largest one, which is compared with the members of the others only, again and again as
-   long as that merges components: in a group of near copies the rest shrinks by a share each time, so the pairs stay in
-   proportion to the group.
+   long as that merges components and has more than a few pairs to ask: in a group of near copies the rest shrinks by a
+   share each time, so the pairs stay in proportion to the group.
 4. *Derived answers.* What remains are pairs from different components that no leader could merge. Lists are cut into blocks by size and only
    neighbouring blocks meet; a pair is skipped when its positions, its overlaps with the leader (``y`` and ``z`` share
    at most ``min(xy, xz) + min(size y - xy, size z - xz)``) or the parity bits of the sets bound the overlap below what
@@ -49,6 +49,8 @@ PARITY_WORDS = 8
 MOST_BEFORE = 256
 #: Rounds of new leaders; lists that still merge after as many go to the derived comparison. Changes no result.
 MOST_ROUNDS = 16
+#: Pairs of a round of new leaders up to which another one could settle hardly any more; neither does this change a result.
+FEW_PAIRS = 100
 
 # odd multipliers of the hash; any would do
 _MULTIPLIERS = [np.uint64(2 * xxhash.xxh64_intdigest(str(i)) % 2**64 | 1) for i in range(WORDS)]
@@ -354,8 +356,9 @@ def _next_leaders(pool: DataFrame, round_no: int) -> DataFrame:
     return met.select(*[c.alias(n) for c, n in zip(pair, ("a", "b", "ca", "cb"), strict=True)]).distinct()
 
 
-def _led(pool: DataFrame, sets: DataFrame, answers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rounds of new leaders over the mixed lists: the lists that stay mixed, and all answers."""
+def _led(pool: DataFrame, sets: DataFrame, answers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rounds of new leaders over the mixed lists: the lists that stay mixed, all answers, and the links found here."""
+    links = answers.select("a", "b").limit(0)
     for round_no in range(1, MOST_ROUNDS + 1):
         pairs = materialize(_next_leaders(pool, round_no).join(answers.select("a", "b"), ["a", "b"], "left_anti"), "shingle-leaders")
         found = materialize(_compared(pairs.select("a", "b"), sets), "shingle-answers")
@@ -363,17 +366,20 @@ def _led(pool: DataFrame, sets: DataFrame, answers: DataFrame) -> tuple[DataFram
         linked = found.where("linked").select("a", "b")
         if linked.isEmpty():
             break
+        links = links.unionByName(linked)
         merged = connected_components(pairs.join(linked, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         moved = pool.drop("live").join(merged.select(F.col("node").alias("component"), F.col("component").alias("into")), "component", "left")
         moved = moved.withColumn("moved", F.col("into").isNotNull()).withColumn("component", F.coalesce("into", "component")).drop("into")
         # a list without a merge is left to the derived comparison
         lists = moved.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("moved").alias("live")).where("lo <> hi")
         pool = materialize(moved.drop("moved").join(lists.select("token", "live"), "token"), "shingle-mixed")
-    return pool.drop("live"), answers
+        if pairs.count() <= FEW_PAIRS:
+            break
+    return pool.drop("live"), answers, links
 
 
 def _edges(sets: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all linked classes."""
+    """Pairs (a, b) that connect all linked classes: each with the name of its component under the first leaders, and later links."""
     entries = sets.select("cls", "n", "shared", "bits", F.posexplode("prefix").alias("pos", "token"))
     lead = entries.groupBy("token").agg(F.min(F.struct("cls", "n")).alias("l"), F.count("*").alias("k")).where("k > 1")
     lead = lead.select("token", F.col("l.cls").alias("leader"), F.col("l.n").alias("nl"))
@@ -388,7 +394,7 @@ def _edges(sets: DataFrame) -> DataFrame:
     # the overlap of a class with the list's leader; unknown where sizes alone ruled a link out
     told = told.withColumn("overlap", F.when(F.col("cls") == F.col("leader"), F.col("n")).otherwise(F.col("overlap")))
     pool = materialize(_mixed_only(told.drop("leader", "nl")).withColumn("live", F.lit(True)), "shingle-mixed")
-    pool, answers = _led(pool, sets, answers)
+    pool, answers, links = _led(pool, sets, answers)
     left = _numbered(pool)
     # partners have at most 4/3 of the size: the same block or one of the next two (rounding)
     other = ("cls", "n", "shared", "bits", "pos", "component", "overlap", "before")
@@ -407,7 +413,9 @@ def _edges(sets: DataFrame) -> DataFrame:
     asked = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = rest.join(asked, ["a", "b"], "left_anti")
     more = materialize(_compared(rest, sets), "shingle-rest")
-    return answers.unionByName(more).where("linked").select("a", "b")
+    # the first leaders' links, many to a group, are told by one pair a class: its name there
+    told_apart = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return told_apart.unionByName(links).unionByName(more.where("linked").select("a", "b"))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:

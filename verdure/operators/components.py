@@ -13,10 +13,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the undirected ``edges`` (a, b).
 
     Each round every node picks the neighbour (or itself) with the least hash for
-    that round, joins what that one picked, and edges are rewritten to the chosen nodes. A constant share of
-    the nodes disappears per round whatever the shape, so long chains take
+    that pair of rounds, joins what that one picked, and edges are rewritten to the chosen nodes. A constant share of
+    the nodes disappears per pair whatever the shape, so long chains take
     logarithmically many rounds and all rounds together cost about as much as the
-    first few. The per-node minimum is combined before the shuffle and the rewrite
+    first few. The hashes change with every second round only: the first makes the least node of a star its centre,
+    which the second then finds again, so a star of any size is gone after two. The per-node minimum is combined before the shuffle and the rewrite
     is salted, so a node with very many neighbours is no bottleneck. The component
     id is one of its nodes.
     """
@@ -28,7 +29,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
     steps: list[DataFrame] = []
     while not live.isEmpty():
-        chosen = materialize(_choose(live, len(steps)), "chosen")
+        chosen = materialize(_choose(live, len(steps) // 2), "chosen")
         steps.append(chosen)
         first = chosen.select(F.col("node").alias("a"), F.col("target").alias("ta"))
         second = chosen.select(F.col("node").alias("b"), F.col("target").alias("tb"))
@@ -53,9 +54,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return materialize(labels, "labels")
 
 
-def _choose(live: DataFrame, round_no: int) -> DataFrame:
+def _choose(live: DataFrame, pair_no: int) -> DataFrame:
     def priority(node: str):
-        return F.struct(F.xxhash64(F.lit(round_no), F.col(node)).alias("h"), F.col(node).alias("n"))
+        return F.struct(F.xxhash64(F.lit(pair_no), F.col(node)).alias("h"), F.col(node).alias("n"))
 
     both = live.select(F.col("a").alias("node"), priority("b").alias("p")).unionByName(
         live.select(F.col("b").alias("node"), priority("a").alias("p"))
