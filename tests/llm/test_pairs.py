@@ -2,11 +2,13 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from verdure import session
 from verdure.llm import jaccard, neardup, topk
 from verdure.llm.vectors import choose_pivots
 
@@ -153,6 +155,20 @@ def test_one_per_component_keeps_the_smallest_id(make_docs):
     assert {r.doc_id for r in jaccard.one_per_component(make_docs(rows, clashing=True)).collect()} == want
 
 
+def test_one_per_component_leaves_no_table_that_nobody_reads(spark, make_docs, monkeypatch):
+    made = []
+    real = session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda spark, label: (path := real(spark, label), made.append(path))[0])
+    rows = list(enumerate(near_copies(7)))
+    for given in (rows, [*rows, rows[0], (None, "words without an id")]):
+        made.clear()
+        kept = jaccard.one_per_component(make_docs(given))
+        left = [Path(p.removeprefix("file:")).name.rsplit("-", 1)[0] for p in made if Path(p.removeprefix("file:")).exists()]
+        assert len(made) > 8 and sorted(left) in (["shingle-removed"], ["numbered", "numbers", "shingle-removed"])
+        want = {int(c) for _, _, c in by_shingles(rows)}
+        assert {r.doc_id for r in kept.collect()} - {None} == want
+
+
 def test_shingle_hashes_do_not_cross_texts():
     h, limits = jaccard.shingle_hashes(["a b c d e f", "", "x y", "a b c d e", "X y", "b c d e f g"])
     sets = [set(h[a:b].tolist()) for a, b in zip(limits[:-1], limits[1:], strict=True)]

@@ -310,6 +310,43 @@ def test_redaction(make_docs, odd_texts):
     assert secrets.redact(docs.limit(0)).count() == 0 and secrets.scan(docs.limit(0)).count() == 0
 
 
+def exchanged_rows(df):
+    """Rows of ``df`` that its shuffles carried, and the collected rows."""
+    rows = df.collect()
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        children = node.children()
+        own = node.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan()), rows
+
+
+def test_redaction_leaves_clean_rows_where_they_are(spark, make_docs, monkeypatch):
+    secret = " token=abcdef0123456789"
+    rows = [(i, f"text {i}" + secret * (i % 20 == 0)) for i in range(400)]
+    rows += [(3, "a repeated id" + secret), (3, "clean again"), (None, "no id" + secret), (None, "no id, clean"), (500, rows[0][1]), (501, None)]
+    want = sorted((str(i), None if t is None else t.replace(secret, " [secret]")) for i, t in rows if t is not None)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, least, limit in ((secrets.MOST_SENT, 20, 80), (0, 400, 1000)):
+            monkeypatch.setattr(secrets, "MOST_SENT", most)
+            docs = make_docs(rows, clashing=True).withColumn("dirty", F.lit(1))
+            redacted = secrets.redact(docs.localCheckpoint())
+            carried, got = exchanged_rows(redacted)
+            assert redacted.columns == docs.columns and len(got) == len(rows)
+            assert sorted((str(r.doc_id), r.text) for r in got if r.text is not None) == want
+            assert least <= carried <= limit
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_redacted_texts_hold_no_secret(make_docs):
     docs = make_docs([(i, f"start token=abcdef{i}0 and password: 'hunter2{i}' end") for i in range(20)])
     again = secrets.scan(secrets.redact(docs).select("doc_id", "text"))

@@ -38,7 +38,7 @@ from verdure.llm.chunks import groups
 from verdure.llm.common import fresh, quoted
 from verdure.llm.memory import forget, tidy
 from verdure.operators.components import connected_components
-from verdure.session import materialize
+from verdure.session import materialize, settled
 
 WORDS = 5
 #: UTF-8 bytes of text whose tokens make one bucket, and the range of bucket numbers.
@@ -446,16 +446,20 @@ def one_per_component(docs: DataFrame) -> DataFrame:
     Of rows that repeat an id, or have none, one of each component stays as well: they are numbered in the order of
     their ids, rows without one last.
     """
-    columns = quoted(docs.columns)
+    spark, columns = docs.sparkSession, quoted(docs.columns)
     ids = docs.agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
     if ids["rows"] == ids["ids"]:
-        found = jaccard_components(docs).where("doc_id <> component_id").select("doc_id")
-        return docs.join(materialize(found, "shingle-removed"), "doc_id", "left_anti").select(*columns)
+        removed = settled(spark, "shingle-removed", lambda: jaccard_components(docs).where("doc_id <> component_id").select("doc_id"))
+        return docs.join(removed, "doc_id", "left_anti").select(*columns)
     row, number = fresh(docs.columns, "row"), fresh(docs.columns, "number")
     marked = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     order = marked.select(row, "doc_id").orderBy(F.col("doc_id").asc_nulls_last(), row)
     numbers = materialize(order.select(row, F.monotonically_increasing_id().alias(number)), "numbers")
     named = marked.join(numbers, row)
-    found = jaccard_components(named.select(F.col(number).alias("doc_id"), "text")).where("doc_id <> component_id")
-    removed = materialize(found.select(F.col("doc_id").alias(number)), "shingle-removed")
+
+    def copies() -> DataFrame:
+        found = jaccard_components(named.select(F.col(number).alias("doc_id"), "text"))
+        return found.where("doc_id <> component_id").select(F.col("doc_id").alias(number))
+
+    removed = settled(spark, "shingle-removed", copies)
     return named.join(removed, number, "left_anti").select(*columns)
