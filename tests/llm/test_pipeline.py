@@ -109,3 +109,10 @@ def test_queries_have_a_row_for_every_document_or_vector(spark, name):
     source = spark.read.parquet(f"{SF_DIR}/{table}.parquet")
     want = source.count() if ids != "query_id" else source.where("vec_id % 50 = 0").count()
     assert got.select(ids).distinct().count() == want
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
+def test_whitening_has_every_usable_vector(spark):
+    usable = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").where("forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")
+    got = QUERIES["op13_whitening"](spark, SF_DIR)
+    assert {(r.vec_id, r.component) for r in got.collect()} == {(r.vec_id, k) for r in usable.collect() for k in range(1, 5)}
