@@ -115,6 +115,24 @@ def test_all_candidates_are_ranked(spark):
     assert [r["item_id"] for r in best] == ["s79", "s78"]
 
 
+def test_ranking_meets_areas_with_the_best_of_each_footprint_only(spark):
+    aois = areas(spark, A=[0.0, 0.0, 1.0, 1.0], B=[0.9, 0.9, 3.0, 3.0])
+    boxes = ((0.0, 0.0, 1.0, 1.0), (0.5, 0.5, 1.5, 1.5), (2.0, 2.0, 3.0, 3.0))
+    # few clouds, so that ties are common; every third scene comes twice
+    rows = [scene(f"s{i:02d}", f"2024-01-{1 + i % 2:02d}T10:00:00", float(i * 7 % 5), boxes[i % 3]) for i in range(60)]
+    df = scenes(spark, *rows, *rows[::3])
+    ranked = selection.top_scenes(aois, df, 3)
+    want = []
+    every = selection.scene_candidates(aois, df).select("aoi_id", "date", "cloud_cover", "dt", "item_id").collect()
+    for key in {(r["aoi_id"], r["date"]) for r in every}:
+        group = sorted(r[2:] for r in every if r[:2] == key)[:3]
+        want += [(*key, n, r[2]) for n, r in enumerate(group, 1)]
+    assert sorted(map(tuple, ranked.select("aoi_id", "date", "rank", "item_id").collect())) == sorted(want)
+    lines = ranked._jdf.queryExecution().analyzed().toString().split("\n")
+    below = lines[next(i for i, line in enumerate(lines) if "Join Inner" in line) :]
+    assert any("row_number()" in line for line in below)
+
+
 def test_choice_per_pair_reads_only_its_days(spark, tmp_path):
     """A pending old day and a new one: scenes of the days between are not chosen from."""
     aois = areas(spark, A=[0.0, 0.0, 1.0, 1.0], B=[0.5, 0.5, 2.0, 2.0])

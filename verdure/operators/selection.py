@@ -171,12 +171,18 @@ def best_scenes(
 
 
 def top_scenes(aois: DataFrame, scenes: DataFrame, k: int, max_cloud: float = MAX_CLOUD) -> DataFrame:
-    """The ``k`` best scenes per (aoi_id, date) with their ``rank``."""
-    order = Window.partitionBy("aoi_id", "date").orderBy(
-        F.coalesce("cloud_cover", F.lit(MISSING_CLOUD)), "dt", "item_id"
-    )
-    ranked = scene_candidates(aois, scenes, max_cloud).withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= k)
+    """The ``k`` best scenes per (aoi_id, date) with their ``rank``.
+
+    Scenes of one day with the same footprint are reduced to their best ``k`` before the spatial join: they touch the
+    same areas, so no other can be among an area's best. What is left is cut to ``k`` per pair before it is shuffled.
+    """
+
+    def best(rows: DataFrame, *keys: str) -> DataFrame:
+        order = Window.partitionBy(*keys).orderBy(F.coalesce("cloud_cover", F.lit(MISSING_CLOUD)), "dt", "item_id")
+        return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    leaders = best(eligible_scenes(scenes, max_cloud), "date", "xmin", "ymin", "xmax", "ymax").drop("rank")
+    return best(intersecting(aois, leaders), "aoi_id", "date")
 
 
 def scene_refs(
