@@ -339,6 +339,15 @@ def test_streamed_choice_equals_batch_on_closed_days(spark, layout, tmp_path):
         assert got == sorted(whole.select(*columns).collect()) and len(got) == 2 * 4
 
 
+def test_streamed_scenes_meet_areas_once_per_footprint_and_day(spark, tmp_path):
+    scenes(spark).write.parquet(f"{tmp_path}/feed")
+    areas = spark.createDataFrame([("A", [0.0, 0.0, 1.0, 1.0])], "aoi_id string, bbox array<double>")
+    best = stream.stream_best_scenes(stream.read_scene_stream(spark, f"{tmp_path}/feed"), areas)
+    lines = best._jdf.queryExecution().analyzed().toString().split("\n")
+    below = lines[next(i for i, line in enumerate(lines) if "Join Inner" in line) :]
+    assert any("min_by" in line and "xmin" in line for line in below)
+
+
 def test_streamed_index_equals_batch_and_survives_a_replay(spark, layout, tmp_path):
     rasters, grids, pixels = raster_tables(spark)
     tagged = field_files.read_feature_lines(spark, layout.tagged_fields, daily.TAGGED_PROPERTIES)

@@ -31,6 +31,20 @@ def read_scene_stream(
     return reader.parquet(path)
 
 
+def best_of_closed_days(timed: DataFrame, aois: DataFrame) -> DataFrame:
+    """(aoi_id, day, s): the best scene per area and closed day of eligible scenes with a watermark on ``dt``.
+
+    First the best scene of each footprint, then that of each area: scenes of one footprint touch the same areas, so
+    no other can win, and areas meet one scene per footprint and day instead of all.
+    """
+    carried = F.struct("item_id", "collection", "dt", "cloud_cover", "assets")
+    footprint = ["xmin", "ymin", "xmax", "ymax", F.window("dt", "1 day").alias("day")]
+    leaders = timed.groupBy(*footprint).agg(F.min_by(carried, selection.scene_order()).alias("s"))
+    cloud = F.coalesce("s.cloud_cover", F.lit(selection.MISSING_CLOUD))
+    order = F.struct(cloud.alias("cloud"), F.col("s.dt"), F.col("s.item_id"))
+    return selection.intersecting(aois, leaders).groupBy("aoi_id", "day").agg(F.min_by("s", order).alias("s"))
+
+
 def stream_best_scenes(
     scenes: DataFrame,
     aois: DataFrame,
@@ -39,16 +53,14 @@ def stream_best_scenes(
 ) -> DataFrame:
     """Best scene per area and closed day from a scene stream (append mode).
 
-    The state is one candidate per area and open day. Days without a scene give no
-    row; their ``no_items`` references come from the batch stage. The last days stay open until ``close_refs``.
+    The state is one candidate per footprint and open day; areas meet these once their day has closed. Days without a
+    scene give no row; their ``no_items`` references come from the batch stage. The last days stay open until
+    ``close_refs``.
     """
     instants = scenes.withColumn("dt", F.col("dt").cast("timestamp"))
     timed = selection.eligible_scenes(instants, max_cloud).withWatermark("dt", lateness)
-    pairs = selection.intersecting(aois, timed)
-    carried = F.struct("item_id", "collection", "dt", "cloud_cover", "assets")
     return (
-        pairs.groupBy("aoi_id", F.window("dt", "1 day").alias("day"))
-        .agg(F.min_by(carried, selection.scene_order()).alias("s"))
+        best_of_closed_days(timed, aois)
         .select("aoi_id", F.to_date("day.start").alias("date"), "s.*")
         .withColumn("dt", F.col("dt").cast("timestamp_ntz"))
     )
