@@ -85,3 +85,11 @@ def test_no_scene_at_all(spark, areas, tmp_path):
     days.end_of_input(spark, f"{tmp_path}/feed", LAST)
     got = streamed(spark, f"{tmp_path}/feed", areas, tmp_path)
     assert got.count() == 36 and got.where("status = 'no_items' and item_id is null and stac_url is null").count() == 36
+
+
+def test_an_area_gets_one_scene_per_closed_day(spark, areas, tmp_path):
+    scenes(spark, some(3)).write.parquet(f"{tmp_path}/feed")
+    refs = days.stream_days(read_scene_stream(spark, f"{tmp_path}/feed"), areas, catalog_url="u")
+    lines = refs._jdf.queryExecution().analyzed().toString().split("\n")
+    below = lines[next(i for i, line in enumerate(lines) if "TransformWithState" in line) :]
+    assert sum("min_by" in line for line in below) == 2

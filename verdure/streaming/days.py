@@ -1,7 +1,7 @@
 """Scene choice for every area and day on event-time timers.
 
-Each area holds, as keyed state, the best scene so far of its open days and the next day to decide. A timer stands at the
-end of that day: once the watermark passes it, all days that have ended are decided in order, ``ok`` with the scene held
+A day's best scenes reach the areas when it has closed, one per area. Each area holds, as keyed state, the best scene of
+its undecided days and the next day to decide. A timer stands at the end of that day: once the watermark passes it, all days that have ended are decided in order, ``ok`` with the scene held
 or ``no_items`` without one, their state is dropped and the timer moves on. The areas come in as initial state, so an area
 that no scene ever touches is decided too, and the stream alone gives the references of all areas and days: no batch stage
 completes it and no micro-batch reads an earlier output. What was written is exactly what the file sink has committed.
@@ -21,7 +21,7 @@ from verdure.functions.assets import NIR_ASSETS, RED_ASSETS, pick_asset
 from verdure.operators import selection
 from verdure.sources import keyed
 from verdure.sources.scenes import SCENE_SCHEMA
-from verdure.streaming.daily import LATENESS
+from verdure.streaming.daily import LATENESS, best_of_closed_days
 
 DAY_MS = 86_400_000
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -37,40 +37,50 @@ class AreaDays(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getMapState("held", "day int", "cloud double, micros long, item_id string, rest string")
+        # one list per area, read and put back whole: a call to the state store costs more than the few open days
+        self.held = handle.getListState("held", "day int, cloud double, micros long, item_id string, rest string")
         self.span = handle.getValueState("span", "next int, last int")
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         self._begin(int(initialState["first_day"].iloc[0]), int(initialState["last_day"].iloc[0]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best, found = self._open(), False
         for frame in rows:
             if not self.span.exists():  # an area that came after the start
                 self._begin(int(frame["first_day"].iloc[0]), int(frame["last_day"].iloc[0]))
             upcoming, last = self.span.get()
-            # a day is decided once: scenes of decided days come too late
-            frame = frame[(frame["day"] >= upcoming) & (frame["day"] <= last)]
-            best = frame.sort_values(["cloud", "micros", "item_id"]).drop_duplicates("day")
-            for row in best[["day", *_HELD]].itertuples(index=False):
-                scene = (float(row.cloud), int(row.micros), row.item_id, row.rest)
-                day = (int(row.day),)
-                if not self.held.containsKey(day) or scene[:3] < tuple(self.held.getValue(day))[:3]:
-                    self.held.updateValue(day, scene)
+            for row in frame[["day", *_HELD]].itertuples(index=False):
+                # a day is decided once: scenes of decided days come too late
+                if upcoming <= row.day <= last:
+                    scene = (float(row.cloud), int(row.micros), row.item_id, row.rest)
+                    day = int(row.day)
+                    if day not in best or scene[:3] < best[day][:3]:
+                        best[day], found = scene, True
+        if found:
+            self._keep(best)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         upcoming, last = self.span.get()
         ended = min(timerValues.getCurrentWatermarkInMs() // DAY_MS, last + 1)
-        decided = []
-        for day in range(upcoming, ended):
-            held = self.held.containsKey((day,))
-            decided.append((key[0], day, *(self.held.getValue((day,)) if held else (None, None, None, None))))
-            if held:
-                self.held.removeKey((day,))
+        best = self._open()
+        decided = [(key[0], day, *best.pop(day, (None, None, None, None))) for day in range(upcoming, ended)]
+        if any(d[-1] is not None for d in decided):
+            self._keep(best)
         self._begin(max(upcoming, ended), last)
         if decided:
             yield pd.DataFrame(decided, columns=["aoi_id", "day", *_HELD]).astype({"micros": "Int64", "cloud": "Float64"})
 
+    def _open(self) -> dict[int, tuple]:
+        return {row[0]: tuple(row[1:]) for row in self.held.get()} if self.held.exists() else {}
+
+    def _keep(self, best: dict[int, tuple]) -> None:
+        if best:
+            self.held.put([(day, *scene) for day, scene in best.items()])
+        else:
+            self.held.clear()
+
     def _begin(self, day: int, last: int) -> None:
         self.span.update((day, last))
         if day <= last:
@@ -94,17 +104,17 @@ def stream_days(
     """
     instants = scenes.withColumn("dt", F.col("dt").cast("timestamp")).withWatermark("dt", lateness)
     spans = areas.select("aoi_id", F.unix_date("first_day").alias("first_day"), F.unix_date("last_day").alias("last_day"))
-    pairs = selection.intersecting(areas, selection.eligible_scenes(instants, max_cloud)).join(spans, "aoi_id")
+    pairs = best_of_closed_days(selection.eligible_scenes(instants, max_cloud), areas).join(spans, "aoi_id")
     rows = pairs.select(
         "aoi_id",
-        "dt",
+        F.window_time("day").alias("dt"),
         "first_day",
         "last_day",
-        F.unix_date("date").alias("day"),
-        F.col("cloud_cover").alias("cloud"),
-        F.unix_micros("dt").alias("micros"),
-        "item_id",
-        F.to_json(F.struct("collection", "assets")).alias("rest"),
+        F.unix_date(F.to_date("day.start")).alias("day"),
+        F.col("s.cloud_cover").alias("cloud"),
+        F.unix_micros("s.dt").alias("micros"),
+        F.col("s.item_id").alias("item_id"),
+        F.to_json(F.struct("s.collection", "s.assets")).alias("rest"),
     )
     decided = rows.groupBy("aoi_id").transformWithStateInPandas(
         AreaDays(), _OUT, "append", "eventtime", initialState=spans.groupBy("aoi_id")
