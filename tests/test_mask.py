@@ -246,3 +246,17 @@ def test_strips_hold_and_slice_pixels(spark, tmp_path):
     assert {r["band"] for r in found.collect()} == {"n"}
     plan = found._jdf.queryExecution().toString()
     assert "PartitionFilters: [" in plan and "band" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_packing_looks_no_column_up_in_a_map(spark):
+    rows = [("i", "r", r, c, v) for r, cols in ((0, (-9, 0, 3)), (1, (15, 16)), (2, (40,))) for c, v in zip(cols, (1.0, None, 2.0))]
+    pixels = spark.createDataFrame(rows, "item_id string, band string, row long, col long, raw double")
+    for width, shift in ((1, 0), (16, 0), (7, 3), (64, -5)):
+        strips = raster_files.to_strips(pixels, width, shift=shift)
+        want = {}
+        for _, _, r, c, v in rows:
+            first = (c - shift) // width * width + shift
+            want.setdefault((r, first), [None] * width)[c - first] = v
+        assert {(s["row"], s["col0"]): s["values"] for s in strips.collect()} == want
+    # a lookup in a map goes through all its keys: a strip of n cells took n * width steps
+    assert "element_at(by_col" not in strips._jdf.queryExecution().analyzed().toString()
