@@ -263,6 +263,22 @@ def test_salted_lookup_matches_a_plain_join(spark):
         assert sorted(got.select(*want.columns).collect(), key=str) == sorted(want.collect(), key=str)
 
 
+def test_a_table_that_is_sent_to_all_tasks_is_not_repeated(spark):
+    rows, table = spark.range(50).selectExpr("id % 5 as k", "id"), spark.range(5).selectExpr("id as k", "id * 2 as v")
+
+    def salted():
+        plan = salted_lookup(rows, table, ["k"])._jdf.queryExecution().analyzed().toString()
+        return "_salt" in plan
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    assert not salted()
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert salted()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_more_than_a_hundred_areas(spark):
     names = spark.range(1, 121).select("id", aoi.aoi_label(F.col("id")).alias("aoi_id")).orderBy("id")
     got = [r["aoi_id"] for r in names.collect()]

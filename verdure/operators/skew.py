@@ -21,13 +21,23 @@ def salted_lookup(
     A hot key of ``rows`` is spread over ``salts`` reducers by the hash of the columns
     ``by`` (all by default), which must tell the rows of one key apart; ``table`` is repeated once
     per salt, so every row meets all its matches exactly once. ``how`` may be inner,
-    left, left_semi or left_anti.
+    left, left_semi or left_anti. A ``table`` that Spark will send to all tasks has no reducers
+    to spread and is not repeated: the copies would all pass through the driver.
     """
+    if sent_along(table):
+        return rows.join(table, keys, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*(by or rows.columns)), F.lit(salts)).cast("int"))
     spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
 
 
+def sent_along(table: DataFrame) -> bool:
+    """Whether Spark, by its own estimate, broadcasts ``table`` to a join."""
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 ROWS_PER_SALT = 50_000
 
 
