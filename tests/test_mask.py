@@ -258,5 +258,7 @@ def test_packing_looks_no_column_up_in_a_map(spark):
             first = (c - shift) // width * width + shift
             want.setdefault((r, first), [None] * width)[c - first] = v
         assert {(s["row"], s["col0"]): s["values"] for s in strips.collect()} == want
+    nowhere = spark.createDataFrame([("i", "r", 0, None, 1.0), ("i", "r", 0, 2, 3.0)], pixels.schema)
+    assert {(s["col0"], str(s["values"])) for s in raster_files.to_strips(nowhere, 4).collect()} == {(None, "None"), (0, "[None, None, 3.0, None]")}
     # a lookup in a map goes through all its keys: a strip of n cells took n * width steps
     assert "element_at(by_col" not in strips._jdf.queryExecution().analyzed().toString()
